@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def order_spec(order_col: str, key: str | tuple[str, ...] = "id", descending: bool = True) -> list[Column]:
     keys = (key,) if isinstance(key, str) else tuple(key)
@@ -23,14 +25,54 @@ def order_spec(order_col: str, key: str | tuple[str, ...] = "id", descending: bo
 
 
 def row_number_by_group(df: DataFrame, group: str, order_col: str, key: str = "id",
-                        descending: bool = True, rank_col: str = "rn") -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order_spec(order_col, key, descending))
-    return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+                        descending: bool = True, rank_col: str = "rn", method: str = "range",
+                        num_partitions: int | None = None,
+                        max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Full ranking: every row gets its 1-based position within its group.
+
+    method="window": one window partitioned by the group. Every row of a group
+      goes to one task; right only when groups are many and bounded in size.
+    method="range" (default): skew-safe. Rows are range-partitioned on
+      (group, order, key), so one large group spreads over many partitions,
+      and sorted within each. A partition's rows of one group are then
+      contiguous, and `monotonically_increasing_id` numbers them consecutively.
+      rn = (rows of the group in earlier partitions) + (position in this
+      partition). The numbered rows are checkpointed to the shared checkpoint
+      folder (one pass, lineage cut, safe against lost executors). The offsets
+      come from a count per (group, partition): at most #groups + #partitions
+      rows. They are counted, and broadcast only when under
+      `max_broadcast_rows`; otherwise a shuffle join is used.
+    """
+    if method == "window":
+        w = Window.partitionBy(group).orderBy(*order_spec(order_col, key, descending))
+        return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+    if method != "range":
+        raise ValueError("method must be 'range' or 'window'")
+    spark = df.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spec = [F.col(group).asc_nulls_first(), *order_spec(order_col, key, descending)]
+    ensure_checkpoint_dir(spark)
+    numbered = (df.repartitionByRange(parts, *spec).sortWithinPartitions(*spec)
+                  .withColumn("_m", F.monotonically_increasing_id())
+                  .withColumn("_p", F.shiftright(F.col("_m"), 33))
+                  .checkpoint(eager=True))
+    counts = numbered.groupBy(F.col(group).alias("_g"), "_p").agg(
+        F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_g", F.col("_p").alias("_q"), "_m0",
+                            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")) \
+        .checkpoint(eager=True)
+    if offsets.count() <= max_broadcast_rows:
+        offsets = F.broadcast(offsets)
+    joined = numbered.join(offsets, (F.col("_p") == F.col("_q")) & F.col(group).eqNullSafe(F.col("_g")))
+    rn = (F.col("_off") + (F.col("_m") - F.col("_m0")) + 1).cast("long")
+    return joined.select(*df.columns, rn.alias(rank_col))
 
 
 def top_n_per_group(df: DataFrame, group: str, order_col: str, n: int, key: str = "id",
                     descending: bool = True, rank_col: str = "rn") -> DataFrame:
     if n < 1:
         raise ValueError("n must be >= 1")
-    return row_number_by_group(df, group, order_col, key, descending, rank_col) \
+    # The plain window keeps Catalyst's WindowGroupLimit (top n per map task).
+    return row_number_by_group(df, group, order_col, key, descending, rank_col, method="window") \
         .where(F.col(rank_col) <= n)
