@@ -1,10 +1,228 @@
-"""Streaming queries of the catalogue (filled in with the streaming jobs)."""
+"""Streaming queries of the catalogue.
+
+Each query derives its input feed from the driver tables with Spark, writes
+it as several files into a fresh folder under the shared root, runs the
+streaming job over it with `availableNow` in bounded micro-batches, and
+returns the job's output table. The result must equal the batch answer on
+the end state, which the oracle SQL computes.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+                               TimestampNTZType)
+from pyspark.errors import StreamingQueryException
+
+from ..functions.lines import parse_lines
+from ..session import scratch_path
+from ..sources import tables as tb
+from ..sources.streams import read_changelog
+from ..streaming.jobs import run_until_done, start_append, start_foreach_batch
+from ..streaming.keyed import KeyedReplica
+from ..streaming.topn import JoinTopN, Side
+from .catalog import TOP_N, envelopes, text_lines
+
+FILES_PER_FEED = 4
+FEED_SCHEMA = StructType([
+    StructField("side", StringType()), StructField("id", LongType()), StructField("op", StringType()),
+    StructField("gender", StringType()), StructField("name", StringType()),
+    StructField("score", DoubleType()), StructField("ts", TimestampNTZType()),
+    StructField("pos", LongType())])
+SIDES = [Side("t1", ("gender",)), Side("t2", ("name",)), Side("t3", ("score",))]
+# Which event types change which stand-in table.
+T1_EVENTS = ("signup", "view", "error")
+T3_EVENTS = ("click", "purchase", "error")
+
+
+def _snapshot_ts():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _wide(df: DataFrame, side: str, **cols) -> DataFrame:
+    out = []
+    for f in FEED_SCHEMA.fields:
+        if f.name == "side":
+            out.append(F.lit(side).alias("side"))
+        elif f.name in cols:
+            out.append(cols[f.name].cast(f.dataType).alias(f.name))
+        else:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return df.select(*out)
+
+
+def join_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Change feeds of t1, t2, t3: a snapshot of customer, then events as changes.
+
+    t1 (gender): events signup/view set the group to the event type (rows move
+    between groups), error deletes. t3 (score): click/purchase set the score
+    to the event value, error deletes. t2 (name): snapshot only, so an id
+    deleted from t1/t3 stays in t2 alone. Snapshot rows sort before changes.
+    """
+    cust = tb.table(spark, sf_dir, "customer")
+    feed = tb.change_feed(spark, sf_dir)
+    snap = dict(op=F.lit("r"), ts=_snapshot_ts(), pos=F.col("c_custkey"), id=F.col("c_custkey"))
+    chg = dict(op=F.col("op"), ts=F.col("ts"), pos=F.col("pos"), id=F.col("id"))
+    f1 = _wide(cust, "t1", gender=F.col("c_mktsegment"), **snap).unionByName(
+        _wide(feed.where(F.col("event_type").isin(*T1_EVENTS)), "t1", gender=F.col("event_type"), **chg))
+    f2 = _wide(cust, "t2", name=F.col("c_name"), **snap)
+    f3 = _wide(cust, "t3", score=F.col("c_acctbal"), **snap).unionByName(
+        _wide(feed.where(F.col("event_type").isin(*T3_EVENTS)), "t3", score=F.col("value"), **chg))
+    return {"t1": f1, "t2": f2, "t3": f3}
+
+
+def _write_files(df: DataFrame, path: str, fmt: str = "parquet", order=("ts", "pos")) -> None:
+    """Write a feed as FILES_PER_FEED files, each a contiguous range of the change order."""
+    df.repartitionByRange(FILES_PER_FEED, *order).write.format(fmt).save(path)
+
+
+def _feed_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run_join_topn(spark: SparkSession, sf_dir: str, fault=None, buckets: int = 16) -> JoinTopN:
+    root = scratch_path(spark, "join_topn")
+    for side, df in join_feeds(spark, sf_dir).items():
+        _write_files(df, f"{root}/feeds/{side}")
+    m = JoinTopN(spark, f"{root}/state", SIDES, FEED_SCHEMA, group="gender", order="score", n=TOP_N,
+                 buckets=buckets, group_buckets=8)
+    stream = None
+    for s in SIDES:
+        one = _feed_stream(spark, f"{root}/feeds/{s.name}", FEED_SCHEMA)
+        stream = one if stream is None else stream.unionByName(one)
+    ck = f"{root}/checkpoint"
+    m.fault = fault
+    try:
+        run_until_done(start_foreach_batch(stream, m.process, ck, available_now=True))
+    except StreamingQueryException:
+        if fault is None:
+            raise
+        m.fault = None  # restart from the checkpoint: the failed batch is replayed
+        run_until_done(start_foreach_batch(stream, m.process, ck, available_now=True))
+    return m
+
+
+def q_stream_join3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_join_topn(spark, sf_dir).current().select("id", "name", "gender", "score")
+
+
+def q_stream_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_join_topn(spark, sf_dir).top().select("id", "name", "gender", "score", "rn")
+
+
+def q_stream_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines -> typed rows -> temp view -> SQL -> file sink, in micro-batches."""
+    root = scratch_path(spark, "parse_lines")
+    text_lines(spark, sf_dir).repartitionByRange(FILES_PER_FEED, "pos").select("value") \
+        .write.text(f"{root}/text")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/text")
+    from ..spec import BEAN1
+    schema = StructType([StructField("id", LongType(), False), BEAN1["gender"]])
+    good, _ = parse_lines(stream, schema, on_bad="divert")
+    good.createOrReplaceTempView("bean1")
+    run_until_done(start_append(spark.sql("select * from bean1"), f"{root}/out", f"{root}/checkpoint",
+                                available_now=True))
+    return spark.read.parquet(f"{root}/out").select(F.col("id").cast("int").alias("id"), "gender")
+
+
+def q_stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change envelopes (JSON lines) -> keyed replica, deletes included."""
+    root = scratch_path(spark, "replicate")
+    env = envelopes(spark, sf_dir)
+    (env.withColumn("pos", F.get_json_object("value", "$.source.pos").cast("long"))
+        .repartitionByRange(FILES_PER_FEED, "pos").select("value").write.text(f"{root}/changes"))
+    row = StructType([StructField("id", LongType()), StructField("event_type", StringType()),
+                      StructField("value", DoubleType())])
+    stream = read_changelog(spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/changes"), row)
+    rep = KeyedReplica(spark, f"{root}/state", row, "id", order=("ts_ms", "pos"),
+                       order_types={"ts_ms": LongType(), "pos": LongType()}, buckets=16)
+    run_until_done(start_foreach_batch(stream, rep.process, f"{root}/checkpoint", available_now=True))
+    return rep.current()
+
+
+def q_stream_upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines "id,name" upserted into a keyed table; batch 1 crashes after its write and is replayed."""
+    root = scratch_path(spark, "upsert_replay")
+    ev = tb.table(spark, sf_dir, "events")
+    lines = ev.select(F.concat(F.col("user_id").cast("string"), F.lit(","), F.col("event_type")).alias("value"),
+                      F.col("event_id").alias("pos"))
+    _write_files(lines, f"{root}/lines", order=("pos",))
+    schema = StructType([StructField("id", LongType()), StructField("name", StringType())])
+    rep = KeyedReplica(spark, f"{root}/state", schema, "id", order=("pos",),
+                       order_types={"pos": LongType()}, buckets=16)
+    snap = tb.t2(spark, sf_dir).select("id", "name", F.lit("r").alias("op"), F.lit(-1).cast("long").alias("pos"))
+    rep.initialize(snap)
+    src = spark.readStream.schema("value string, pos long").option("maxFilesPerTrigger", 1) \
+        .parquet(f"{root}/lines")
+    parsed = parse_lines(src, schema, on_bad="fail", keep=("pos",)).withColumn("op", F.lit("u"))
+    crashed = []
+
+    def crash_once(step: str, batch_id: int) -> None:
+        if batch_id == 1 and not crashed:
+            crashed.append(batch_id)
+            raise RuntimeError("injected crash after the table write of batch 1")
+
+    rep.fault = crash_once
+    ck = f"{root}/checkpoint"
+    try:
+        run_until_done(start_foreach_batch(parsed, rep.process, ck, available_now=True))
+    except StreamingQueryException:
+        pass
+    rep.fault = None
+    run_until_done(start_foreach_batch(parsed, rep.process, ck, available_now=True))
+    if not crashed:
+        raise AssertionError("the replay path was not exercised")
+    return rep.current()
+
+
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_parse_lines": q_stream_parse_lines,
+    "stream_replicate": q_stream_replicate,
+    "stream_join3": q_stream_join3,
+    "stream_topn": q_stream_topn,
+    "stream_upsert_replay": q_stream_upsert_replay,
+}
+
+_FEED_STATE = """
+f1 as (select c_custkey id, c_mktsegment gender, 'r' op, TIMESTAMP '1970-01-01 00:00:00' ts, c_custkey pos
+       from customer
+       union all
+       select user_id, event_type, case when event_type = 'error' then 'd' else 'u' end, ts, event_id
+       from events where event_type in ('signup', 'view', 'error')),
+f3 as (select c_custkey id, c_acctbal score, 'r' op, TIMESTAMP '1970-01-01 00:00:00' ts, c_custkey pos
+       from customer
+       union all
+       select user_id, value, case when event_type = 'error' then 'd' else 'u' end, ts, event_id
+       from events where event_type in ('click', 'purchase', 'error')),
+s1 as (select id, gender from (select *, row_number() over (partition by id order by ts desc, pos desc) k
+                               from f1) z where k = 1 and op <> 'd'),
+s3 as (select id, score from (select *, row_number() over (partition by id order by ts desc, pos desc) k
+                              from f3) z where k = 1 and op <> 'd'),
+s2 as (select c_custkey id, c_name name from customer),
+j as (select s1.id, name, gender, score from s1 join s2 on s1.id = s2.id join s3 on s1.id = s3.id)"""
 
-STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-STREAM_ORACLE_SQL: dict[str, str] = {}
+STREAM_ORACLE_SQL: dict[str, str] = {
+    "stream_parse_lines": """
+        select cast(c_custkey as integer) id,
+               case c_custkey % 10 when 2 then c_mktsegment when 3 then '' else ' ' || c_mktsegment end gender
+        from customer where c_custkey % 10 in (2, 3, 6, 7, 8, 9)""",
+    "stream_replicate": """
+        select user_id id, event_type, value
+        from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k
+              from events) z
+        where k = 1 and event_type <> 'error'""",
+    "stream_join3": f"with {_FEED_STATE} select * from j",
+    "stream_topn": f"""with {_FEED_STATE}
+        select * from (select id, name, gender, score,
+                              cast(row_number() over (partition by gender order by score desc nulls last, id) as bigint) rn
+                       from j) t where rn <= 2""",
+    "stream_upsert_replay": """
+        with src as (select user_id id, event_type name
+                     from (select *, row_number() over (partition by user_id order by event_id desc) k
+                           from events) z where k = 1)
+        select c_custkey id, c_name name from customer where c_custkey not in (select id from src)
+        union all select id, name from src""",
+}
