@@ -137,11 +137,19 @@ class JoinTopN:
         base_j = self.joined.latest_version(prev)
         base_b = self.buffer.latest_version(prev)
         base_r = self.result.latest_version(prev)
-        wide = self.to_wide(batch).persist()
+        self._held: list[DataFrame] = []
+        wide = self._hold(self.to_wide(batch))
         try:
             self._process(wide, k, base_j, base_b, base_r)
         finally:
-            wide.unpersist()
+            for df in self._held:
+                df.unpersist()
+            self._held = []
+
+    def _hold(self, df: DataFrame) -> DataFrame:
+        """Keep a batch-sized intermediate for the rest of this batch (recomputable if lost)."""
+        self._held.append(df.persist())
+        return df
 
     def _process(self, wide: DataFrame, k: int, base_j, base_b, base_r) -> None:
         touched = wide.select(self.joined.bucket_of(F.col(self.key)).alias("b")).distinct()
@@ -158,12 +166,12 @@ class JoinTopN:
         new_j = self.joined.read(k, touched)
         # 2. views of touched ids
         ids = wide.select(self.key).distinct()
-        old_rows = self.live_view(old_j).join(ids, self.key, "left_semi")
-        new_rows = self.live_view(new_j).join(ids, self.key, "left_semi")
+        old_rows = self._hold(self.live_view(old_j).join(ids, self.key, "left_semi"))
+        new_rows = self._hold(self.live_view(new_j).join(ids, self.key, "left_semi"))
         g = self.group
         groups = old_rows.select(F.col(g).alias("_g")).union(new_rows.select(F.col(g).alias("_g"))).distinct()
         gtouched = groups.select(self.buffer.bucket_of(F.col("_g")).alias("b")).distinct()
-        buf_all = self.buffer.read(base_b, gtouched)
+        buf_all = self._hold(self.buffer.read(base_b, gtouched))
         in_groups = F.col("_g").eqNullSafe(F.col("_ag"))
         groups_a = groups.select(F.col("_g").alias("_ag"))
         buf_old = buf_all.join(groups_a, in_groups, "left_semi")
@@ -178,13 +186,7 @@ class JoinTopN:
         cand = cand.where(~F.col("_bon") | ranks_at_or_before(F.col(self.order), F.col(self.key),
                                                                F.col("_bscore"), F.col("_bid")))
         w = Window.partitionBy("_g").orderBy(F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last())
-        ranked = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= self.m + 1)
-        cut = ranked.groupBy("_g").agg(
-            F.max("_r").alias("_cnt"),
-            F.max_by(F.struct(F.col(self.order).alias("s"), F.col(self.key).alias("i")),
-                     F.when(F.col("_r") == self.m, F.lit(1))).alias("_mth"))
-        ranked = ranked.where(F.col("_r") <= self.m).join(cut.withColumnRenamed("_g", "_cg"),
-                                                          F.col("_g").eqNullSafe(F.col("_cg"))).drop("_cg")
+        ranked = self._limit_m(cand.withColumn("_r", F.row_number().over(w)), "_g")
         trimmed = F.col("_cnt") > self.m
         upd = ranked.select(
             "_g", *self.out_cols,
@@ -192,6 +194,7 @@ class JoinTopN:
             F.when(trimmed, F.col("_mth.s")).otherwise(F.col("_bscore")).alias("_bscore"),
             F.when(trimmed, F.col("_mth.i")).otherwise(F.col("_bid")).alias("_bid"),
             F.least(F.col("_cnt"), F.lit(self.m)).alias("_size"))
+        upd = self._hold(upd)
         # 4. groups needing a rescan: boundary set (rows outside) but fewer than n kept
         # (also groups whose kept set became empty while rows remain outside)
         need = (groups_a.join(upd.groupBy("_g").agg(F.max("_size").alias("_size"), F.max("_bon").alias("_bon")),
@@ -206,13 +209,7 @@ class JoinTopN:
             full = self.live_view(self.joined.read(k))
             sub = full.join(rescan_groups, F.col(g).eqNullSafe(F.col("_rg")), "left_semi")
             wr = Window.partitionBy(g).orderBy(F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last())
-            top = sub.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= self.m + 1)
-            cnt = top.groupBy(F.col(g).alias("_cg")).agg(
-                F.max("_r").alias("_cnt"),
-                F.max_by(F.struct(F.col(self.order).alias("s"), F.col(self.key).alias("i")),
-                         F.when(F.col("_r") == self.m, F.lit(1))).alias("_mth"))
-            rescanned = (top.where(F.col("_r") <= self.m)
-                         .join(cnt, F.col(g).eqNullSafe(F.col("_cg")))
+            rescanned = (self._limit_m(sub.withColumn("_r", F.row_number().over(wr)), g)
                          .select(F.col(g).alias("_g"), *self.out_cols,
                                  (F.col("_cnt") > self.m).alias("_bon"),
                                  F.when(F.col("_cnt") > self.m, F.col("_mth.s")).alias("_bscore"),
@@ -241,6 +238,19 @@ class JoinTopN:
                 self.external_sink(diff, k)
         diff.unpersist()
 
+    def _limit_m(self, numbered: DataFrame, group: str) -> DataFrame:
+        """Rows ranked 1..M of each group (`_r`), with `_cnt` = min(rows, M+1) and `_mth` = the M-th key.
+
+        The filter on the row number becomes a WindowGroupLimit; the group
+        aggregates are windows on the same partitioning (no extra shuffle).
+        """
+        top = numbered.where(F.col("_r") <= self.m + 1)
+        whole = Window.partitionBy(group)
+        mth = F.max_by(F.struct(F.col(self.order).alias("s"), F.col(self.key).alias("i")),
+                       F.when(F.col("_r") == self.m, F.lit(1)))
+        return (top.withColumn("_cnt", F.max("_r").over(whole)).withColumn("_mth", mth.over(whole))
+                   .where(F.col("_r") <= self.m))
+
     def _top_of(self, buf: DataFrame) -> DataFrame:
         w = Window.partitionBy("_g").orderBy(F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last())
         return (buf.withColumn("rn", F.row_number().over(w).cast("long")).where(F.col("rn") <= self.n)
