@@ -3,8 +3,8 @@
 Spark's file sinks append; a keyed table needs "replace the rows of these
 keys". Without a lakehouse format this is done copy-on-write per bucket:
 
-  {path}/data/b=<bucket>/v=<version>/part-*.parquet   rows of one bucket at one version
-  {path}/index/v=<version>/                           (b, v): current version per bucket
+  {path}/data/_bucket=<b>/_version=<v>/part-*.parquet  rows of one bucket at one version
+  {path}/index/v=<version>/                            (b, v): current version per bucket
 
 * A row's bucket is pmod(xxhash64(key), buckets). A batch rewrites only the
   buckets its keys fall in, at version = batch id (dynamic partition
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 _MARK = "_mark"
+_BUCKET, _VERSION = "_bucket", "_version"   # partition columns of the data folder
 _INDEX_SCHEMA = StructType([StructField("b", IntegerType(), False),
                             StructField("v", LongType(), False)])
 
@@ -36,6 +37,9 @@ _INDEX_SCHEMA = StructType([StructField("b", IntegerType(), False),
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType,
                  key: str | Sequence[str] = "id", buckets: int = 64):
+        clash = {_MARK, _BUCKET, _VERSION} & set(schema.fieldNames())
+        if clash:
+            raise ValueError(f"reserved column name(s) {sorted(clash)}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -91,7 +95,7 @@ class KeyedTable:
         pairs = [(r.b, r.v) for r in idx.collect()]
         if not pairs:
             return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self._data}/b={b}/v={v}" for b, v in pairs]
+        paths = [f"{self._data}/{_BUCKET}={b}/{_VERSION}={v}" for b, v in pairs]
         full = StructType([*self.schema.fields, StructField(_MARK, IntegerType(), True)])
         df = self.spark.read.schema(full).parquet(*paths)
         return df.where(F.col(_MARK).isNull()).select(*self.schema.fieldNames())
@@ -118,13 +122,14 @@ class KeyedTable:
         """
         touched = touched.select("b").distinct()
         marks = touched.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields],
-                               F.lit(1).alias(_MARK), "b")
+                               F.lit(1).alias(_MARK), F.col("b").alias(_BUCKET))
         body = rows.select(*self.schema.fieldNames(), F.lit(None).cast("int").alias(_MARK),
-                           self.bucket_of().alias("b"))
-        (body.unionByName(marks).withColumn("v", F.lit(version).cast("long"))
-             .repartition("b")
+                           self.bucket_of().alias(_BUCKET))
+        (body.unionByName(marks)
+             .withColumn(_VERSION, F.lit(version).cast("long"))
+             .repartition(_BUCKET)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("b", "v").parquet(self._data))
+             .partitionBy(_BUCKET, _VERSION).parquet(self._data))
         old = self._index(base_version).join(touched, "b", "left_anti")
         new = old.unionByName(touched.select("b", F.lit(version).cast("long").alias("v")))
         new.coalesce(1).write.mode("overwrite").parquet(self._index_path(version))
