@@ -204,7 +204,7 @@ class JoinTopN:
                 .where(F.coalesce(F.col("_bon"), F.col("_obon"), F.lit(False))
                        & (F.coalesce(F.col("_size"), F.lit(0)) < self.n))
                 .select(F.col("_ag").alias("_rg")))
-        rescan_groups = need.cache()
+        rescan_groups = self._hold(need)
         if not rescan_groups.isEmpty():
             full = self.live_view(self.joined.read(k))
             sub = full.join(rescan_groups, F.col(g).eqNullSafe(F.col("_rg")), "left_semi")
@@ -218,16 +218,15 @@ class JoinTopN:
             new_buf = upd.drop("_size").unionByName(rescanned)
         else:
             new_buf = upd.drop("_size")
-        rescan_groups.unpersist()
+        new_buf = self._hold(new_buf)
         others = buf_all.join(groups_a, in_groups, "left_anti")
         self.buffer.write(others.unionByName(new_buf), k, gtouched, base_b)
         if self.fault:
             self.fault("buffer", k)
         # 5. result diff over all affected groups, by id
-        new_buf_k = self.buffer.read(k, gtouched).join(groups_a, in_groups, "left_semi")
         old_top = self._top_of(buf_old)
-        new_top = self._top_of(new_buf_k)
-        diff = changelog_diff(old_top, new_top, key=self.key).cache()
+        new_top = self._top_of(new_buf)
+        diff = self._hold(changelog_diff(old_top, new_top, key=self.key))
         rtouched = diff.select(self.result.bucket_of(F.col(self.key)).alias("b")).distinct()
         if diff.isEmpty():
             self.result.carry_forward(k, base_r)
@@ -236,7 +235,6 @@ class JoinTopN:
             self.result.write(apply_changes(old_r, diff, key=self.key), k, rtouched, base_r)
             if self.external_sink is not None:
                 self.external_sink(diff, k)
-        diff.unpersist()
 
     def _limit_m(self, numbered: DataFrame, group: str) -> DataFrame:
         """Rows ranked 1..M of each group (`_r`), with `_cnt` = min(rows, M+1) and `_mth` = the M-th key.
