@@ -32,3 +32,21 @@ def test_rate_ids_stream(spark):
     assert s.isStreaming and s.columns == ["id"]
     lines = s.select(F.concat(F.col("id").cast("string"), F.lit(", "), gen.gender_col("id")).alias("value"))
     assert lines.isStreaming
+
+
+def test_producer_stream_lines_parse_back(spark, scratch):
+    from tidemark.functions.lines import parse_lines
+    from tidemark.spec import BEAN1, BEAN3
+    from tidemark.streaming.jobs import producer_lines, run_until_done, start_append
+    root = scratch("produce")
+    for topic, schema in [("test1", BEAN1), ("test3", BEAN3)]:
+        q = start_append(producer_lines(spark, topic, rows_per_batch=50), f"{root}/{topic}",
+                         f"{root}/ck_{topic}", fmt="text", available_now=True)
+        run_until_done(q)
+        lines = spark.read.text(f"{root}/{topic}")
+        rows = parse_lines(lines, schema, on_bad="fail").collect()
+        assert sorted(r.id for r in rows) == list(range(1, 51))
+        if topic == "test1":
+            assert {r.gender for r in rows} <= {" male", " female"}   # the space after the comma is kept
+        else:
+            assert all(0 <= r.score <= 100 for r in rows)

@@ -17,11 +17,10 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
                                TimestampNTZType)
 from pyspark.errors import StreamingQueryException
 
-from ..functions.lines import parse_lines
 from ..session import scratch_path
 from ..sources import tables as tb
 from ..sources.streams import read_changelog
-from ..streaming.jobs import run_until_done, start_append, start_foreach_batch
+from ..streaming.jobs import ingest, maintain_topn, replicate, run_until_done, start_append
 from ..streaming.keyed import KeyedReplica
 from ..streaming.topn import JoinTopN, Side
 from .catalog import TOP_N, envelopes, text_lines
@@ -89,19 +88,16 @@ def run_join_topn(spark: SparkSession, sf_dir: str, fault=None, buckets: int = 1
         _write_files(df, f"{root}/feeds/{side}")
     m = JoinTopN(spark, f"{root}/state", SIDES, FEED_SCHEMA, group="gender", order="score", n=TOP_N,
                  buckets=buckets, group_buckets=8)
-    stream = None
-    for s in SIDES:
-        one = _feed_stream(spark, f"{root}/feeds/{s.name}", FEED_SCHEMA)
-        stream = one if stream is None else stream.unionByName(one)
+    feeds = [_feed_stream(spark, f"{root}/feeds/{s.name}", FEED_SCHEMA) for s in SIDES]
     ck = f"{root}/checkpoint"
     m.fault = fault
     try:
-        run_until_done(start_foreach_batch(stream, m.process, ck, available_now=True))
+        run_until_done(maintain_topn(feeds, m, ck, available_now=True))
     except StreamingQueryException:
         if fault is None:
             raise
         m.fault = None  # restart from the checkpoint: the failed batch is replayed
-        run_until_done(start_foreach_batch(stream, m.process, ck, available_now=True))
+        run_until_done(maintain_topn(feeds, m, ck, available_now=True))
     return m
 
 
@@ -121,10 +117,8 @@ def q_stream_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/text")
     from ..spec import BEAN1
     schema = StructType([StructField("id", LongType(), False), BEAN1["gender"]])
-    good, _ = parse_lines(stream, schema, on_bad="divert")
-    good.createOrReplaceTempView("bean1")
-    run_until_done(start_append(spark.sql("select * from bean1"), f"{root}/out", f"{root}/checkpoint",
-                                available_now=True))
+    rows, _ = ingest(stream, schema, view="bean1", sql="select * from bean1", on_bad="divert")
+    run_until_done(start_append(rows, f"{root}/out", f"{root}/checkpoint", available_now=True))
     return spark.read.parquet(f"{root}/out").select(F.col("id").cast("int").alias("id"), "gender")
 
 
@@ -139,7 +133,7 @@ def q_stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = read_changelog(spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/changes"), row)
     rep = KeyedReplica(spark, f"{root}/state", row, "id", order=("ts_ms", "pos"),
                        order_types={"ts_ms": LongType(), "pos": LongType()}, buckets=16)
-    run_until_done(start_foreach_batch(stream, rep.process, f"{root}/checkpoint", available_now=True))
+    run_until_done(replicate(stream, rep, f"{root}/checkpoint", available_now=True))
     return rep.current()
 
 
@@ -157,7 +151,9 @@ def q_stream_upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rep.initialize(snap)
     src = spark.readStream.schema("value string, pos long").option("maxFilesPerTrigger", 1) \
         .parquet(f"{root}/lines")
-    parsed = parse_lines(src, schema, on_bad="fail", keep=("pos",)).withColumn("op", F.lit("u"))
+    def upsert(batch, batch_id):
+        rep.process(batch.withColumn("op", F.lit("u")), batch_id)
+
     crashed = []
 
     def crash_once(step: str, batch_id: int) -> None:
@@ -168,11 +164,11 @@ def q_stream_upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rep.fault = crash_once
     ck = f"{root}/checkpoint"
     try:
-        run_until_done(start_foreach_batch(parsed, rep.process, ck, available_now=True))
+        run_until_done(ingest(src, schema, sink=upsert, checkpoint=ck, available_now=True)[1])
     except StreamingQueryException:
         pass
     rep.fault = None
-    run_until_done(start_foreach_batch(parsed, rep.process, ck, available_now=True))
+    run_until_done(ingest(src, schema, sink=upsert, checkpoint=ck, available_now=True)[1])
     if not crashed:
         raise AssertionError("the replay path was not exercised")
     return rep.current()

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_root
@@ -71,3 +72,79 @@ def run_until_done(query: StreamingQuery) -> None:
     exc = query.exception()
     if exc is not None:
         raise exc
+
+
+# ---------------------------------------------------------------- the four job shapes
+
+# The three producers' topics, value generators and separators.
+PRODUCERS = {
+    "test1": ("gender", ", "),
+    "test2": ("name", ", "),
+    "test3": ("score", ","),
+}
+
+
+def producer_lines(spark: SparkSession, topic: str, rows_per_second: int = 1,
+                   rows_per_batch: int | None = None) -> DataFrame:
+    """The generated line stream of one producer: "<n><sep><value>" for n = 1, 2, 3, ...
+
+    `rows_per_second` uses the `rate` source (a live producer); `rows_per_batch`
+    the `rate-micro-batch` source (fixed-size batches, usable with availableNow).
+    """
+    from ..functions import generate as gen
+    from ..functions.lines import format_lines
+    kind, sep = PRODUCERS[topic]
+    if rows_per_batch:
+        src = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).load()
+    else:
+        src = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    ids = src.select((F.col("value") + 1).alias("id"))
+    value = {"gender": gen.gender_col, "name": gen.name_col, "score": gen.score_col}[kind]("id")
+    return format_lines(ids.select("id", value.alias(kind)), "id", kind, sep)
+
+
+def produce(spark: SparkSession, topic: str, bootstrap_servers: str, rows_per_second: int = 1,
+            available_now: bool = False) -> StreamingQuery:
+    """Producer job: generated lines -> message-log topic (value only, at-least-once)."""
+    return start_log_sink(producer_lines(spark, topic, rows_per_second), bootstrap_servers, topic,
+                          checkpoint_location(spark, f"produce-{topic}"), available_now=available_now)
+
+
+def ingest(lines: DataFrame, schema, sink: Callable[[DataFrame, int], None] | None = None,
+           view: str | None = None, sql: str | None = None, on_bad: str = "fail",
+           keep: tuple[str, ...] = ("pos",), checkpoint: str | None = None,
+           available_now: bool = False) -> tuple[DataFrame, StreamingQuery | None]:
+    """Consumer job: lines -> typed rows -> (view + SQL) -> keyed sink.
+
+    Returns the typed stream and, when a sink is given, the running query.
+    `sink(batch, batch_id)` is e.g. `KeyedReplica.process` or a JDBC sink;
+    rows carry `keep` columns (log positions) for last-writer-wins upserts.
+    """
+    from ..functions.lines import parse_lines
+    keep = tuple(c for c in keep if c in lines.columns)
+    rows = parse_lines(lines, schema, on_bad=on_bad, keep=keep)
+    if on_bad == "divert":
+        rows = rows[0]
+    if view:
+        rows.createOrReplaceTempView(view)
+        if sql:
+            rows = rows.sparkSession.sql(sql)
+    if sink is None:
+        return rows, None
+    if checkpoint is None:
+        raise ValueError("a sink needs its own checkpoint location")
+    return rows, start_foreach_batch(rows, sink, checkpoint, available_now=available_now)
+
+
+def replicate(changes: DataFrame, replica, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Replication job: changelog stream -> keyed replica (inserts, updates, deletes)."""
+    return start_foreach_batch(changes, replica.process, checkpoint, available_now=available_now)
+
+
+def maintain_topn(feeds: list[DataFrame], maintainer, checkpoint: str,
+                  available_now: bool = False) -> StreamingQuery:
+    """Join + top-N job: tagged changelog streams of all sides, unioned so one batch covers them all."""
+    stream = feeds[0]
+    for f in feeds[1:]:
+        stream = stream.unionByName(f)
+    return start_foreach_batch(stream, maintainer.process, checkpoint, available_now=available_now)
