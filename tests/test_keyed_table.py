@@ -12,7 +12,7 @@ def test_versions_buckets_and_emptied_bucket(spark, scratch):
     t.initialize(spark.createDataFrame([(i, f"a{i}") for i in range(20)], SCHEMA))
     assert t.read(-1).count() == 20
     one = spark.createDataFrame([(3, "x")], SCHEMA)
-    touched = one.select(t.bucket_of().alias("b"))
+    touched = t.buckets_of(one)
     old = t.read(-1, touched)
     same_bucket = [r.id for r in old.collect()]
     # version 0: the bucket of id 3 is emptied (rows of other buckets stay)

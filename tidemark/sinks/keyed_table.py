@@ -3,18 +3,20 @@
 Spark's file sinks append; a keyed table needs "replace the rows of these
 keys". Without a lakehouse format this is done copy-on-write per bucket:
 
-  {path}/data/_bucket=<b>/_version=<v>/part-*.parquet  rows of one bucket at one version
-  {path}/index/v=<version>/                            (b, v): current version per bucket
+  {path}/data/_bucket=<b>/_version=<v>/part-*.parquet   rows of one bucket at one version
+  {path}/manifest/v=<version>.json                      {bucket: version} as of <version>
 
 * A row's bucket is pmod(xxhash64(key), buckets). A batch rewrites only the
   buckets its keys fall in, at version = batch id (dynamic partition
   overwrite: other partitions are untouched).
-* Reading "as of k" takes index v=k (at most `buckets` rows, metadata only)
-  and reads exactly those bucket directories.
-* Replaying batch k rewrites the same (b, v=k) directories from the same
+* The manifest of a version is written after its data, so it is the commit
+  mark: a version without a manifest is invisible. It holds at most
+  `buckets` numbers and is read and written on the driver (metadata only).
+* Reading "as of k" reads exactly the bucket folders the manifest names.
+* Replaying batch k rewrites the same (bucket, k) folders from the same
   "as of k-1" input: same rows. A crash at any point is healed by the replay.
 * A touched bucket always gets one marker row, so an emptied bucket still has
-  a directory for its version.
+  a folder for its version.
 
 Bucket count sets the rewrite unit: a batch costs (touched buckets x bucket
 size). Choose it so one bucket is a few hundred MB at full size.
@@ -22,16 +24,15 @@ size). Choose it so one bucket is a few hundred MB at full size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 _MARK = "_mark"
 _BUCKET, _VERSION = "_bucket", "_version"   # partition columns of the data folder
-_INDEX_SCHEMA = StructType([StructField("b", IntegerType(), False),
-                            StructField("v", LongType(), False)])
 
 
 class KeyedTable:
@@ -51,94 +52,125 @@ class KeyedTable:
     def _data(self) -> str:
         return f"{self.path}/data"
 
-    def _index_path(self, version: int) -> str:
-        return f"{self.path}/index/v={version}"
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.path}/manifest/v={version}.json"
 
     def bucket_of(self, *cols: Column) -> Column:
         keys = cols or tuple(F.col(k) for k in self.key)
         return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
 
-    def _index(self, version: int | None) -> DataFrame:
-        if version is None or version < -1 or not self._exists(self._index_path(version)):
-            return self.spark.createDataFrame([], _INDEX_SCHEMA)
-        return self.spark.read.schema(_INDEX_SCHEMA).parquet(self._index_path(version))
+    def buckets_of(self, df: DataFrame, *cols: Column) -> list[int]:
+        """The buckets that rows of `df` fall in (at most `buckets` numbers)."""
+        return sorted(r[0] for r in df.select(self.bucket_of(*cols).alias("b")).distinct().collect())
 
-    def _fs_path(self, path: str):
+    # ------------------------------------------------------------ manifest (driver-side metadata)
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _exists(self, path: str) -> bool:
-        """A committed write: its folder holds the job's _SUCCESS marker."""
-        fs, p = self._fs_path(path)
-        return fs.exists(p.suffix("/_SUCCESS"))
+    def _read_text(self, path: str) -> str | None:
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            scanner = self.spark.sparkContext._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A")
+            return scanner.next() if scanner.hasNext() else ""
+        finally:
+            stream.close()
+
+    def _write_text(self, path: str, text: str) -> None:
+        fs, p = self._fs(path)
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def manifest(self, version: int | None) -> dict[int, int]:
+        """{bucket: version} as of `version` ({} when there is none)."""
+        if version is None:
+            return {}
+        text = self._read_text(self._manifest_path(version))
+        if text is None:
+            return {}
+        return {int(b): int(v) for b, v in json.loads(text)["buckets"].items()}
+
+    def _commit(self, version: int, pairs: dict[int, int]) -> None:
+        self._write_text(self._manifest_path(version),
+                         json.dumps({"version": version,
+                                     "buckets": {str(b): v for b, v in sorted(pairs.items())}}))
 
     def versions(self) -> list[int]:
-        """Committed versions, newest first (a listing of the index folder)."""
-        fs, p = self._fs_path(f"{self.path}/index")
+        """Committed versions, newest first (a listing of the manifest folder)."""
+        fs, p = self._fs(f"{self.path}/manifest")
         if not fs.exists(p):
             return []
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[2:]))
+            if name.startswith("v=") and name.endswith(".json"):
+                out.append(int(name[2:-5]))
         return sorted(out, reverse=True)
 
-    # ------------------------------------------------------------ reads
-    def read(self, as_of: int | None, buckets: DataFrame | None = None) -> DataFrame:
-        """Rows as of a version (optionally only some buckets: a DataFrame with column `b`)."""
-        idx = self._index(as_of)
-        if buckets is not None:
-            idx = idx.join(buckets.select("b").distinct(), "b", "left_semi")
-        # The index is metadata: at most `self.buckets` (bucket, version) pairs.
-        pairs = [(r.b, r.v) for r in idx.collect()]
-        if not pairs:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self._data}/{_BUCKET}={b}/{_VERSION}={v}" for b, v in pairs]
-        full = StructType([*self.schema.fields, StructField(_MARK, IntegerType(), True)])
-        df = self.spark.read.schema(full).parquet(*paths)
-        return df.where(F.col(_MARK).isNull()).select(*self.schema.fieldNames())
-
     def latest_version(self, upto: int | None = None) -> int | None:
         """Greatest committed version <= upto (any if None); None if there is none.
 
         Every batch commits a version (`carry_forward` when it changes
         nothing), so after the first batch this is `upto` itself.
         """
-        if upto is not None and self._exists(self._index_path(upto)):
-            return upto
+        if upto is not None:
+            fs, p = self._fs(self._manifest_path(upto))
+            if fs.exists(p):
+                return upto
         for v in self.versions():
             if upto is None or v <= upto:
                 return v
         return None
 
+    # ------------------------------------------------------------ reads
+    def read(self, as_of: int | None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """Rows as of a version, optionally only of some buckets."""
+        pairs = self.manifest(as_of)
+        if buckets is not None:
+            wanted = set(buckets)
+            pairs = {b: v for b, v in pairs.items() if b in wanted}
+        if not pairs:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self._data}/{_BUCKET}={b}/{_VERSION}={v}" for b, v in sorted(pairs.items())]
+        full = StructType([*self.schema.fields, StructField(_MARK, IntegerType(), True)])
+        df = self.spark.read.schema(full).parquet(*paths)
+        return df.where(F.col(_MARK).isNull()).select(*self.schema.fieldNames())
+
     # ------------------------------------------------------------ writes
-    def write(self, rows: DataFrame, version: int, touched: DataFrame, base_version: int | None) -> None:
+    def write(self, rows: DataFrame, version: int, touched: Iterable[int], base_version: int | None) -> None:
         """Make `rows` the full content of the `touched` buckets at `version`.
 
-        `touched` has column `b`; every row of `rows` must fall in a touched bucket.
-        Other buckets keep what they had as of `base_version`.
+        Every row of `rows` must fall in a touched bucket. Other buckets keep
+        what they had as of `base_version`.
         """
-        touched = touched.select("b").distinct()
-        marks = touched.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields],
-                               F.lit(1).alias(_MARK), F.col("b").alias(_BUCKET))
-        body = rows.select(*self.schema.fieldNames(), F.lit(None).cast("int").alias(_MARK),
-                           self.bucket_of().alias(_BUCKET))
-        (body.unionByName(marks)
-             .withColumn(_VERSION, F.lit(version).cast("long"))
-             .repartition(_BUCKET)
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(_BUCKET, _VERSION).parquet(self._data))
-        old = self._index(base_version).join(touched, "b", "left_anti")
-        new = old.unionByName(touched.select("b", F.lit(version).cast("long").alias("v")))
-        new.coalesce(1).write.mode("overwrite").parquet(self._index_path(version))
+        touched = sorted(set(touched))
+        pairs = self.manifest(base_version)
+        if touched:
+            marks = self.spark.createDataFrame(
+                [(b,) for b in touched], StructType([StructField(_BUCKET, IntegerType(), False)]))
+            marks = marks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields],
+                                 F.lit(1).alias(_MARK), _BUCKET)
+            body = rows.select(*self.schema.fieldNames(), F.lit(None).cast("int").alias(_MARK),
+                               self.bucket_of().alias(_BUCKET))
+            (body.unionByName(marks)
+                 .withColumn(_VERSION, F.lit(version).cast("long"))
+                 .repartition(_BUCKET)
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(_BUCKET, _VERSION).parquet(self._data))
+            pairs.update({b: version for b in touched})
+        self._commit(version, pairs)
 
     def initialize(self, rows: DataFrame, version: int = -1) -> None:
         """Load a snapshot as the content before the first batch."""
-        touched = self.spark.range(self.buckets).select(F.col("id").cast("int").alias("b"))
-        self.write(rows, version, touched, None)
+        self.write(rows, version, range(self.buckets), None)
 
     def carry_forward(self, version: int, base_version: int | None) -> None:
         """Record `version` with no change (a batch that touched nothing)."""
-        self._index(base_version).coalesce(1).write.mode("overwrite").parquet(self._index_path(version))
+        self._commit(version, self.manifest(base_version))

@@ -48,8 +48,8 @@ class KeyedReplica:
         base = self.table.latest_version(batch_id - 1)
         changes = batch.select(*self.columns, self.op_col, *self.order).persist()
         try:
-            touched = changes.select(self.table.bucket_of().alias("b")).distinct()
-            if touched.isEmpty():
+            touched = self.table.buckets_of(changes)
+            if not touched:
                 self.table.carry_forward(batch_id, base)
                 return
             old = self.table.read(base, touched)

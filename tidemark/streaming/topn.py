@@ -152,8 +152,8 @@ class JoinTopN:
         return df
 
     def _process(self, wide: DataFrame, k: int, base_j, base_b, base_r) -> None:
-        touched = wide.select(self.joined.bucket_of(F.col(self.key)).alias("b")).distinct()
-        if touched.isEmpty():
+        touched = self.joined.buckets_of(wide, F.col(self.key))
+        if not touched:
             self.joined.carry_forward(k, base_j)
             self.buffer.carry_forward(k, base_b)
             self.result.carry_forward(k, base_r)
@@ -170,7 +170,8 @@ class JoinTopN:
         new_rows = self._hold(self.live_view(new_j).join(ids, self.key, "left_semi"))
         g = self.group
         groups = old_rows.select(F.col(g).alias("_g")).union(new_rows.select(F.col(g).alias("_g"))).distinct()
-        gtouched = groups.select(self.buffer.bucket_of(F.col("_g")).alias("b")).distinct()
+        groups = self._hold(groups)
+        gtouched = self.buffer.buckets_of(groups, F.col("_g"))
         buf_all = self._hold(self.buffer.read(base_b, gtouched))
         in_groups = F.col("_g").eqNullSafe(F.col("_ag"))
         groups_a = groups.select(F.col("_g").alias("_ag"))
@@ -227,8 +228,8 @@ class JoinTopN:
         old_top = self._top_of(buf_old)
         new_top = self._top_of(new_buf)
         diff = self._hold(changelog_diff(old_top, new_top, key=self.key))
-        rtouched = diff.select(self.result.bucket_of(F.col(self.key)).alias("b")).distinct()
-        if diff.isEmpty():
+        rtouched = self.result.buckets_of(diff, F.col(self.key))
+        if not rtouched:
             self.result.carry_forward(k, base_r)
         else:
             old_r = self.result.read(base_r, rtouched)
