@@ -100,9 +100,15 @@ def reject_reason(value: Column, schema: StructType, sep: str = ",") -> Column:
     return _field_reasons(split_fields(value, sep), schema)[1]
 
 
+def line_col(key: str | Column, value: str | Column, sep: str = ", ") -> Column:
+    """`<key><sep><value>` as string concatenation renders it (null -> "null")."""
+    def text(c) -> Column:
+        c = F.col(c) if isinstance(c, str) else c
+        return F.coalesce(c.cast("string"), F.lit("null"))
+    return F.concat(text(key), F.lit(sep), text(value))
+
+
 def format_lines(df: DataFrame, key: str = "id", value: str = "gender", sep: str = ", ",
                  out: str = "value") -> DataFrame:
-    """`<key><sep><value>` per row, as string concatenation renders it (null -> "null")."""
-    def text(c: str) -> Column:
-        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    return df.select(F.concat(text(key), F.lit(sep), text(value)).alias(out))
+    """One line per row: `<key><sep><value>`."""
+    return df.select(line_col(key, value, sep).alias(out))

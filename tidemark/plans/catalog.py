@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import generate as gen
-from ..functions.lines import format_lines, parse_lines
+from ..functions.lines import line_col, parse_lines
 from ..operators.changelog import apply_changes, changelog_diff, current_state, upsert_by_key
 from ..operators.join import join_by_key
 from ..operators.rank import row_number_by_group, top_n_per_group
@@ -101,13 +101,13 @@ def q_gen_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_format_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three producers' payloads: "n, gender", "n, Name", "n,score"."""
+    """The three producers' payloads "n, gender", "n, Name", "n,score": one scan, three rows per key."""
     ids = _ids(spark, sf_dir)
-    rows = ids.select("id", gen.gender_col("id").alias("gender"), gen.name_col("id").alias("name"),
-                      gen.score_col("id").alias("score"))
-    return (format_lines(rows, "id", "gender", ", ").withColumn("topic", F.lit("test1"))
-            .unionByName(format_lines(rows, "id", "name", ", ").withColumn("topic", F.lit("test2")))
-            .unionByName(format_lines(rows, "id", "score", ",").withColumn("topic", F.lit("test3"))))
+    topics = [("test1", gen.gender_col("id"), ", "), ("test2", gen.name_col("id"), ", "),
+              ("test3", gen.score_col("id"), ",")]
+    return ids.select(F.inline(F.array(*[
+        F.struct(line_col("id", value, sep).alias("value"), F.lit(topic).alias("topic"))
+        for topic, value, sep in topics])))
 
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
