@@ -153,8 +153,9 @@ class KeyedTable:
         touched = sorted(set(touched))
         pairs = self.manifest(base_version)
         if touched:
-            marks = self.spark.createDataFrame(
-                [(b,) for b in touched], StructType([StructField(_BUCKET, IntegerType(), False)]))
+            # marker rows from spark.range: JVM-side, no local data shipped from Python
+            marks = self.spark.range(self.buckets).where(F.col("id").isin(touched)) \
+                .select(F.col("id").cast("int").alias(_BUCKET))
             marks = marks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields],
                                  F.lit(1).alias(_MARK), _BUCKET)
             body = rows.select(*self.schema.fieldNames(), F.lit(None).cast("int").alias(_MARK),
@@ -174,3 +175,40 @@ class KeyedTable:
     def carry_forward(self, version: int, base_version: int | None) -> None:
         """Record `version` with no change (a batch that touched nothing)."""
         self._commit(version, self.manifest(base_version))
+
+    # ------------------------------------------------------------ retention
+    def vacuum(self, retain: int = 2) -> list[str]:
+        """Delete bucket versions no longer reachable from the newest `retain` versions.
+
+        Readers of the jobs here only read "as of k-1" and "as of k", so two
+        versions suffice for a running stream; keep more for time travel.
+        Returns the removed folders.
+        """
+        if retain < 1:
+            raise ValueError("retain must be >= 1")
+        versions = self.versions()
+        if len(versions) <= retain:
+            return []
+        keep = versions[:retain]
+        live = {(b, v) for ver in keep for b, v in self.manifest(ver).items()}
+        oldest_kept = min(keep)
+        removed = []
+        fs, data = self._fs(self._data)
+        if fs.exists(data):
+            for bdir in fs.listStatus(data):
+                bname = bdir.getPath().getName()
+                if not bname.startswith(f"{_BUCKET}="):
+                    continue
+                b = int(bname.split("=", 1)[1])
+                for vdir in fs.listStatus(bdir.getPath()):
+                    vname = vdir.getPath().getName()
+                    if not vname.startswith(f"{_VERSION}="):
+                        continue
+                    v = int(vname.split("=", 1)[1])
+                    # never touch versions newer than the kept ones (a batch may be writing them)
+                    if v < oldest_kept and (b, v) not in live:
+                        fs.delete(vdir.getPath(), True)
+                        removed.append(str(vdir.getPath()))
+        for ver in versions[retain:]:
+            fs.delete(self._fs(self._manifest_path(ver))[1], False)
+        return removed

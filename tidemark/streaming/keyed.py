@@ -26,7 +26,7 @@ Fault = Callable[[str, int], None]
 class KeyedReplica:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str = "id",
                  order: Sequence[str] = ("ts", "pos"), op_col: str = "op", buckets: int = 64,
-                 order_types: dict | None = None):
+                 order_types: dict | None = None, vacuum_every: int = 10, retain: int = 2):
         self.spark, self.key, self.order, self.op_col = spark, key, list(order), op_col
         self.columns = [f.name for f in schema.fields]
         types = {f.name: f.dataType for f in schema.fields}
@@ -35,6 +35,7 @@ class KeyedReplica:
                   *[StructField(c, types[c]) for c in self.order]]
         self.table = KeyedTable(spark, f"{root.rstrip('/')}/table", StructType(fields), key, buckets)
         self.fault: Fault | None = None
+        self.vacuum_every, self.retain = vacuum_every, retain
 
     def initialize(self, snapshot: DataFrame) -> None:
         """Load a snapshot (key, values, op, order columns) as the state before batch 0.
@@ -60,6 +61,16 @@ class KeyedReplica:
                 self.fault("table", batch_id)
         finally:
             changes.unpersist()
+        if self.vacuum_every and batch_id > 0 and batch_id % self.vacuum_every == 0:
+            self.table.vacuum(self.retain)
+
+    @classmethod
+    def for_spec(cls, spark: SparkSession, spec, root: str, order: Sequence[str] = ("ts", "pos"),
+                 order_types: dict | None = None, **kw) -> "KeyedReplica":
+        """A replica of a declared keyed table (`tidemark.spec.TableSpec`)."""
+        if len(spec.key) != 1:
+            raise ValueError("single-column keys only")
+        return cls(spark, root, spec.schema, spec.key[0], order=order, order_types=order_types, **kw)
 
     def current(self) -> DataFrame:
         t = self.table.read(self.table.latest_version())

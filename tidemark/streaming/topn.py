@@ -68,7 +68,8 @@ class JoinTopN:
     def __init__(self, spark: SparkSession, root: str, sides: Sequence[Side], schema: StructType,
                  group: str = "gender", order: str = "score", n: int = 2, buffer_size: int | None = None,
                  key: str = "id", change_order: Sequence[str] = ("ts", "pos"), buckets: int = 64,
-                 group_buckets: int = 16, external_sink: ChangeSink | None = None):
+                 group_buckets: int = 16, external_sink: ChangeSink | None = None,
+                 vacuum_every: int = 10, retain: int = 2):
         self.spark, self.root, self.sides = spark, root.rstrip("/"), list(sides)
         self.group, self.order, self.n, self.key = group, order, n, key
         self.m = buffer_size or max(8, 4 * n)
@@ -77,6 +78,7 @@ class JoinTopN:
         self.change_order = list(change_order)
         self.external_sink = external_sink
         self.fault: Callable[[str, int], None] | None = None  # test hook: crash between steps
+        self.vacuum_every, self.retain = vacuum_every, retain
         self.types = {f.name: f.dataType for f in schema.fields}
         self.value_cols = [c for s in self.sides for c in s.columns]
         self.out_cols = [key, *[c for c in self.value_cols]]
@@ -145,6 +147,9 @@ class JoinTopN:
             for df in self._held:
                 df.unpersist()
             self._held = []
+        if self.vacuum_every and k > 0 and k % self.vacuum_every == 0:
+            for t in (self.joined, self.buffer, self.result):
+                t.vacuum(self.retain)
 
     def _hold(self, df: DataFrame) -> DataFrame:
         """Keep a batch-sized intermediate for the rest of this batch (recomputable if lost)."""
