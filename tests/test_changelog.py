@@ -102,3 +102,21 @@ def test_keyed_replica_batches_out_of_order(spark, scratch):
 def test_lww_model_sanity():
     st = lww([("t1", 1, "u", "a", None, None, 0, 0), ("t1", 1, "u", "b", None, None, 0, 1)])
     assert st["t1"][1][3] == "b"
+
+
+def test_replica_declared_by_table_spec(spark, scratch):
+    """t5 mirrors t1 (testCDC): declared by its TableSpec, fed by a changelog with deletes."""
+    from pyspark.sql.types import LongType
+    from tidemark.spec import T5
+    rep = KeyedReplica.for_spec(spark, T5, scratch("t5"), order=("pos",), order_types={"pos": LongType()},
+                                buckets=2)
+    ch = spark.createDataFrame([(1, " male", "c", 0), (2, " female", "c", 1), (1, " female", "u", 2),
+                                (2, None, "d", 3), (3, " male", "c", 4)], "id int, gender string, op string, pos long")
+    rep.process(ch, 0)
+    assert sorted(map(tuple, rep.current().collect())) == [(1, " female"), (3, " male")]
+    assert rep.current().schema == T5.schema
+
+
+def test_console_preview_runs(spark):
+    from tidemark.streaming.jobs import producer_lines, run_until_done, start_preview
+    run_until_done(start_preview(producer_lines(spark, "test2", rows_per_batch=3), rows=3, available_now=True))
