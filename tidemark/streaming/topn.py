@@ -15,7 +15,8 @@ State (all `KeyedTable`s under one folder, versioned by batch id):
   buffer  - per group, the exact best M rows (M >= N) of the group plus a
             boundary key: every row of the group outside the buffer ranks
             after the boundary. No boundary means the buffer is the whole group.
-  result  - the top-N table itself (the keyed sink), key id.
+  result  - the top-N table itself: one row per id, stored by group so that a
+            batch rewrites the same buckets as the buffer.
 
 Per batch k (reads "as of k-1", writes version k, so a replay is a no-op):
  1. merge the batch into `joined` (only touched buckets are rewritten);
@@ -26,9 +27,9 @@ Per batch k (reads "as of k-1", writes version k, so a replay is a no-op):
  4. a group whose buffer ends up with fewer than N rows while rows outside it
     exist is rescanned: top M+1 of that group from `joined` (a distributed
     top-k with WindowGroupLimit, not a group collected into one task);
- 5. diff old top N against new top N by id over all affected groups (a row
-    that changes group is one upsert) and apply it to `result`; the diff is
-    also handed to an optional external sink with the batch id.
+ 5. write the new top N of the touched groups to `result`; for an external
+    keyed sink (JDBC), hand it the diff of old and new top N by id over all
+    affected groups (a row that changes group is one upsert) with the batch id.
 Cost per batch: touched buckets + buffers of affected groups; the full
 joined table is read only for rescans.
 """
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType)
 
-from ..operators.changelog import OP_DELETE, apply_changes, changelog_diff
+from ..operators.changelog import OP_DELETE, changelog_diff
 from ..sinks.keyed_table import KeyedTable
 
 ChangeSink = Callable[[DataFrame, int], None]
@@ -95,8 +96,10 @@ class JoinTopN:
         self.buffer = KeyedTable(spark, f"{self.root}/buffer", StructType(
             [StructField("_g", gtype), *row_fields, StructField("_bon", BooleanType()),
              StructField("_bscore", otype), StructField("_bid", ktype)]), "_g", group_buckets)
+        # One row per id (an id is in one group at a time); stored by group like the
+        # buffer, so a batch rewrites exactly the buffer's touched buckets.
         self.result = KeyedTable(spark, f"{self.root}/result", StructType(
-            [*row_fields, StructField("rn", LongType())]), key, buckets)
+            [*row_fields, StructField("rn", LongType())]), group, group_buckets)
 
     # ------------------------------------------------------------ views
     def live_view(self, joined: DataFrame) -> DataFrame:
@@ -169,78 +172,95 @@ class JoinTopN:
         if self.fault:
             self.fault("joined", k)
         new_j = self.joined.read(k, touched)
-        # 2. views of touched ids
+        # 2. views of touched ids; affected groups = their old and new groups
         ids = wide.select(self.key).distinct()
         old_rows = self._hold(self.live_view(old_j).join(ids, self.key, "left_semi"))
         new_rows = self._hold(self.live_view(new_j).join(ids, self.key, "left_semi"))
         g = self.group
-        groups = old_rows.select(F.col(g).alias("_g")).union(new_rows.select(F.col(g).alias("_g"))).distinct()
-        groups = self._hold(groups)
+        groups = self._hold(old_rows.select(F.col(g).alias("_g"))
+                            .union(new_rows.select(F.col(g).alias("_g"))).distinct())
         gtouched = self.buffer.buckets_of(groups, F.col("_g"))
-        buf_all = self._hold(self.buffer.read(base_b, gtouched))
-        in_groups = F.col("_g").eqNullSafe(F.col("_ag"))
-        groups_a = groups.select(F.col("_g").alias("_ag"))
-        buf_old = buf_all.join(groups_a, in_groups, "left_semi")
-        # 3. incremental buffer update
-        bounds = buf_old.groupBy("_g").agg(F.first("_bon").alias("_bon"), F.first("_bscore").alias("_bscore"),
-                                            F.first("_bid").alias("_bid"))
-        kept_old = buf_old.join(ids, self.key, "left_anti").select("_g", *self.out_cols)
-        cand = kept_old.unionByName(new_rows.select(F.col(g).alias("_g"), *self.out_cols))
-        cand = cand.join(groups_a, in_groups, "left_semi")  # only affected groups
-        cand = (cand.join(bounds.withColumnRenamed("_g", "_bg"), F.col("_g").eqNullSafe(F.col("_bg")), "left")
-                    .drop("_bg").fillna({"_bon": False}))
-        cand = cand.where(~F.col("_bon") | ranks_at_or_before(F.col(self.order), F.col(self.key),
-                                                               F.col("_bscore"), F.col("_bid")))
-        w = Window.partitionBy("_g").orderBy(F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last())
-        ranked = self._limit_m(cand.withColumn("_r", F.row_number().over(w)), "_g")
-        trimmed = F.col("_cnt") > self.m
-        upd = ranked.select(
-            "_g", *self.out_cols,
-            (F.col("_bon") | trimmed).alias("_bon"),
-            F.when(trimmed, F.col("_mth.s")).otherwise(F.col("_bscore")).alias("_bscore"),
-            F.when(trimmed, F.col("_mth.i")).otherwise(F.col("_bid")).alias("_bid"),
-            F.least(F.col("_cnt"), F.lit(self.m)).alias("_size"))
-        upd = self._hold(upd)
-        # 4. groups needing a rescan: boundary set (rows outside) but fewer than n kept
-        # (also groups whose kept set became empty while rows remain outside)
-        need = (groups_a.join(upd.groupBy("_g").agg(F.max("_size").alias("_size"), F.max("_bon").alias("_bon")),
-                              F.col("_ag").eqNullSafe(F.col("_g")), "left")
-                .join(bounds.select(F.col("_g").alias("_og"), F.col("_bon").alias("_obon")),
-                      F.col("_ag").eqNullSafe(F.col("_og")), "left")
-                .where(F.coalesce(F.col("_bon"), F.col("_obon"), F.lit(False))
-                       & (F.coalesce(F.col("_size"), F.lit(0)) < self.n))
-                .select(F.col("_ag").alias("_rg")))
-        rescan_groups = self._hold(need)
+        # every buffer row of those buckets; groups the batch does not touch pass through unchanged
+        buf_all = self.buffer.read(base_b, gtouched)
+        # 3. one pass per group (buffer update, rescan need, old and new top N)
+        u = self._hold(self._group_pass(buf_all, ids, new_rows))
+        rescan_groups = self._hold(u.where(F.col("_rescan")).select("_g").distinct())
+        kept = u.where(F.col("_cand") & (F.col("_r") <= self.m) & ~F.col("_rescan"))
+        new_buf = kept.select("_g", *self.out_cols, F.col("_nbon").alias("_bon"),
+                              F.col("_nbs").alias("_bscore"), F.col("_nbi").alias("_bid"))
+        new_top = kept.where(F.col("_r") <= self.n).select(*self.out_cols, F.col("_r").cast("long").alias("rn"))
+        old_top = u.where((F.col("_src") == "b") & (F.col("_or") <= self.n)) \
+            .select(*self.out_cols, F.col("_or").cast("long").alias("rn"))
+        # 4. groups left with fewer than n known rows while rows remain outside: rescan them
         if not rescan_groups.isEmpty():
             full = self.live_view(self.joined.read(k))
-            sub = full.join(rescan_groups, F.col(g).eqNullSafe(F.col("_rg")), "left_semi")
-            wr = Window.partitionBy(g).orderBy(F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last())
-            rescanned = (self._limit_m(sub.withColumn("_r", F.row_number().over(wr)), g)
-                         .select(F.col(g).alias("_g"), *self.out_cols,
-                                 (F.col("_cnt") > self.m).alias("_bon"),
-                                 F.when(F.col("_cnt") > self.m, F.col("_mth.s")).alias("_bscore"),
-                                 F.when(F.col("_cnt") > self.m, F.col("_mth.i")).alias("_bid")))
-            upd = upd.join(rescan_groups, F.col("_g").eqNullSafe(F.col("_rg")), "left_anti")
-            new_buf = upd.drop("_size").unionByName(rescanned)
-        else:
-            new_buf = upd.drop("_size")
-        new_buf = self._hold(new_buf)
-        others = buf_all.join(groups_a, in_groups, "left_anti")
-        self.buffer.write(others.unionByName(new_buf), k, gtouched, base_b)
+            sub = full.join(rescan_groups, F.col(g).eqNullSafe(F.col("_g")), "left_semi")
+            wr = Window.partitionBy(g).orderBy(*self._order())
+            rescanned = self._hold(
+                self._limit_m(sub.withColumn("_r", F.row_number().over(wr)), g)
+                .select(F.col(g).alias("_g"), *self.out_cols, "_r",
+                        (F.col("_cnt") > self.m).alias("_bon"),
+                        F.when(F.col("_cnt") > self.m, F.col("_mth.s")).alias("_bscore"),
+                        F.when(F.col("_cnt") > self.m, F.col("_mth.i")).alias("_bid")))
+            new_buf = new_buf.unionByName(rescanned.drop("_r"))
+            new_top = new_top.unionByName(rescanned.where(F.col("_r") <= self.n)
+                                          .select(*self.out_cols, F.col("_r").cast("long").alias("rn")))
+        self.buffer.write(new_buf, k, gtouched, base_b)
         if self.fault:
             self.fault("buffer", k)
-        # 5. result diff over all affected groups, by id
-        old_top = self._top_of(buf_old)
-        new_top = self._top_of(new_buf)
-        diff = self._hold(changelog_diff(old_top, new_top, key=self.key))
-        rtouched = self.result.buckets_of(diff, F.col(self.key))
-        if not rtouched:
-            self.result.carry_forward(k, base_r)
-        else:
-            old_r = self.result.read(base_r, rtouched)
-            self.result.write(apply_changes(old_r, diff, key=self.key), k, rtouched, base_r)
-            if self.external_sink is not None:
-                self.external_sink(diff, k)
+        # 5. the top-N table: new top N of every group in the touched buckets
+        self.result.write(new_top, k, gtouched, base_r)
+        if self.external_sink is not None:
+            # what a keyed sink by id must apply: by id over all groups (a row changing group is one upsert)
+            self.external_sink(changelog_diff(old_top, new_top, key=self.key), k)
+
+    def _order(self) -> list[Column]:
+        return [F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last()]
+
+    def _group_pass(self, buf_all: DataFrame, ids: DataFrame, new_rows: DataFrame) -> DataFrame:
+        """All rows that matter to each group, in one partitioning by group.
+
+        Rows: the group's buffer rows (`_src`='b', `_gone` when their id changed
+        in this batch) and the batch's rows now in the group (`_src`='n'), cut
+        to the best M+1 per group first (a WindowGroupLimit, so a group that
+        holds a third of the batch still ships at most M+1 rows per map task).
+        Every later window is partitioned by the group (or the group and a
+        flag), which the single exchange on the group already satisfies.
+        """
+        m, n = self.m, self.n
+        gone = ids.select(self.key, F.lit(True).alias("_gone"))
+        buf = (buf_all.join(gone, self.key, "left")
+               .select("_g", *self.out_cols, "_bon", "_bscore", "_bid",
+                       F.coalesce(F.col("_gone"), F.lit(False)).alias("_gone"), F.lit("b").alias("_src")))
+        wn = Window.partitionBy("_g").orderBy(*self._order())
+        new = (new_rows.withColumn("_g", F.col(self.group))
+               .withColumn("_r", F.row_number().over(wn)).where(F.col("_r") <= m + 1)
+               .select("_g", *self.out_cols, F.lit(None).cast("boolean").alias("_bon"),
+                       F.lit(None).cast(self.types[self.order]).alias("_bscore"),
+                       F.lit(None).cast(self.types[self.key]).alias("_bid"),
+                       F.lit(False).alias("_gone"), F.lit("n").alias("_src")))
+        wg = Window.partitionBy("_g")
+        is_buf = F.col("_src") == "b"
+        u = (buf.unionByName(new)
+             # the group's boundary, carried by each of its buffer rows (gone ones included)
+             .withColumn("_gbon", F.coalesce(F.max(F.when(is_buf, F.col("_bon"))).over(wg), F.lit(False)))
+             .withColumn("_gbs", F.max(F.when(is_buf, F.col("_bscore"))).over(wg))
+             .withColumn("_gbi", F.max(F.when(is_buf, F.col("_bid"))).over(wg)))
+        passes = ~F.col("_gbon") | ranks_at_or_before(F.col(self.order), F.col(self.key),
+                                                      F.col("_gbs"), F.col("_gbi"))
+        u = u.withColumn("_cand", F.when(is_buf, ~F.col("_gone")).otherwise(passes))
+        wc = Window.partitionBy("_g", "_cand").orderBy(*self._order())
+        wo = Window.partitionBy("_g", "_src").orderBy(*self._order())
+        u = (u.withColumn("_r", F.when(F.col("_cand"), F.row_number().over(wc)))
+              .withColumn("_or", F.when(is_buf, F.row_number().over(wo))))
+        mth = F.max_by(F.struct(F.col(self.order).alias("s"), F.col(self.key).alias("i")),
+                       F.when(F.col("_r") == m, F.lit(1)))
+        u = u.withColumn("_cnt", F.coalesce(F.max("_r").over(wg), F.lit(0))).withColumn("_mth", mth.over(wg))
+        trimmed = F.col("_cnt") > m
+        return (u.withColumn("_nbon", F.col("_gbon") | trimmed)
+                 .withColumn("_nbs", F.when(trimmed, F.col("_mth.s")).otherwise(F.col("_gbs")))
+                 .withColumn("_nbi", F.when(trimmed, F.col("_mth.i")).otherwise(F.col("_gbi")))
+                 .withColumn("_rescan", F.col("_nbon") & (F.least(F.col("_cnt"), F.lit(m)) < n)))
 
     def _limit_m(self, numbered: DataFrame, group: str) -> DataFrame:
         """Rows ranked 1..M of each group (`_r`), with `_cnt` = min(rows, M+1) and `_mth` = the M-th key.
@@ -254,8 +274,3 @@ class JoinTopN:
                        F.when(F.col("_r") == self.m, F.lit(1)))
         return (top.withColumn("_cnt", F.max("_r").over(whole)).withColumn("_mth", mth.over(whole))
                    .where(F.col("_r") <= self.m))
-
-    def _top_of(self, buf: DataFrame) -> DataFrame:
-        w = Window.partitionBy("_g").orderBy(F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last())
-        return (buf.withColumn("rn", F.row_number().over(w).cast("long")).where(F.col("rn") <= self.n)
-                   .select(*self.out_cols, "rn"))
