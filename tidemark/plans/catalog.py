@@ -174,7 +174,9 @@ def feed_state(spark: SparkSession, sf_dir: str, share: tuple[int, int] | None =
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = tb.change_feed(spark, sf_dir)
-    return to_envelope(feed.withColumn("ts_ms", F.unix_millis(F.col("ts").cast("timestamp"))),
+    # milliseconds since the epoch of a TIMESTAMP_NTZ: no session time zone involved
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return to_envelope(feed.withColumn("ts_ms", F.timestamp_diff("MILLISECOND", epoch, F.col("ts"))),
                        ["id", "event_type", "value"], ts_ms="ts_ms", pos="pos",
                        file=F.lit("events"))
 
