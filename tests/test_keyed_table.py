@@ -60,3 +60,10 @@ def test_vacuum_keeps_what_readers_need(spark, scratch):
     assert t.versions() == [3, 2]
     assert {r.id: r.v for r in t.read(3).collect()} == before
     assert t.read(2).count() == 40
+
+
+def test_buckets_for_sizes():
+    from tidemark.sinks.keyed_table import buckets_for
+    assert buckets_for(0) == 16
+    assert buckets_for(10 << 40) == 65536
+    assert buckets_for(1 << 30, target_bucket_bytes=1 << 28) == 16

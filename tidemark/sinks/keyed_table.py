@@ -35,6 +35,16 @@ _MARK = "_mark"
 _BUCKET, _VERSION = "_bucket", "_version"   # partition columns of the data folder
 
 
+def buckets_for(table_bytes: int, target_bucket_bytes: int = 256 << 20, minimum: int = 16) -> int:
+    """Bucket count so that one bucket holds about `target_bucket_bytes` (a power of two).
+
+    E.g. 10 TB of state -> 65536 buckets of ~160 MB: a micro-batch rewrites
+    only the buckets its keys touch, each one task's worth of data.
+    """
+    n = max(minimum, -(-table_bytes // target_bucket_bytes))
+    return 1 << (n - 1).bit_length()
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType,
                  key: str | Sequence[str] = "id", buckets: int = 64):

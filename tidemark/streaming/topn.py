@@ -73,7 +73,9 @@ class JoinTopN:
                  vacuum_every: int = 10, retain: int = 2):
         self.spark, self.root, self.sides = spark, root.rstrip("/"), list(sides)
         self.group, self.order, self.n, self.key = group, order, n, key
-        self.m = buffer_size or max(8, 4 * n)
+        # A bigger buffer makes rescans (full scans of `joined`) rarer: a group is
+        # rescanned only after M-N+1 of its best rows left without replacement.
+        self.m = buffer_size or max(16, 8 * n)
         if self.m < n:
             raise ValueError("buffer_size must be >= n")
         self.change_order = list(change_order)
