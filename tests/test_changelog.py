@@ -105,7 +105,7 @@ def test_lww_model_sanity():
 
 
 def test_replica_declared_by_table_spec(spark, scratch):
-    """t5 mirrors t1 (testCDC): declared by its TableSpec, fed by a changelog with deletes."""
+    """t5 mirrors t1: declared by its TableSpec, fed by a changelog with deletes."""
     from pyspark.sql.types import LongType
     from tidemark.spec import T5
     rep = KeyedReplica.for_spec(spark, T5, scratch("t5"), order=("pos",), order_types={"pos": LongType()},

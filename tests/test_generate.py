@@ -36,10 +36,10 @@ def test_rate_ids_stream(spark):
 
 def test_producer_stream_lines_parse_back(spark, scratch):
     from tidemark.functions.lines import parse_lines
-    from tidemark.spec import BEAN1, BEAN3
+    from tidemark.spec import GENDER_ROW, SCORE_ROW
     from tidemark.streaming.jobs import producer_lines, run_until_done, start_append
     root = scratch("produce")
-    for topic, schema in [("test1", BEAN1), ("test3", BEAN3)]:
+    for topic, schema in [("test1", GENDER_ROW), ("test3", SCORE_ROW)]:
         q = start_append(producer_lines(spark, topic, rows_per_batch=50), f"{root}/{topic}",
                          f"{root}/ck_{topic}", fmt="text", available_now=True)
         run_until_done(q)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidemark.functions.lines import format_lines, parse_lines, reject_reason
-from tidemark.spec import BEAN1, BEAN3
+from tidemark.spec import GENDER_ROW, SCORE_ROW
 
 # (line, expected (id, text) or reject reason) for the (int, string) parser
 TEXT_CASES = [
@@ -52,7 +52,7 @@ def _lines(spark, cases):
     return spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "pos long, value string")
 
 
-@pytest.mark.parametrize("schema,cases", [(BEAN1, TEXT_CASES), (BEAN3, INT_CASES)])
+@pytest.mark.parametrize("schema,cases", [(GENDER_ROW, TEXT_CASES), (SCORE_ROW, INT_CASES)])
 def test_parse_table(spark, schema, cases):
     good, bad = parse_lines(_lines(spark, cases), schema, on_bad="divert", keep=("pos",))
     got_good = {r.pos: tuple(r)[1:] for r in good.collect()}
@@ -66,27 +66,27 @@ def test_parse_table(spark, schema, cases):
 
 
 def test_output_types(spark):
-    good, _ = parse_lines(_lines(spark, TEXT_CASES), BEAN1, on_bad="divert")
+    good, _ = parse_lines(_lines(spark, TEXT_CASES), GENDER_ROW, on_bad="divert")
     assert [f.dataType for f in good.schema.fields] == [IntegerType(), StringType()]
 
 
 def test_fail_mode_raises_on_first_bad_line(spark):
     df = _lines(spark, [("1,a", None), ("x,b", None)])
     with pytest.raises(Exception, match="bad record"):
-        parse_lines(df, BEAN1, on_bad="fail").collect()
-    ok = parse_lines(_lines(spark, [("1,a", None)]), BEAN1, on_bad="fail").collect()
+        parse_lines(df, GENDER_ROW, on_bad="fail").collect()
+    ok = parse_lines(_lines(spark, [("1,a", None)]), GENDER_ROW, on_bad="fail").collect()
     assert [tuple(r) for r in ok] == [(1, "a")]
 
 
 def test_drop_mode_and_trim(spark):
     df = _lines(spark, [("1, male", None), ("bad", None)])
-    rows = parse_lines(df, BEAN1, on_bad="drop", trim=True).collect()
+    rows = parse_lines(df, GENDER_ROW, on_bad="drop", trim=True).collect()
     assert [tuple(r) for r in rows] == [(1, "male")]
 
 
 def test_reject_reason_column(spark):
     df = _lines(spark, [("1,a", None), ("1", None), ("q,1", None)])
-    got = [r[0] for r in df.select(reject_reason(F.col("value"), BEAN1)).orderBy("pos").collect()]
+    got = [r[0] for r in df.select(reject_reason(F.col("value"), GENDER_ROW)).orderBy("pos").collect()]
     assert got == [None, "missing_field", "bad_int"]
 
 
@@ -107,5 +107,5 @@ def test_format_lines(spark):
 def test_format_then_parse_round_trip(spark):
     df = spark.range(1, 200).select(F.col("id").cast("int").alias("id"),
                                     F.concat(F.lit("n"), F.col("id").cast("string")).alias("gender"))
-    back = parse_lines(format_lines(df, "id", "gender", ","), BEAN1, on_bad="fail")
+    back = parse_lines(format_lines(df, "id", "gender", ","), GENDER_ROW, on_bad="fail")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))

@@ -20,7 +20,7 @@ from ..operators.rank import row_number_by_group, top_n_per_group
 from ..operators.topn import top_n_delta
 from ..sources import tables as tb
 from ..sources.streams import read_changelog, to_envelope
-from ..spec import BEAN1, BEAN3, T4, align_to
+from ..spec import GENDER_ROW, SCORE_ROW, T4, align_to
 
 TOP_N = 2
 RESULT_COLUMNS = ["id", "name", "gender", "score", "rn"]
@@ -145,17 +145,17 @@ def int_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parse_id_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = parse_lines(text_lines(spark, sf_dir), BEAN1, on_bad="divert")
+    good, _ = parse_lines(text_lines(spark, sf_dir), GENDER_ROW, on_bad="divert")
     return good
 
 
 def q_parse_id_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = parse_lines(int_lines(spark, sf_dir), BEAN3, on_bad="divert")
+    good, _ = parse_lines(int_lines(spark, sf_dir), SCORE_ROW, on_bad="divert")
     return good
 
 
 def q_parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, bad = parse_lines(text_lines(spark, sf_dir), BEAN1, on_bad="divert")
+    _, bad = parse_lines(text_lines(spark, sf_dir), GENDER_ROW, on_bad="divert")
     return bad
 
 

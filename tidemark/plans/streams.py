@@ -115,9 +115,9 @@ def q_stream_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_lines(spark, sf_dir).repartitionByRange(FILES_PER_FEED, "pos").select("value") \
         .write.text(f"{root}/text")
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/text")
-    from ..spec import BEAN1
-    schema = StructType([StructField("id", LongType(), False), BEAN1["gender"]])
-    rows, _ = ingest(stream, schema, view="bean1", sql="select * from bean1", on_bad="divert")
+    from ..spec import GENDER_ROW
+    schema = StructType([StructField("id", LongType(), False), GENDER_ROW["gender"]])
+    rows, _ = ingest(stream, schema, view="gender_rows", sql="select * from gender_rows", on_bad="divert")
     run_until_done(start_append(rows, f"{root}/out", f"{root}/checkpoint", available_now=True))
     return spark.read.parquet(f"{root}/out").select(F.col("id").cast("int").alias("id"), "gender")
 

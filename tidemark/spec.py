@@ -43,10 +43,10 @@ def _schema(*cols: tuple[str, DataType, bool]) -> StructType:
 
 
 # Row types and keyed tables of the reference jobs.
-# Beans (primitive ints are never null).
-BEAN1 = _schema(("id", IntegerType(), False), ("gender", StringType(), True))
-BEAN2 = _schema(("id", IntegerType(), False), ("name", StringType(), True))
-BEAN3 = _schema(("id", IntegerType(), False), ("score", IntegerType(), False))
+# Parsed line rows (their ints are never null).
+GENDER_ROW = _schema(("id", IntegerType(), False), ("gender", StringType(), True))
+NAME_ROW = _schema(("id", IntegerType(), False), ("name", StringType(), True))
+SCORE_ROW = _schema(("id", IntegerType(), False), ("score", IntegerType(), False))
 # Keyed tables, key `id`; t4 is the top-2 result, t5 the replica of t1.
 T1 = TableSpec("t1", _schema(("id", IntegerType(), True), ("gender", StringType(), True)))
 T2 = TableSpec("t2", _schema(("id", IntegerType(), True), ("name", StringType(), True)))

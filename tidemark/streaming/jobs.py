@@ -49,7 +49,7 @@ def start_append(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
 
 def start_preview(stream: DataFrame, rows: int = 20, available_now: bool = False,
                   interval: str = CHECKPOINT_INTERVAL) -> StreamingQuery:
-    """Print each micro-batch (the `select * from bean1` preview)."""
+    """Print each micro-batch (a `select *` preview of a stream)."""
     w = stream.writeStream.format("console").option("numRows", rows).option("truncate", False)
     return _trigger(w, available_now, interval).start()
 
