@@ -109,3 +109,61 @@ def test_format_then_parse_round_trip(spark):
                                     F.concat(F.lit("n"), F.col("id").cast("string")).alias("gender"))
     back = parse_lines(format_lines(df, "id", "gender", ","), GENDER_ROW, on_bad="fail")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+# ---------------------------------------------------------------- property test against a model
+
+INT_MIN, INT_MAX = -2**31, 2**31 - 1
+
+
+def _split_model(s):
+    """String.split(","): inner and leading empties kept, trailing empties dropped."""
+    if s == "":
+        return [""]
+    parts = s.split(",")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _int_model(t):
+    """Integer.parseInt over ASCII: optional sign, at least one digit, 32-bit range; None if it throws."""
+    body = t[1:] if t[:1] in ("+", "-") else t
+    if not body or not body.isascii() or not body.isdigit():
+        return None
+    v = int(t)
+    return v if INT_MIN <= v <= INT_MAX else None
+
+
+def _parse_model(line, second_is_int):
+    """(id, value) or a reject reason, fields checked left to right."""
+    parts = _split_model(line)
+    first = _int_model(parts[0]) if parts else None
+    if first is None:
+        return "bad_int"
+    if len(parts) < 2:
+        return "missing_field"
+    if second_is_int:
+        second = _int_model(parts[1])
+        return "bad_int" if second is None else (first, second)
+    return (first, parts[1])
+
+
+def _random_lines(seed, n=400):
+    import random
+    rnd = random.Random(seed)
+    alphabet = "0123456789,,,+- ax"
+    lines = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 9))) for _ in range(n)]
+    lines += ["2147483647,1", "2147483648,1", "-2147483648,x", "-2147483649,x", "1,2147483648", "+0,-0"]
+    return lines
+
+
+@pytest.mark.parametrize("schema,second_is_int", [(GENDER_ROW, False), (SCORE_ROW, True)])
+def test_parser_matches_split_and_parse_model(spark, schema, second_is_int):
+    lines = _random_lines(7 if second_is_int else 3)
+    df = spark.createDataFrame(list(enumerate(lines)), "pos long, value string")
+    good, bad = parse_lines(df, schema, on_bad="divert", keep=("pos",))
+    got = {r.pos: (r[1], r[2]) for r in good.collect()}
+    got.update({r.pos: r.reason for r in bad.collect()})
+    for pos, line in enumerate(lines):
+        assert got[pos] == _parse_model(line, second_is_int), repr(line)

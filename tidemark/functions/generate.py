@@ -20,6 +20,7 @@ NAME_LENGTH = 6
 MAX_SCORE = 100          # scores are uniform over 0..100, both ends included
 BOUNDED_ID = (1, 1000)   # bounded random table: id in 1..1000
 BOUNDED_STRING_LENGTH = 9
+BOUNDED_GENDER_LENGTH = 6
 
 
 def _col(c: str | Column) -> Column:
@@ -90,7 +91,7 @@ def gen_bounded(df: DataFrame, id_col: str = "id", lo: int = BOUNDED_ID[0], hi:
     return df.select(F.col(id_col).alias("seq"),
                      int_col(id_col, lo, hi).alias("id"),
                      string_col(id_col, string_length, salt="n").alias("name"),
-                     string_col(id_col, 6, salt="g").alias("gender"))
+                     string_col(id_col, BOUNDED_GENDER_LENGTH, salt="g").alias("gender"))
 
 
 def rate_ids(spark, rows_per_second: int = 1, num_partitions: int | None = None) -> DataFrame:
