@@ -50,3 +50,15 @@ def test_producer_stream_lines_parse_back(spark, scratch):
             assert {r.gender for r in rows} <= {" male", " female"}   # the space after the comma is kept
         else:
             assert all(0 <= r.score <= 100 for r in rows)
+
+
+def test_message_log_needs_its_connector(spark):
+    import pytest
+    from tidemark.sources.streams import KAFKA_PROVIDER, kafka_lines
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(KAFKA_PROVIDER)
+        pytest.skip("connector present")
+    except Exception:
+        pass
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        kafka_lines(spark, "broker:9092", "test1")

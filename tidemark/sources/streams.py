@@ -16,6 +16,18 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..operators.changelog import OP_DELETE
 
 
+KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
+
+
+def require_kafka(spark: SparkSession) -> None:
+    """Fail early, with the fix, when the Kafka connector is not on the classpath."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(KAFKA_PROVIDER)
+    except Exception as e:  # py4j wraps ClassNotFoundException
+        raise RuntimeError("the message-log source/sink needs the spark-sql-kafka-0-10 package "
+                           "(e.g. --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>)") from e
+
+
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str,
                 starting_offsets: str = "latest", stream: bool = True,
                 extra_options: dict | None = None) -> DataFrame:
@@ -25,7 +37,10 @@ def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str,
     committed offset) or "earliest". Spark keeps its position in the query's
     checkpoint, not in a consumer group: give every query its own
     checkpointLocation. Needs the spark-sql-kafka package on the classpath.
+    Offsets order records only within a partition; with keyless records use
+    (ts, partition, pos) as the change order of last-writer-wins upserts.
     """
+    require_kafka(spark)
     reader = spark.readStream if stream else spark.read
     r = (reader.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -34,7 +49,7 @@ def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str,
     for k, v in (extra_options or {}).items():
         r = r.option(k, v)
     return r.load().select(F.col("value").cast("string").alias("value"),
-                           "partition", F.col("offset").alias("pos"))
+                           F.col("timestamp").alias("ts"), "partition", F.col("offset").alias("pos"))
 
 
 def file_lines(spark: SparkSession, path: str, stream: bool = True,

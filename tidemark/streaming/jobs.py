@@ -60,6 +60,8 @@ def start_log_sink(lines: DataFrame, bootstrap_servers: str, topic: str, checkpo
 
     Needs the spark-sql-kafka package at deploy time.
     """
+    from ..sources.streams import require_kafka
+    require_kafka(lines.sparkSession)
     w = (lines.select("value").writeStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
          .option("checkpointLocation", checkpoint))
