@@ -114,7 +114,7 @@ def produce(spark: SparkSession, topic: str, bootstrap_servers: str, rows_per_se
 
 def ingest(lines: DataFrame, schema, sink: Callable[[DataFrame, int], None] | None = None,
            view: str | None = None, sql: str | None = None, on_bad: str = "fail",
-           keep: tuple[str, ...] = ("pos",), checkpoint: str | None = None,
+           keep: tuple[str, ...] = ("ts", "partition", "pos"), checkpoint: str | None = None,
            available_now: bool = False) -> tuple[DataFrame, StreamingQuery | None]:
     """Consumer job: lines -> typed rows -> (view + SQL) -> keyed sink.
 

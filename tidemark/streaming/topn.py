@@ -149,7 +149,8 @@ class JoinTopN:
         try:
             self._process(wide, k, base_j, base_b, base_r)
         finally:
-            for df in self._held:
+            # children before parents: un-caching a parent first re-plans its cached children
+            for df in reversed(self._held):
                 df.unpersist()
             self._held = []
         if self.vacuum_every and k > 0 and k % self.vacuum_every == 0:
