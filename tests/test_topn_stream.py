@@ -99,3 +99,16 @@ def test_external_sink_receives_exact_changes(spark, scratch):
     mt.process(df.where(F.col("pos") >= 140), 2)     # replay: the diff of a replay is empty or identical
     assert sorted(applied.values()) == top_n(joined(changes))
     assert seen_batches[:3] == [0, 1, 2]
+
+
+def test_bootstrap_then_incremental(spark, scratch):
+    """A snapshot loaded in one batch pass, then changes in micro-batches, equals the model."""
+    changes = random_changes(51, n=260, ids=30)
+    df = spark.createDataFrame(changes, SCHEMA)
+    mt = _maintainer(spark, scratch("topn_boot"), 3)
+    mt.bootstrap(df.where("pos < 120"))
+    assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes[:120]))
+    mt.process(df.where("pos >= 120 and pos < 200"), 0)
+    mt.process(df.where("pos >= 200"), 1)
+    assert _rows(mt.current(), ["id", "name", "gender", "score"]) == sorted(joined(changes))
+    assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes))

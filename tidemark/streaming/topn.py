@@ -120,6 +120,32 @@ class JoinTopN:
         """The top-N result table as of the last committed batch."""
         return self.result.read(self.result.latest_version())
 
+    # ------------------------------------------------------------ bootstrap
+    def bootstrap(self, changes: DataFrame, version: int = -1) -> None:
+        """Build all state from a snapshot in one batch pass, as `version` (before batch 0).
+
+        `changes` has the tagged-change schema (side, key, op, values, order
+        columns), typically snapshot rows with op 'r'. Costs one aggregation by
+        key, one distributed top-(M+1) per group and three full writes, instead
+        of pushing the snapshot through micro-batches.
+        """
+        wide = self.to_wide(changes)
+        empty = self.spark.createDataFrame([], self.joined.schema)
+        self.joined.write(self.merge(empty, wide), version, range(self.joined.buckets), None)
+        live = self.live_view(self.joined.read(version))
+        g = self.group
+        w = Window.partitionBy(g).orderBy(*self._order())
+        top = self._limit_m(live.withColumn("_r", F.row_number().over(w)), g).persist()
+        trimmed = F.col("_cnt") > self.m
+        buf = top.select(F.col(g).alias("_g"), *self.out_cols, trimmed.alias("_bon"),
+                         F.when(trimmed, F.col("_mth.s")).alias("_bscore"),
+                         F.when(trimmed, F.col("_mth.i")).alias("_bid"))
+        self.buffer.write(buf, version, range(self.buffer.buckets), None)
+        self.result.write(top.where(F.col("_r") <= self.n)
+                          .select(*self.out_cols, F.col("_r").cast("long").alias("rn")),
+                          version, range(self.result.buckets), None)
+        top.unpersist()
+
     # ------------------------------------------------------------ per batch
     def to_wide(self, changes: DataFrame) -> DataFrame:
         """Tagged changes (side, key, op, values..., ts, pos) -> one struct column per side."""
