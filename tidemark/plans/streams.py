@@ -83,11 +83,19 @@ def _feed_stream(spark: SparkSession, path: str, schema: StructType) -> DataFram
 
 
 def run_join_topn(spark: SparkSession, sf_dir: str, fault=None, buckets: int = 16) -> JoinTopN:
+    """Bootstrap the join + top-N state from the snapshot rows, then stream the changes."""
     root = scratch_path(spark, "join_topn")
-    for side, df in join_feeds(spark, sf_dir).items():
-        _write_files(df, f"{root}/feeds/{side}")
+    feeds = join_feeds(spark, sf_dir)
+    # initial snapshot in one batch pass, then the live changes in micro-batches
+    for side, df in feeds.items():
+        _write_files(df.where(F.col("op") != "r"), f"{root}/feeds/{side}")
     m = JoinTopN(spark, f"{root}/state", SIDES, FEED_SCHEMA, group="gender", order="score", n=TOP_N,
                  buckets=buckets, group_buckets=8)
+    snapshot = None
+    for df in feeds.values():
+        part = df.where(F.col("op") == "r")
+        snapshot = part if snapshot is None else snapshot.unionByName(part)
+    m.bootstrap(snapshot)
     feeds = [_feed_stream(spark, f"{root}/feeds/{s.name}", FEED_SCHEMA) for s in SIDES]
     ck = f"{root}/checkpoint"
     m.fault = fault
