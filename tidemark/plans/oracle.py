@@ -45,6 +45,29 @@ _TEXT_LINE = """case c_custkey % 10
       else c_custkey::varchar || ', ' || c_mktsegment end"""
 
 
+# Int line forms by last key digit, as int_lines builds them (see catalog.int_lines).
+_INT_LINE = f"""case c_custkey % 10
+      when 0 then c_custkey::varchar || ', ' || ({_SCORE})::varchar
+      when 1 then c_custkey::varchar || ',3000000000'
+      when 2 then c_custkey::varchar || ',' || ({_SCORE})::varchar || ','
+      when 3 then c_custkey::varchar || ',-' || ({_SCORE})::varchar
+      else c_custkey::varchar || ',' || ({_SCORE})::varchar end"""
+
+_STRICT_INT = "regexp_full_match({x}, '[+-]?[0-9]+') and try_cast({x} as integer) is not null"
+
+
+def _parsed(line_sql: str, second_is_int: bool) -> str:
+    """Lines parsed in SQL: split on ',', trailing empty fields dropped, strict ints, reasons."""
+    second = (f"when not ({_STRICT_INT.format(x='a[2]')}) then 'bad_int'" if second_is_int else "")
+    return f"""
+    select value, a,
+           case when not ({_STRICT_INT.format(x='a[1]')}) then 'bad_int'
+                when len(a) < 2 then 'missing_field'
+                {second} end reason
+    from (select value, string_split(regexp_replace(value, ',+$', ''), ',') a
+          from (select {line_sql} as value from customer) l) p"""
+
+
 def _state(cond: str = "true") -> str:
     return f"""
     select user_id id, event_type, value
@@ -104,18 +127,14 @@ ORACLE_SQL: dict[str, str] = {
         select {_K} || ', ' || {_GENDER} value, 'test1' topic from customer
         union all select {_K} || ', ' || {_NAME}, 'test2' from customer
         union all select {_K} || ',' || ({_SCORE})::varchar, 'test3' from customer""",
-    "parse_id_text": """
-        select cast(c_custkey as integer) id,
-               case c_custkey % 10 when 2 then c_mktsegment when 3 then '' else ' ' || c_mktsegment end gender
-        from customer where c_custkey % 10 in (2, 3, 6, 7, 8, 9)""",
+    "parse_id_text": f"""
+        select cast(a[1] as integer) id, a[2] gender from ({_parsed(_TEXT_LINE, False)}) q
+        where reason is null""",
     "parse_id_int": f"""
-        select cast(c_custkey as integer) id,
-               case when c_custkey % 10 = 3 then -({_SCORE}) else {_SCORE} end score
-        from customer where c_custkey % 10 not in (0, 1)""",
+        select cast(a[1] as integer) id, cast(a[2] as integer) score from ({_parsed(_INT_LINE, True)}) q
+        where reason is null""",
     "parse_rejects": f"""
-        select {_TEXT_LINE} as value,
-               case when c_custkey % 10 in (0, 4) then 'bad_int' else 'missing_field' end reason
-        from customer where c_custkey % 10 in (0, 1, 4, 5)""",
+        select value, reason from ({_parsed(_TEXT_LINE, False)}) q where reason is not null""",
     "cdc_parse_envelope": """
         select case when event_type = 'error' then 'd' else 'u' end op, user_id id, event_type, value,
                epoch_us(ts) // 1000 ts_ms, 'events' file, event_id pos

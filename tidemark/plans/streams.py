@@ -24,6 +24,7 @@ from ..streaming.jobs import ingest, maintain_topn, replicate, run_until_done, s
 from ..streaming.keyed import KeyedReplica
 from ..streaming.topn import JoinTopN, Side
 from .catalog import TOP_N, envelopes, text_lines
+from .oracle import ORACLE_SQL
 
 FILES_PER_FEED = 4
 FEED_SCHEMA = StructType([
@@ -209,10 +210,7 @@ s2 as (select c_custkey id, c_name name from customer),
 j as (select s1.id, name, gender, score from s1 join s2 on s1.id = s2.id join s3 on s1.id = s3.id)"""
 
 STREAM_ORACLE_SQL: dict[str, str] = {
-    "stream_parse_lines": """
-        select cast(c_custkey as integer) id,
-               case c_custkey % 10 when 2 then c_mktsegment when 3 then '' else ' ' || c_mktsegment end gender
-        from customer where c_custkey % 10 in (2, 3, 6, 7, 8, 9)""",
+    "stream_parse_lines": ORACLE_SQL["parse_id_text"],
     "stream_replicate": """
         select user_id id, event_type, value
         from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) k
