@@ -25,6 +25,7 @@ size). Choose it so one bucket is a few hundred MB at full size.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,12 +92,18 @@ class KeyedTable:
             stream.close()
 
     def _write_text(self, path: str, text: str) -> None:
+        """Write a small file so that readers see all of it or none of it (temp file + rename)."""
         fs, p = self._fs(path)
-        out = fs.create(p, True)
+        tmp = self._fs(f"{path}.{uuid.uuid4().hex}.tmp")[1]
+        out = fs.create(tmp, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        if fs.exists(p):          # a replayed batch rewrites its own version
+            fs.delete(p, False)
+        if not fs.rename(tmp, p):
+            raise OSError(f"could not commit {path}")
 
     def manifest(self, version: int | None) -> dict[int, int]:
         """{bucket: version} as of `version` ({} when there is none)."""
