@@ -179,7 +179,7 @@ class KeyedTable:
                                self.bucket_of().alias(_BUCKET))
             (body.unionByName(marks)
                  .withColumn(_VERSION, F.lit(version).cast("long"))
-                 .repartition(_BUCKET)
+                 .repartition(min(self.buckets, max(1, len(touched))), _BUCKET)  # ~one task per bucket
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy(_BUCKET, _VERSION).parquet(self._data))
             pairs.update({b: version for b in touched})
