@@ -15,8 +15,8 @@ State (all `KeyedTable`s under one folder, versioned by batch id):
   buffer  - per group, the exact best M rows (M >= N) of the group plus a
             boundary key: every row of the group outside the buffer ranks
             after the boundary. No boundary means the buffer is the whole group.
-  result  - the top-N table itself: one row per id, stored by group so that a
-            batch rewrites the same buckets as the buffer.
+  The top-N table itself is the buffer rows with a rank (`rn` <= N): one row
+  per id, stored with its group's buffer, so one write per batch serves both.
 
 Per batch k (reads "as of k-1", writes version k, so a replay is a no-op):
  1. merge the batch into `joined` (only touched buckets are rewritten);
@@ -27,7 +27,7 @@ Per batch k (reads "as of k-1", writes version k, so a replay is a no-op):
  4. a group whose buffer ends up with fewer than N rows while rows outside it
     exist is rescanned: top M+1 of that group from `joined` (a distributed
     top-k with WindowGroupLimit, not a group collected into one task);
- 5. write the new top N of the touched groups to `result`; for an external
+ 5. the buffer write carries the new ranks of the touched groups; for an external
     keyed sink (JDBC), hand it the diff of old and new top N by id over all
     affected groups (a row that changes group is one upsert) with the batch id.
 Cost per batch: touched buckets + buffers of affected groups; the full
@@ -95,13 +95,11 @@ class JoinTopN:
         row_fields = [StructField(c, self.types[c]) for c in self.out_cols]
         self.row_schema = StructType(row_fields)
         gtype, otype, ktype = self.types[group], self.types[order], self.types[key]
+        # Buffer rows; `rn` is set on the group's best N rows, which form the top-N table.
         self.buffer = KeyedTable(spark, f"{self.root}/buffer", StructType(
-            [StructField("_g", gtype), *row_fields, StructField("_bon", BooleanType()),
-             StructField("_bscore", otype), StructField("_bid", ktype)]), "_g", group_buckets)
-        # One row per id (an id is in one group at a time); stored by group like the
-        # buffer, so a batch rewrites exactly the buffer's touched buckets.
-        self.result = KeyedTable(spark, f"{self.root}/result", StructType(
-            [*row_fields, StructField("rn", LongType())]), group, group_buckets)
+            [StructField("_g", gtype), *row_fields, StructField("rn", LongType()),
+             StructField("_bon", BooleanType()), StructField("_bscore", otype),
+             StructField("_bid", ktype)]), "_g", group_buckets)
 
     # ------------------------------------------------------------ views
     def live_view(self, joined: DataFrame) -> DataFrame:
@@ -117,8 +115,9 @@ class JoinTopN:
         return self.live_view(self.joined.read(self.joined.latest_version()))
 
     def top(self) -> DataFrame:
-        """The top-N result table as of the last committed batch."""
-        return self.result.read(self.result.latest_version())
+        """The top-N table (key, values..., rn) as of the last committed batch."""
+        buf = self.buffer.read(self.buffer.latest_version())
+        return buf.where(F.col("rn").isNotNull()).select(*self.out_cols, "rn")
 
     # ------------------------------------------------------------ bootstrap
     def bootstrap(self, changes: DataFrame, version: int = -1) -> None:
@@ -126,7 +125,7 @@ class JoinTopN:
 
         `changes` has the tagged-change schema (side, key, op, values, order
         columns), typically snapshot rows with op 'r'. Costs one aggregation by
-        key, one distributed top-(M+1) per group and three full writes, instead
+        key, one distributed top-(M+1) per group and two full writes, instead
         of pushing the snapshot through micro-batches.
         """
         wide = self.to_wide(changes)
@@ -135,16 +134,16 @@ class JoinTopN:
         live = self.live_view(self.joined.read(version))
         g = self.group
         w = Window.partitionBy(g).orderBy(*self._order())
-        top = self._limit_m(live.withColumn("_r", F.row_number().over(w)), g).persist()
+        top = self._limit_m(live.withColumn("_r", F.row_number().over(w)), g)
         trimmed = F.col("_cnt") > self.m
-        buf = top.select(F.col(g).alias("_g"), *self.out_cols, trimmed.alias("_bon"),
+        buf = top.select(F.col(g).alias("_g"), *self.out_cols, self._rn(), trimmed.alias("_bon"),
                          F.when(trimmed, F.col("_mth.s")).alias("_bscore"),
                          F.when(trimmed, F.col("_mth.i")).alias("_bid"))
         self.buffer.write(buf, version, range(self.buffer.buckets), None)
-        self.result.write(top.where(F.col("_r") <= self.n)
-                          .select(*self.out_cols, F.col("_r").cast("long").alias("rn")),
-                          version, range(self.result.buckets), None)
-        top.unpersist()
+
+    def _rn(self) -> Column:
+        """The rank column of a buffer row: its position for the best N, else NULL."""
+        return F.when(F.col("_r") <= self.n, F.col("_r").cast("long")).alias("rn")
 
     # ------------------------------------------------------------ per batch
     def to_wide(self, changes: DataFrame) -> DataFrame:
@@ -169,18 +168,17 @@ class JoinTopN:
         k, prev = batch_id, batch_id - 1
         base_j = self.joined.latest_version(prev)
         base_b = self.buffer.latest_version(prev)
-        base_r = self.result.latest_version(prev)
         self._held: list[DataFrame] = []
         wide = self._hold(self.to_wide(batch))
         try:
-            self._process(wide, k, base_j, base_b, base_r)
+            self._process(wide, k, base_j, base_b)
         finally:
             # children before parents: un-caching a parent first re-plans its cached children
             for df in reversed(self._held):
                 df.unpersist()
             self._held = []
         if self.vacuum_every and k > 0 and k % self.vacuum_every == 0:
-            for t in (self.joined, self.buffer, self.result):
+            for t in (self.joined, self.buffer):
                 t.vacuum(self.retain)
 
     def _hold(self, df: DataFrame) -> DataFrame:
@@ -188,12 +186,11 @@ class JoinTopN:
         self._held.append(df.persist())
         return df
 
-    def _process(self, wide: DataFrame, k: int, base_j, base_b, base_r) -> None:
+    def _process(self, wide: DataFrame, k: int, base_j, base_b) -> None:
         touched = self.joined.buckets_of(wide, F.col(self.key))
         if not touched:
             self.joined.carry_forward(k, base_j)
             self.buffer.carry_forward(k, base_b)
-            self.result.carry_forward(k, base_r)
             return
         # 1. merge into joined
         old_j = self.joined.read(base_j, touched)
@@ -215,7 +212,7 @@ class JoinTopN:
         u = self._hold(self._group_pass(buf_all, ids, new_rows))
         rescan_groups = self._hold(u.where(F.col("_rescan")).select("_g").distinct())
         kept = u.where(F.col("_cand") & (F.col("_r") <= self.m) & ~F.col("_rescan"))
-        new_buf = kept.select("_g", *self.out_cols, F.col("_nbon").alias("_bon"),
+        new_buf = kept.select("_g", *self.out_cols, self._rn(), F.col("_nbon").alias("_bon"),
                               F.col("_nbs").alias("_bscore"), F.col("_nbi").alias("_bid"))
         new_top = kept.where(F.col("_r") <= self.n).select(*self.out_cols, F.col("_r").cast("long").alias("rn"))
         old_top = u.where((F.col("_src") == "b") & (F.col("_or") <= self.n)) \
@@ -227,7 +224,7 @@ class JoinTopN:
             wr = Window.partitionBy(g).orderBy(*self._order())
             rescanned = self._hold(
                 self._limit_m(sub.withColumn("_r", F.row_number().over(wr)), g)
-                .select(F.col(g).alias("_g"), *self.out_cols, "_r",
+                .select(F.col(g).alias("_g"), *self.out_cols, "_r", self._rn(),
                         (F.col("_cnt") > self.m).alias("_bon"),
                         F.when(F.col("_cnt") > self.m, F.col("_mth.s")).alias("_bscore"),
                         F.when(F.col("_cnt") > self.m, F.col("_mth.i")).alias("_bid")))
@@ -237,8 +234,7 @@ class JoinTopN:
         self.buffer.write(new_buf, k, gtouched, base_b)
         if self.fault:
             self.fault("buffer", k)
-        # 5. the top-N table: new top N of every group in the touched buckets
-        self.result.write(new_top, k, gtouched, base_r)
+        # 5. the top-N table is the ranked buffer rows, written above
         if self.external_sink is not None:
             # what a keyed sink by id must apply: by id over all groups (a row changing group is one upsert)
             self.external_sink(changelog_diff(old_top, new_top, key=self.key), k)
