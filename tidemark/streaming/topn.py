@@ -199,7 +199,7 @@ class JoinTopN:
             self.fault("joined", k)
         new_j = self.joined.read(k, touched)
         # 2. views of touched ids; affected groups = their old and new groups
-        ids = wide.select(self.key).distinct()
+        ids = self._hold(wide.select(self.key).distinct())
         old_rows = self._hold(self.live_view(old_j).join(ids, self.key, "left_semi"))
         new_rows = self._hold(self.live_view(new_j).join(ids, self.key, "left_semi"))
         g = self.group
