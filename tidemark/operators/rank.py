@@ -61,7 +61,7 @@ def row_number_by_group(df: DataFrame, group: str, order_col: str, key: str = "i
     before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_g", F.col("_p").alias("_q"), "_m0",
                             F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off")) \
-        .persist()  # small; recomputable from the checkpoint above if an executor is lost
+        .checkpoint(eager=True)  # small; cut here too, so the final plan is two scans and a join
     if offsets.count() <= max_broadcast_rows:
         offsets = F.broadcast(offsets)
     joined = numbered.join(offsets, (F.col("_p") == F.col("_q")) & F.col(group).eqNullSafe(F.col("_g")))
