@@ -67,3 +67,13 @@ def test_buckets_for_sizes():
     assert buckets_for(0) == 16
     assert buckets_for(10 << 40) == 65536
     assert buckets_for(1 << 30, target_bucket_bytes=1 << 28) == 16
+
+
+def test_jdbc_sink_declared_by_spec():
+    from tidemark.sinks.jdbc import JdbcKeyedSink
+    from tidemark.spec import T4
+    sink = JdbcKeyedSink.for_spec(T4, "jdbc:example://db/app", job="topn", dialect="mysql")
+    check, delete, upsert, record = sink.statements(12)
+    assert sink.staging_name(12) == "t4_stg_topn_12"
+    assert "t4_stg_topn_12" in delete and upsert.startswith("INSERT INTO t4 (id, name, gender, score, rn)")
+    assert "batch_id >= 12" in check and "'topn', 12" in record

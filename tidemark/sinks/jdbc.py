@@ -81,6 +81,19 @@ class JdbcKeyedSink:
     properties: dict = field(default_factory=dict)
     write_partitions: int | None = None
 
+    @classmethod
+    def for_spec(cls, spec, url: str, job: str, dialect: str = "ansi", properties: dict | None = None,
+                 **kw) -> "JdbcKeyedSink":
+        """A keyed sink for a declared table (`tidemark.spec.TableSpec`); options come from the caller."""
+        return cls(url=url, table=spec.name, key=list(spec.key), columns=spec.columns, job=job,
+                   dialect=dialect, properties=dict(properties or {}), **kw)
+
+    def statements(self, batch_id: int) -> list[str]:
+        """The statements one batch runs inside its transaction (for review and tests)."""
+        check, record = marker_statements(self.marker_table, self.job, batch_id)
+        return [check, *merge_statements(self.dialect, self.table, self.staging_name(batch_id),
+                                          self.key, self.columns, self.op_col), record]
+
     def staging_name(self, batch_id: int) -> str:
         return f"{self.table}_stg_{self.job}_{int(batch_id)}"
 
