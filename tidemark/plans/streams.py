@@ -20,6 +20,7 @@ from pyspark.errors import StreamingQueryException
 from ..session import scratch_path
 from ..sources import tables as tb
 from ..sources.streams import read_changelog
+from ..spec import GENDER_ROW
 from ..streaming.jobs import ingest, maintain_topn, replicate, run_until_done, start_append
 from ..streaming.keyed import KeyedReplica
 from ..streaming.topn import JoinTopN, Side
@@ -97,16 +98,16 @@ def run_join_topn(spark: SparkSession, sf_dir: str, fault=None, buckets: int = 1
         part = df.where(F.col("op") == "r")
         snapshot = part if snapshot is None else snapshot.unionByName(part)
     m.bootstrap(snapshot)
-    feeds = [_feed_stream(spark, f"{root}/feeds/{s.name}", FEED_SCHEMA) for s in SIDES]
+    streams = [_feed_stream(spark, f"{root}/feeds/{s.name}", FEED_SCHEMA) for s in SIDES]
     ck = f"{root}/checkpoint"
     m.fault = fault
     try:
-        run_until_done(maintain_topn(feeds, m, ck, available_now=True))
+        run_until_done(maintain_topn(streams, m, ck, available_now=True))
     except StreamingQueryException:
         if fault is None:
             raise
         m.fault = None  # restart from the checkpoint: the failed batch is replayed
-        run_until_done(maintain_topn(feeds, m, ck, available_now=True))
+        run_until_done(maintain_topn(streams, m, ck, available_now=True))
     return m
 
 
@@ -124,7 +125,6 @@ def q_stream_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_lines(spark, sf_dir).repartitionByRange(FILES_PER_FEED, "pos").select("value") \
         .write.text(f"{root}/text")
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/text")
-    from ..spec import GENDER_ROW
     schema = StructType([StructField("id", LongType(), False), GENDER_ROW["gender"]])
     rows, _ = ingest(stream, schema, view="gender_rows", sql="select * from gender_rows", on_bad="divert")
     run_until_done(start_append(rows, f"{root}/out", f"{root}/checkpoint", available_now=True))
@@ -160,6 +160,7 @@ def q_stream_upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rep.initialize(snap)
     src = spark.readStream.schema("value string, pos long").option("maxFilesPerTrigger", 1) \
         .parquet(f"{root}/lines")
+
     def upsert(batch, batch_id):
         rep.process(batch.withColumn("op", F.lit("u")), batch_id)
 
