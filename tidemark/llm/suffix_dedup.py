@@ -37,6 +37,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -225,6 +226,11 @@ def _removed(n: int, spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def _kept(body: bytes, spans: list[dict]) -> bytes:
+    edges = [0, *(x for c in _removed(len(body), spans) for x in c), len(body)]
+    return b"".join(body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
+
+
 def dedup_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, body, removed, kept) for every row: the text's bytes, the maximal
     removed runs [(start, end)], and the remaining bytes."""
@@ -234,10 +240,8 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
         def batch(b):
             out = {"doc_id": b.column(0), "body": b.column(1), "removed": [], "kept": []}
             for body, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                cut = _removed(len(body), w or [])
-                edges = [0, *(x for c in cut for x in c), len(body)]
-                out["kept"].append(b"".join(body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)))
-                out["removed"].append([{"start": a, "end": e} for a, e in cut])
+                out["kept"].append(_kept(body, w or []))
+                out["removed"].append([{"start": a, "end": e} for a, e in _removed(len(body), w or [])])
             yield out
         return batch
 
@@ -248,6 +252,37 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     return map_batches(joined, make, "doc_id bigint, body binary, removed array<struct<start:int,end:int>>, kept binary")
 
 
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, without the repeated bytes of their texts.
+
+    A character of which a byte goes is dropped whole; texts that do not change
+    stay as they are (null too); rows of whose text nothing is left go. An
+    `n_chars` column follows the text.
+    """
+    spans = repeated_spans(docs).groupBy(*PLACE).agg(F.collect_set(F.struct("at", "len")).alias("_w"))
+    spans = spans.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "_w")
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.withColumn("_i", F.coalesce(F.col("doc_id"), F.lit(LAST))).withColumn("_t", F.hash(body))
+    rows = rows.join(spans, (F.col("_i") == F.col("_id")) & (F.col("_t") == F.col("_tag")), "left").select(*docs.columns, "_w")
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.get_field_index("text")
+            texts, spans = b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()
+            for i, w in enumerate(spans):
+                if w:
+                    texts[i] = _kept(texts[i].encode(), w).decode("utf-8", "ignore")
+            left = [i for i, t in enumerate(texts) if t or not spans[i]]
+            out = {f.name: pa.array(texts, f.type) if f.name == "text" else b.column(i)
+                   for i, f in enumerate(b.schema) if f.name != "_w"}
+            yield pa.RecordBatch.from_arrays(list(out.values()), list(out)).take(pa.array(left, pa.int64()))
+
+    cut = rows.mapInArrow(run, docs.schema)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup_spans(documents(spark, sf_dir))
     cut = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["start"]))

@@ -26,6 +26,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,6 +162,17 @@ def score(docs: DataFrame, model: Toxicity) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), make, "doc_id bigint, score double")
 
 
+def keep_clean(docs: DataFrame, model: Toxicity, below: float = 0.5) -> DataFrame:
+    """The rows of `docs`, all columns, that score below `below`."""
+    def run(batches):
+        fn = scorer(model)
+        for b in batches:
+            scores = fn(b.column(b.schema.get_field_index("text")).to_pylist())
+            yield b.filter(pa.array(scores < below))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learnable(mod: int, held: int):
     """Condition on `_id`: the fold is known and is not the held-out one."""
     return F.coalesce(fold(F.col("_id"), mod) != held, F.lit(False))
