@@ -43,7 +43,7 @@ WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99999
 BRANCH = 2.0
 DEPTH = 3
 SMALL = 64  # sets that are compared without splitting
-BLOCK = 256  # sets in a block of a bucket that does not split
+BLOCK = 1024  # sets in a block of a bucket that does not split
 _U = np.uint64
 _A, _B, _C = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xD6E8FEB86659FD93)
 
@@ -185,7 +185,7 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     keep = held[token] > 1
     token, owner = np.unique(token[keep], return_inverse=True)[1], owner[keep]
     out = np.zeros((len(sets), len(sets)), np.float32)
-    width = 1 << 14
+    width = max(256, (1 << 24) // len(sets))  # columns at a time, 64 MB
     order = np.argsort(token, kind="stable")
     token, owner = token[order], owner[order]
     for lo in range(0, int(token[-1]) + 1 if len(token) else 0, width):
