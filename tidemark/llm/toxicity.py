@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, fold, labelled_sample, map_batches, sf_table, text_chunks
 from tidemark.llm.subwords import grams, word_ngrams
 
-PER_CLASS = 1500
+PER_CLASS = 1200
 MAX_CHARS = 20_000
 N_MIN, N_MAX, BUCKETS, DIM = 3, 5, 1 << 18, 8
 WINDOW, SHARP, EPOCHS = 4, 3.0, 60
@@ -94,7 +94,11 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Toxicity:
     lens = np.fromiter(map(len, docs), np.int64, len(docs))
     word = np.fromiter((index[w] for d in docs for w in d), np.int32, int(lens.sum()))
     ids, of = word_ngrams(vocabulary, N_MIN, N_MAX, BUCKETS, True)
-    used, ids = np.unique(ids, return_inverse=True)  # embeddings are kept for the buckets that occur
+    # Embeddings are kept for the buckets that occur.
+    used = np.flatnonzero(np.bincount(ids, minlength=BUCKETS))
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    ids = place[ids]
     per_word = np.bincount(of, minlength=len(vocabulary))
     first, n, text = bags(lens)
     rng = np.random.default_rng(seed)
