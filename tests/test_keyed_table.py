@@ -43,7 +43,7 @@ def test_merge_statement_text():
     assert delete.startswith("DELETE t FROM t4 t JOIN stg s ON t.id = s.`id`")
     assert upsert.endswith("ON DUPLICATE KEY UPDATE name = VALUES(name)")
     check, record = marker_statements("m", "job1", 7)
-    assert "batch_id >= 7" in check and "VALUES ('job1', 7)" in record
+    assert "batch_id = 7" in check and "VALUES ('job1', 7)" in record
 
 
 def test_vacuum_keeps_what_readers_need(spark, scratch):
@@ -76,4 +76,4 @@ def test_jdbc_sink_declared_by_spec():
     check, delete, upsert, record = sink.statements(12)
     assert sink.staging_name(12) == "t4_stg_topn_12"
     assert "t4_stg_topn_12" in delete and upsert.startswith("INSERT INTO t4 (id, name, gender, score, rn)")
-    assert "batch_id >= 12" in check and "'topn', 12" in record
+    assert "batch_id = 12" in check and "'topn', 12" in record

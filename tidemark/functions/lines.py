@@ -4,7 +4,8 @@ Parsing rules (what the reference's split-and-parseInt map does):
   * split on ",", trailing empty fields dropped, inner empty fields kept;
   * field i feeds the i-th column of the target schema, extra fields ignored;
   * text fields are taken as they are (a leading space is kept) unless trim=True;
-  * integer fields: optional sign and ASCII digits only, within the type's range;
+  * integer fields: optional sign and ASCII digits only, within the type's range
+    (digits of other scripts, which the reference accepts, are bad records here);
   * fields are checked left to right: the first failing field gives the reason.
 Everything is a column expression: no Python runs per row.
 """
@@ -19,7 +20,7 @@ from pyspark.sql.types import IntegerType, LongType, ShortType, StringType, Stru
 BAD_INT = "bad_int"
 MISSING_FIELD = "missing_field"
 
-_INT_PATTERN = r"^[+-]?[0-9]+$"
+_INT_PATTERN = r"\A[+-]?[0-9]+\z"  # absolute anchors: `$` would allow a final newline
 _INT_TYPES = (ShortType, IntegerType, LongType)
 
 
@@ -28,7 +29,7 @@ def split_fields(value: Column, sep: str = ",") -> Column:
     if len(sep) != 1:
         raise ValueError("single-character separators only")
     esc = "\\" + sep if sep in r".$|()[]{}^?*+\\" else sep
-    return F.split(F.regexp_replace(value, f"{esc}+$", ""), esc)
+    return F.split(F.regexp_replace(value, f"{esc}+\\z", ""), esc)
 
 
 def strict_int(text: Column, type_name: str = "int") -> Column:
@@ -81,12 +82,7 @@ def parse_lines(df: DataFrame, schema: StructType, value_col: str = "value",
                        reason.alias("_reason"), *values)
     out_cols = [*keep, *[f.name for f in schema.fields]]
     if on_bad == "fail":
-        first = schema.fields[0].name
-        guarded = F.when(F.col("_reason").isNull(), F.col(first)).otherwise(
-            F.raise_error(F.concat(F.lit("bad record ("), F.col("_reason"), F.lit("): "),
-                                   F.coalesce(F.col("_value"), F.lit("<null>")))).cast(
-                schema.fields[0].dataType))
-        return staged.select(*keep, guarded.alias(first), *[f.name for f in schema.fields[1:]])
+        return fail_on(staged, "_reason", "_value").select(*out_cols)
     good = staged.where(F.col("_reason").isNull()).select(*out_cols)
     if on_bad == "drop":
         return good
@@ -95,6 +91,17 @@ def parse_lines(df: DataFrame, schema: StructType, value_col: str = "value",
     return good, rejects
 
 
+def fail_on(df: DataFrame, reason: str, value: str) -> DataFrame:
+    """`df`, failing the query at the first row with a reason.
+
+    The check is a filter: unlike one on an output column it also runs when no
+    column of the row is asked for.
+    """
+    raised = F.raise_error(F.concat(F.lit("bad record ("), F.col(reason), F.lit("): "),
+                                    F.coalesce(F.col(value), F.lit("<null>")))).cast("boolean")
+    return df.where(F.when(F.col(reason).isNull(), F.lit(True)).otherwise(raised))
+
+
 def reject_reason(value: Column, schema: StructType, sep: str = ",") -> Column:
     """The reject reason of one line as a column (NULL when the line is valid)."""
     return _field_reasons(split_fields(value, sep), schema)[1]

@@ -94,9 +94,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | Sequence[str
     keys = _keys(key)
     if order:
         changes = last_per_key(changes, keys, order)
-    untouched = target.join(changes.select(*keys), keys, "left_anti")
-    live = changes.where(~F.col(op_col).isin(*delete_ops)).select(*target.columns)
-    return untouched.unionByName(live)
+    return _merge(target, changes, keys, ~F.col(op_col).isin(*delete_ops))
 
 
 def upsert_by_key(target: DataFrame, source: DataFrame, key: str | Sequence[str] = "id",
@@ -109,5 +107,18 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str | Sequence[str]
     keys = _keys(key)
     if order:
         source = last_per_key(source, keys, order)
-    src = source.select(*target.columns)
-    return target.join(src.select(*keys), keys, "left_anti").unionByName(src)
+    return _merge(target, source, keys, F.lit(True))
+
+
+def _merge(target: DataFrame, changes: DataFrame, keys: list[str], live: Column) -> DataFrame:
+    """`target` with the rows of changed keys replaced or, where not `live`, removed.
+
+    One full outer join by key decides keep, replace or delete; each side is read once.
+    """
+    cols = target.columns
+    old = target.select(*keys, F.struct(*cols).alias("_old"))
+    new = changes.select(*keys, F.struct(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in cols]).alias("_new"),
+                         F.coalesce(live, F.lit(False)).alias("_live"))
+    joined = old.join(new, keys, "full_outer").where("_new is null or _live")
+    row = F.coalesce("_new", "_old")
+    return joined.select(*[row.getField(c).alias(c) for c in cols])

@@ -125,10 +125,10 @@ def q_stream_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_lines(spark, sf_dir).repartitionByRange(FILES_PER_FEED, "pos").select("value") \
         .write.text(f"{root}/text")
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/text")
-    schema = StructType([StructField("id", LongType(), False), GENDER_ROW["gender"]])
-    rows, _ = ingest(stream, schema, view="gender_rows", sql="select * from gender_rows", on_bad="divert")
+    (rows, bad), _ = ingest(stream, GENDER_ROW, view="gender_rows", sql="select * from gender_rows", on_bad="divert")
     run_until_done(start_append(rows, f"{root}/out", f"{root}/checkpoint", available_now=True))
-    return spark.read.parquet(f"{root}/out").select(F.col("id").cast("int").alias("id"), "gender")
+    run_until_done(start_append(bad, f"{root}/rejects", f"{root}/checkpoint-rejects", available_now=True))
+    return spark.read.parquet(f"{root}/out")
 
 
 def q_stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +140,8 @@ def q_stream_replicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = StructType([StructField("id", LongType()), StructField("event_type", StringType()),
                       StructField("value", DoubleType())])
     stream = read_changelog(spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/changes"), row)
-    rep = KeyedReplica(spark, f"{root}/state", row, "id", order=("ts_ms", "pos"),
-                       order_types={"ts_ms": LongType(), "pos": LongType()}, buckets=16)
+    rep = KeyedReplica(spark, f"{root}/state", row, "id", order=("ts_ms", "file", "pos"),
+                       order_types={"ts_ms": LongType(), "file": StringType(), "pos": LongType()}, buckets=16)
     run_until_done(replicate(stream, rep, f"{root}/checkpoint", available_now=True))
     return rep.current()
 
@@ -161,9 +161,6 @@ def q_stream_upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = spark.readStream.schema("value string, pos long").option("maxFilesPerTrigger", 1) \
         .parquet(f"{root}/lines")
 
-    def upsert(batch, batch_id):
-        rep.process(batch.withColumn("op", F.lit("u")), batch_id)
-
     crashed = []
 
     def crash_once(step: str, batch_id: int) -> None:
@@ -174,11 +171,11 @@ def q_stream_upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rep.fault = crash_once
     ck = f"{root}/checkpoint"
     try:
-        run_until_done(ingest(src, schema, sink=upsert, checkpoint=ck, available_now=True)[1])
+        run_until_done(ingest(src, schema, sink=rep.process, checkpoint=ck, available_now=True)[1])
     except StreamingQueryException:
         pass
     rep.fault = None
-    run_until_done(ingest(src, schema, sink=upsert, checkpoint=ck, available_now=True)[1])
+    run_until_done(ingest(src, schema, sink=rep.process, checkpoint=ck, available_now=True)[1])
     if not crashed:
         raise AssertionError("the replay path was not exercised")
     return rep.current()

@@ -45,13 +45,15 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for state, checkpoints and lineage cuts.
 
     Read from the session (`spark.checkpoint.dir`, as the cluster sets it).
-    Only when it is unset (a bare local test session) is a local folder
-    created and registered; a cluster always names a shared one.
+    Only a local session may do without (a folder of this machine is then
+    created and registered); elsewhere it has to be set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # Later calls find it through getCheckpointDir().
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         root = spark.sparkContext.getCheckpointDir()

@@ -22,7 +22,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from ..operators.changelog import OP_DELETE
+from ..operators.changelog import OP_DELETE, last_per_key
+from .keyed_table import stream_job
 
 DIALECTS = ("ansi", "derby", "mysql")
 
@@ -62,9 +63,19 @@ def merge_statements(dialect: str, table: str, staging: str, key: Sequence[str],
 
 
 def marker_statements(marker_table: str, job: str, batch_id: int) -> tuple[str, str]:
-    """(check, record) statements of the batch-marker table (job, batch_id)."""
-    return (f"SELECT COUNT(*) FROM {marker_table} WHERE job = '{job}' AND batch_id >= {int(batch_id)}",
-            f"INSERT INTO {marker_table} (job, batch_id) VALUES ('{job}', {int(batch_id)})")
+    """(check, record) statements of the batch-marker table (job, batch_id).
+
+    Only this very batch of this job counts as done; `job` names the run too
+    (see `JdbcKeyedSink`), so a stream with a new checkpoint skips nothing.
+    """
+    name = job.replace("'", "''")
+    return (f"SELECT COUNT(*) FROM {marker_table} WHERE job = '{name}' AND batch_id = {int(batch_id)}",
+            f"INSERT INTO {marker_table} (job, batch_id) VALUES ('{name}', {int(batch_id)})")
+
+
+def marker_ddl(marker_table: str) -> str:
+    """Statement that creates the batch-marker table; run it once, before the first job."""
+    return f"CREATE TABLE {marker_table} (job VARCHAR(200) NOT NULL, batch_id BIGINT NOT NULL, PRIMARY KEY (job, batch_id))"
 
 
 @dataclass
@@ -80,6 +91,7 @@ class JdbcKeyedSink:
     marker_table: str = "tidemark_batches"
     properties: dict = field(default_factory=dict)
     write_partitions: int | None = None
+    order: Sequence[str] = ()  # change order; with it a batch is reduced to the last change of each key
 
     @classmethod
     def for_spec(cls, spec, url: str, job: str, dialect: str = "ansi", properties: dict | None = None,
@@ -99,12 +111,18 @@ class JdbcKeyedSink:
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
         staging = self.staging_name(batch_id)
+        if self.order:
+            changes = last_per_key(changes, list(self.key), self.order)
         rows = changes.select(*self.columns, self.op_col)
         if self.write_partitions:
             rows = rows.repartition(self.write_partitions, *self.key)
         rows.write.jdbc(self.url, staging, mode="overwrite", properties=self.properties)
         self._apply(changes.sparkSession, staging, batch_id)
 
+    def process(self, changes: DataFrame, batch_id: int) -> None:
+        """The same under the name that `KeyedReplica` has, for `replicate` and `ingest`."""
+        self(changes, batch_id)
+
     def _apply(self, spark, staging: str, batch_id: int) -> None:
         jvm = spark.sparkContext._jvm
         props = jvm.java.util.Properties()
@@ -114,7 +132,8 @@ class JdbcKeyedSink:
         try:
             conn.setAutoCommit(False)
             stmt = conn.createStatement()
-            check, record = marker_statements(self.marker_table, self.job, batch_id)
+            run = stream_job(spark)  # a new checkpoint is a new run: its batches count anew
+            check, record = marker_statements(self.marker_table, f"{self.job}:{run}" if run else self.job, batch_id)
             rs = stmt.executeQuery(check)
             rs.next()
             if rs.getLong(1) == 0:

@@ -36,6 +36,11 @@ _MARK = "_mark"
 _BUCKET, _VERSION = "_bucket", "_version"   # partition columns of the data folder
 
 
+def stream_job(spark: SparkSession) -> str | None:
+    """Id of the streaming query whose batch is being processed; it is kept in the checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def buckets_for(table_bytes: int, target_bucket_bytes: int = 256 << 20, minimum: int = 16) -> int:
     """Bucket count so that one bucket holds about `target_bucket_bytes` (a power of two).
 
@@ -57,6 +62,43 @@ class KeyedTable:
         self.schema = schema
         self.key = [key] if isinstance(key, str) else list(key)
         self.buckets = buckets
+        self._checked = False
+
+    # ------------------------------------------------------------ identity
+    def _check_layout(self) -> None:
+        """Refuse a table that was written with another key, bucket count or columns."""
+        if self._checked:
+            return
+        mine = {"key": self.key, "buckets": self.buckets, "columns": self.schema.fieldNames()}
+        path = f"{self.path}/layout.json"
+        text = self._read_text(path)
+        if text is None:
+            self._write_text(path, json.dumps(mine))
+        elif json.loads(text) != mine:
+            raise ValueError(f"{self.path} was written with layout {text}, not {json.dumps(mine)}")
+        self._checked = True
+
+    def claim(self, batch_id: int, job: str | None = None) -> None:
+        """Refuse a batch that cannot follow the table's versions.
+
+        A table belongs to the stream (`job`, the query id kept in its
+        checkpoint) that wrote it first; its batches may only repeat the newest
+        version or go on from it. So a stream whose checkpoint was reset fails
+        here instead of writing older versions over newer ones.
+        """
+        self._check_layout()
+        newest = self.latest_version()
+        if newest is not None and newest > batch_id:
+            raise ValueError(f"{self.path} is at version {newest}, after batch {batch_id}: "
+                             "its stream's checkpoint was reset or replaced; start with a new state folder")
+        if job is None:
+            return
+        path = f"{self.path}/job.json"
+        text = self._read_text(path)
+        if text is None:
+            self._write_text(path, json.dumps({"job": job}))
+        elif json.loads(text)["job"] != job:
+            raise ValueError(f"{self.path} belongs to another stream's checkpoint ({text})")
 
     # ------------------------------------------------------------ layout
     @property
@@ -149,6 +191,7 @@ class KeyedTable:
     # ------------------------------------------------------------ reads
     def read(self, as_of: int | None, buckets: Iterable[int] | None = None) -> DataFrame:
         """Rows as of a version, optionally only of some buckets."""
+        self._check_layout()
         pairs = self.manifest(as_of)
         if buckets is not None:
             wanted = set(buckets)
@@ -167,6 +210,7 @@ class KeyedTable:
         Every row of `rows` must fall in a touched bucket. Other buckets keep
         what they had as of `base_version`.
         """
+        self._check_layout()
         touched = sorted(set(touched))
         pairs = self.manifest(base_version)
         if touched:

@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..functions.lines import fail_on
 from ..operators.changelog import OP_DELETE
 
+_CORRUPT = "_corrupt"
 
 KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
 
@@ -22,7 +24,8 @@ KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
 def require_kafka(spark: SparkSession) -> None:
     """Fail early, with the fix, when the Kafka connector is not on the classpath."""
     try:
-        spark.sparkContext._jvm.java.lang.Class.forName(KAFKA_PROVIDER)
+        # Packages given at launch are known to the context class loader only.
+        spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass(KAFKA_PROVIDER)
     except Exception as e:  # py4j wraps ClassNotFoundException
         raise RuntimeError("the message-log source/sink needs the spark-sql-kafka-0-10 package "
                            "(e.g. --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>)") from e
@@ -75,21 +78,39 @@ def envelope_schema(row_schema: StructType) -> StructType:
     ])
 
 
+BAD_EVENT = "bad_event"
+
+
 def read_changelog(df: DataFrame, row_schema: StructType, value_col: str = "value",
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), on_bad: str = "fail") -> DataFrame | tuple[DataFrame, DataFrame]:
     """JSON change envelopes -> flat changelog rows (op, <row columns>, ts_ms, file, pos).
 
     Values come from `after` for r/c/u and from `before` for d (a delete
-    carries only its old image). Batch or streaming input.
+    carries only its old image). Batch or streaming input. A bad event is one
+    that is no JSON, has a value of another type than declared, no known op, or
+    no row image: "fail" fails the query, "drop" leaves it out, "divert" returns
+    (changes, rejects) where rejects carry `value` and `reason`.
     """
-    e = F.from_json(F.col(value_col), envelope_schema(row_schema)).alias("e")
-    parsed = df.select(*keep, e)
+    if on_bad not in ("fail", "divert", "drop"):
+        raise ValueError(f"on_bad must be fail, divert or drop, not {on_bad!r}")
+    schema = envelope_schema(row_schema).add(_CORRUPT, StringType(), True)
+    e = F.from_json(F.col(value_col), schema, {"columnNameOfCorruptRecord": _CORRUPT}).alias("e")
+    staged = df.select(*keep, F.col(value_col).alias("_value"), e)
+    known = F.col("e.op").isin("r", "c", "u") & F.col("e.after").isNotNull() | (
+        (F.col("e.op") == OP_DELETE) & F.col("e.before").isNotNull())
+    good = F.col(f"e.{_CORRUPT}").isNull() & F.coalesce(known, F.lit(False))
+    staged = staged.withColumn("_reason", F.when(~good, F.lit(BAD_EVENT)))
+    parsed = fail_on(staged, "_reason", "_value") if on_bad == "fail" else staged.where("_reason is null")
     image = F.when(F.col("e.op") == OP_DELETE, F.col("e.before")).otherwise(F.col("e.after"))
-    return parsed.select(
+    changes = parsed.select(
         *keep, F.col("e.op").alias("op"),
         *[image.getField(f.name).alias(f.name) for f in row_schema.fields],
         F.col("e.ts_ms").alias("ts_ms"), F.col("e.source.file").alias("file"),
         F.col("e.source.pos").alias("pos"))
+    if on_bad == "divert":
+        return changes, staged.where("_reason is not null").select(
+            *keep, F.col("_value").alias("value"), F.col("_reason").alias("reason"))
+    return changes
 
 
 def to_envelope(changes: DataFrame, row_cols: Sequence[str], op_col: str = "op",

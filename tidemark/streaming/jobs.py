@@ -47,9 +47,9 @@ def start_append(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
     return _trigger(w, available_now, interval).start()
 
 
-def start_preview(stream: DataFrame, rows: int = 20, available_now: bool = False,
+def start_preview(stream: DataFrame, rows: int = (1 << 31) - 1, available_now: bool = False,
                   interval: str = CHECKPOINT_INTERVAL) -> StreamingQuery:
-    """Print each micro-batch (a `select *` preview of a stream)."""
+    """Print each micro-batch, all rows (`rows` shortens the preview of a large stream)."""
     w = stream.writeStream.format("console").option("numRows", rows).option("truncate", False)
     return _trigger(w, available_now, interval).start()
 
@@ -115,27 +115,50 @@ def produce(spark: SparkSession, topic: str, bootstrap_servers: str, rows_per_se
 def ingest(lines: DataFrame, schema, sink: Callable[[DataFrame, int], None] | None = None,
            view: str | None = None, sql: str | None = None, on_bad: str = "fail",
            keep: tuple[str, ...] = ("ts", "partition", "pos"), checkpoint: str | None = None,
-           available_now: bool = False) -> tuple[DataFrame, StreamingQuery | None]:
+           available_now: bool = False, rejects: Callable[[DataFrame, int], None] | None = None,
+           op: str | None = "u") -> tuple[DataFrame | tuple[DataFrame, DataFrame], StreamingQuery | None]:
     """Consumer job: lines -> typed rows -> (view + SQL) -> keyed sink.
 
     Returns the typed stream and, when a sink is given, the running query.
     `sink(batch, batch_id)` is e.g. `KeyedReplica.process` or a JDBC sink;
-    rows carry `keep` columns (log positions) for last-writer-wins upserts.
+    rows carry `keep` columns (log positions) for last-writer-wins upserts, and
+    `op` (each line is an upsert) unless that is None or the rows have one.
+    With on_bad="divert", `rejects(batch, batch_id)` gets each batch's bad lines
+    before the sink gets its rows; without a sink the typed stream is returned
+    as (rows, rejects).
     """
     from ..functions.lines import parse_lines
     keep = tuple(c for c in keep if c in lines.columns)
-    rows = parse_lines(lines, schema, on_bad=on_bad, keep=keep)
-    if on_bad == "divert":
-        rows = rows[0]
-    if view:
-        rows.createOrReplaceTempView(view)
-        if sql:
-            rows = rows.sparkSession.sql(sql)
+
+    def typed(source: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        rows, bad = parse_lines(source, schema, on_bad=on_bad, keep=keep), None
+        if on_bad == "divert":
+            rows, bad = rows
+        if view:
+            rows.createOrReplaceTempView(view)
+            if sql:
+                rows = rows.sparkSession.sql(sql)
+        if op is not None and sink is not None and "op" not in rows.columns:
+            rows = rows.withColumn("op", F.lit(op))
+        return rows, bad
+
     if sink is None:
-        return rows, None
+        rows, bad = typed(lines)
+        return (rows if bad is None else (rows, bad)), None
     if checkpoint is None:
         raise ValueError("a sink needs its own checkpoint location")
-    return rows, start_foreach_batch(rows, sink, checkpoint, available_now=available_now)
+    if on_bad != "divert":
+        rows, _ = typed(lines)
+        return rows, start_foreach_batch(rows, sink, checkpoint, available_now=available_now)
+    if rejects is None:
+        raise ValueError('on_bad="divert" needs a rejects sink; use "drop" to leave bad lines out')
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        rows, bad = typed(batch)
+        rejects(bad, batch_id)
+        sink(rows, batch_id)
+
+    return lines, start_foreach_batch(lines, both, checkpoint, available_now=available_now)
 
 
 def replicate(changes: DataFrame, replica, checkpoint: str, available_now: bool = False) -> StreamingQuery:

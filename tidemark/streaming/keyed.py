@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.changelog import OP_DELETE, last_per_key
-from ..sinks.keyed_table import KeyedTable
+from ..sinks.keyed_table import KeyedTable, stream_job
 
 Fault = Callable[[str, int], None]
 
@@ -46,6 +46,7 @@ class KeyedReplica:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch entry point. `batch` carries key, values, op and order columns."""
+        self.table.claim(batch_id, stream_job(self.spark))
         base = self.table.latest_version(batch_id - 1)
         changes = batch.select(*self.columns, self.op_col, *self.order).persist()
         try:

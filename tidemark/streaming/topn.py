@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType)
 
 from ..operators.changelog import OP_DELETE, changelog_diff
-from ..sinks.keyed_table import KeyedTable
+from ..sinks.keyed_table import KeyedTable, stream_job
 
 ChangeSink = Callable[[DataFrame, int], None]
 
@@ -166,6 +166,8 @@ class JoinTopN:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch entry point: apply one micro-batch of tagged changes."""
         k, prev = batch_id, batch_id - 1
+        for t in (self.joined, self.buffer):
+            t.claim(k, stream_job(self.spark))
         base_j = self.joined.latest_version(prev)
         base_b = self.buffer.latest_version(prev)
         self._held: list[DataFrame] = []
