@@ -51,25 +51,18 @@ def buckets_for(table_bytes: int, target_bucket_bytes: int = 256 << 20, minimum:
     return 1 << (n - 1).bit_length()
 
 
-class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType,
-                 key: str | Sequence[str] = "id", buckets: int = 64):
-        clash = {_MARK, _BUCKET, _VERSION} & set(schema.fieldNames())
-        if clash:
-            raise ValueError(f"reserved column name(s) {sorted(clash)}")
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-        self.key = [key] if isinstance(key, str) else list(key)
-        self.buckets = buckets
-        self._checked = False
+class StateFolder:
+    """A folder of state that knows its layout and the stream that owns it.
+
+    Subclasses set `spark`, `path` and `_checked`, and give `_layout` and `latest_version`.
+    """
 
     # ------------------------------------------------------------ identity
     def _check_layout(self) -> None:
-        """Refuse a table that was written with another key, bucket count or columns."""
+        """Refuse a table that was written with another layout (key, columns, ...)."""
         if self._checked:
             return
-        mine = {"key": self.key, "buckets": self.buckets, "columns": self.schema.fieldNames()}
+        mine = self._layout()
         path = f"{self.path}/layout.json"
         text = self._read_text(path)
         if text is None:
@@ -100,23 +93,7 @@ class KeyedTable:
         elif json.loads(text)["job"] != job:
             raise ValueError(f"{self.path} belongs to another stream's checkpoint ({text})")
 
-    # ------------------------------------------------------------ layout
-    @property
-    def _data(self) -> str:
-        return f"{self.path}/data"
-
-    def _manifest_path(self, version: int) -> str:
-        return f"{self.path}/manifest/v={version}.json"
-
-    def bucket_of(self, *cols: Column) -> Column:
-        keys = cols or tuple(F.col(k) for k in self.key)
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
-
-    def buckets_of(self, df: DataFrame, *cols: Column) -> list[int]:
-        """The buckets that rows of `df` fall in (at most `buckets` numbers)."""
-        return sorted(r[0] for r in df.select(self.bucket_of(*cols).alias("b")).distinct().collect())
-
-    # ------------------------------------------------------------ manifest (driver-side metadata)
+    # ------------------------------------------------------------ small files
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -147,6 +124,40 @@ class KeyedTable:
         if not fs.rename(tmp, p):
             raise OSError(f"could not commit {path}")
 
+
+class KeyedTable(StateFolder):
+    def __init__(self, spark: SparkSession, path: str, schema: StructType,
+                 key: str | Sequence[str] = "id", buckets: int = 64):
+        clash = {_MARK, _BUCKET, _VERSION} & set(schema.fieldNames())
+        if clash:
+            raise ValueError(f"reserved column name(s) {sorted(clash)}")
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+        self.key = [key] if isinstance(key, str) else list(key)
+        self.buckets = buckets
+        self._checked = False
+
+    def _layout(self) -> dict:
+        return {"key": self.key, "buckets": self.buckets, "columns": self.schema.fieldNames()}
+
+    # ------------------------------------------------------------ layout
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
+
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.path}/manifest/v={version}.json"
+
+    def bucket_of(self, *cols: Column) -> Column:
+        keys = cols or tuple(F.col(k) for k in self.key)
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
+    def buckets_of(self, df: DataFrame, *cols: Column) -> list[int]:
+        """The buckets that rows of `df` fall in (at most `buckets` numbers)."""
+        return sorted(r[0] for r in df.select(self.bucket_of(*cols).alias("b")).distinct().collect())
+
+    # ------------------------------------------------------------ manifest (driver-side metadata)
     def manifest(self, version: int | None) -> dict[int, int]:
         """{bucket: version} as of `version` ({} when there is none)."""
         if version is None:

@@ -2,11 +2,12 @@
 
 `insert into sink select * from t` where t is a changelog table and sink has
 a primary key: inserts and updates replace the row of their key, deletes
-remove it. Each micro-batch is merged last-writer-wins on the change order
-(e.g. (ts, pos) or a log offset) into a `KeyedTable`, deletes kept as
-tombstones so a late older change cannot bring a row back. Merging is
-idempotent, so a replayed batch (at-least-once delivery, restart after a
-crash) leaves the table as it was: effectively-once.
+remove it. Each micro-batch is reduced to the last change of each key by the
+change order (e.g. (ts, pos) or a log offset) and written as it is to a
+`ChangeLog`; the table is the last change of each key, deletes kept as
+tombstones so a late older change cannot bring a row back. A batch writes what
+it holds and reads no state. A replayed batch (at-least-once delivery, restart
+after a crash) writes its own folder again: effectively-once.
 """
 
 from __future__ import annotations
@@ -17,53 +18,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.changelog import OP_DELETE, last_per_key
-from ..sinks.keyed_table import KeyedTable, stream_job
+from ..operators.changelog import OP_DELETE
+from ..sinks.change_log import ChangeLog
+from ..sinks.keyed_table import stream_job
 
 Fault = Callable[[str, int], None]
 
 
 class KeyedReplica:
+    """`buckets` is the number of parts, by key, that `compact` writes the table in."""
+
     def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str = "id",
                  order: Sequence[str] = ("ts", "pos"), op_col: str = "op", buckets: int = 64,
-                 order_types: dict | None = None, vacuum_every: int = 10, retain: int = 2):
+                 order_types: dict | None = None):
         self.spark, self.key, self.order, self.op_col = spark, key, list(order), op_col
         self.columns = [f.name for f in schema.fields]
         types = {f.name: f.dataType for f in schema.fields}
         types.update(order_types or {})
         fields = [*schema.fields, StructField(op_col, StringType()),
                   *[StructField(c, types[c]) for c in self.order]]
-        self.table = KeyedTable(spark, f"{root.rstrip('/')}/table", StructType(fields), key, buckets)
+        self.table = ChangeLog(spark, f"{root.rstrip('/')}/table", StructType(fields), key, self.order, buckets)
         self.fault: Fault | None = None
-        self.vacuum_every, self.retain = vacuum_every, retain
 
     def initialize(self, snapshot: DataFrame) -> None:
         """Load a snapshot (key, values, op, order columns) as the state before batch 0.
 
         Its order values must sort before every change that follows.
         """
-        self.table.initialize(snapshot.select(*self.table.schema.fieldNames()))
+        self.table.append(snapshot.select(*self.table.schema.fieldNames()), -1)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch entry point. `batch` carries key, values, op and order columns."""
         self.table.claim(batch_id, stream_job(self.spark))
-        base = self.table.latest_version(batch_id - 1)
-        changes = batch.select(*self.columns, self.op_col, *self.order).persist()
-        try:
-            touched = self.table.buckets_of(changes)
-            if not touched:
-                self.table.carry_forward(batch_id, base)
-                return
-            old = self.table.read(base, touched)
-            merged = last_per_key(old.unionByName(changes), self.key, self.order,
-                                  [*self.columns, self.op_col])
-            self.table.write(merged.select(*self.table.schema.fieldNames()), batch_id, touched, base)
-            if self.fault:
-                self.fault("table", batch_id)
-        finally:
-            changes.unpersist()
-        if self.vacuum_every and batch_id > 0 and batch_id % self.vacuum_every == 0:
-            self.table.vacuum(self.retain)
+        self.table.append(batch.select(*self.table.schema.fieldNames()), batch_id)
+        if self.fault:
+            self.fault("table", batch_id)
+
+    def compact(self) -> None:
+        """Fold the batches so far into one base; run it beside the stream, not in it."""
+        self.table.compact()
 
     @classmethod
     def for_spec(cls, spark: SparkSession, spec, root: str, order: Sequence[str] = ("ts", "pos"),
@@ -74,5 +67,4 @@ class KeyedReplica:
         return cls(spark, root, spec.schema, spec.key[0], order=order, order_types=order_types, **kw)
 
     def current(self) -> DataFrame:
-        t = self.table.read(self.table.latest_version())
-        return t.where(F.col(self.op_col) != OP_DELETE).select(*self.columns)
+        return self.table.read().where(F.col(self.op_col) != OP_DELETE).select(*self.columns)
