@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from model import lww
-from tidemark.operators.changelog import (apply_changes, changelog_diff, current_state,
+from tidemark.operators.changelog import (apply_changes, changelog_diff, changes_since, current_state,
                                           last_per_key, upsert_by_key)
 from tidemark.streaming.keyed import KeyedReplica
 
@@ -168,3 +168,14 @@ def test_replication_resumes_from_its_checkpoint(spark, scratch):
     run()
     assert seen[len(first):] and min(seen[len(first):]) > max(first)   # batch ids continue
     assert {r.id: r.v for r in rep.current().collect()} == _model_state(rows)
+
+
+def test_diff_of_two_states_in_one_pass(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    spark.createDataFrame(_changes(10), SCHEMA).write.parquet(path)
+    feed = spark.read.parquet(path)
+    old = current_state(feed.where("pos < 150"), "id", ("ts", "pos"), value_cols=["v"])
+    new = current_state(feed, "id", ("ts", "pos"), value_cols=["v"])
+    out = changes_since(feed, F.col("pos") < 150, value_cols=["v"])
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, changelog_diff(old, new).collect()), key=repr)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1

@@ -74,17 +74,32 @@ def changelog_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "i
     keys = _keys(key)
     if value_cols is None:
         value_cols = [c for c in new.columns if c not in keys]
-    o = old.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in value_cols], F.lit(True).alias("_in_o"))
-    n = new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in value_cols], F.lit(True).alias("_in_n"))
-    j = o.join(n, keys, "full_outer")
-    changed = F.lit(False)
-    for c in value_cols:
-        changed = changed | ~F.col(f"_o_{c}").eqNullSafe(F.col(f"_n_{c}"))
-    op = (F.when(F.col("_in_o").isNull(), F.lit(OP_CREATE))
-           .when(F.col("_in_n").isNull(), F.lit(OP_DELETE))
+    o = old.select(*keys, F.struct(*value_cols, F.lit(True).alias("_in")).alias("_old"))
+    n = new.select(*keys, F.struct(*value_cols, F.lit(True).alias("_in")).alias("_new"))
+    return _diff(o.join(n, keys, "full_outer"), keys, value_cols, op_col)
+
+
+def _diff(states: DataFrame, keys: list[str], value_cols: Sequence[str], op_col: str) -> DataFrame:
+    """Changes from the struct `_old` to the struct `_new`, each null where the key is absent."""
+    op = (F.when(F.col("_old").isNull(), F.lit(OP_CREATE))
+           .when(F.col("_new").isNull(), F.lit(OP_DELETE))
            .otherwise(F.lit(OP_UPDATE)))
-    return (j.where(F.col("_in_o").isNull() | F.col("_in_n").isNull() | changed)
-             .select(*keys, op.alias(op_col), *[F.col(f"_n_{c}").alias(c) for c in value_cols]))
+    return (states.where(~F.col("_old").eqNullSafe(F.col("_new")))
+                  .select(*keys, op.alias(op_col), *[F.col("_new").getField(c).alias(c) for c in value_cols]))
+
+
+def changes_since(changes: DataFrame, before: Column, key: str | Sequence[str] = "id",
+                  order: Sequence[str] = ("ts", "pos"), value_cols: Sequence[str] = (), op_col: str = "op",
+                  delete_ops: Sequence[str] = (OP_DELETE,)) -> DataFrame:
+    """`changelog_diff` of a feed's state over the rows that are `before` and over all, in one aggregation."""
+    keys = _keys(key)
+    image = F.struct(op_col, *value_cols)
+    states = changes.withColumn("_before", before).groupBy(*keys).agg(
+        F.max_by(image, F.when(F.col("_before"), _order_struct(order))).alias("_old"),
+        F.max_by(image, _order_struct(order)).alias("_new"))
+    live = {n: F.when(~F.col(f"{n}.{op_col}").isin(*delete_ops),
+                      F.struct(*[F.col(f"{n}.{c}").alias(c) for c in value_cols])).alias(n) for n in ("_old", "_new")}
+    return _diff(states.select(*keys, *live.values()), keys, value_cols, op_col)
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str | Sequence[str] = "id",

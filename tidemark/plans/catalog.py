@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import generate as gen
 from ..functions.lines import line_col, parse_lines
-from ..operators.changelog import apply_changes, changelog_diff, current_state, upsert_by_key
+from ..operators.changelog import apply_changes, changes_since, current_state, upsert_by_key
 from ..operators.join import join_by_key
 from ..operators.rank import row_number_by_group, top_n_per_group
 from ..operators.topn import top_n_delta
@@ -193,12 +193,13 @@ def q_cdc_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_changelog_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog_diff(feed_state(spark, sf_dir, (1, 2)), feed_state(spark, sf_dir))
+    feed = tb.change_feed(spark, sf_dir)
+    return changes_since(feed, tb.before_cut(feed, 1, 2), value_cols=STATE_COLUMNS)
 
 
 def q_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = feed_state(spark, sf_dir, (1, 2))
-    return apply_changes(old, changelog_diff(old, feed_state(spark, sf_dir)))
+    return apply_changes(old, q_changelog_diff(spark, sf_dir))
 
 
 def q_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:

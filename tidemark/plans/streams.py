@@ -36,6 +36,7 @@ FEED_SCHEMA = StructType([
 SIDES = [Side("t1", ("gender",)), Side("t2", ("name",)), Side("t3", ("score",))]
 # Which event types change which stand-in table.
 T1_EVENTS = ("signup", "view", "error")
+T2_EVENTS = ("signup", "click", "error")
 T3_EVENTS = ("click", "purchase", "error")
 
 
@@ -59,9 +60,9 @@ def join_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Change feeds of t1, t2, t3: a snapshot of customer, then events as changes.
 
     t1 (gender): events signup/view set the group to the event type (rows move
-    between groups), error deletes. t3 (score): click/purchase set the score
-    to the event value, error deletes. t2 (name): snapshot only, so an id
-    deleted from t1/t3 stays in t2 alone. Snapshot rows sort before changes.
+    between groups), error deletes. t2 (name): signup/click set the name to the
+    event type and number, error deletes. t3 (score): click/purchase set the
+    score to the event value, error deletes. Snapshot rows sort before changes.
     """
     cust = tb.table(spark, sf_dir, "customer")
     feed = tb.change_feed(spark, sf_dir)
@@ -69,7 +70,9 @@ def join_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     chg = dict(op=F.col("op"), ts=F.col("ts"), pos=F.col("pos"), id=F.col("id"))
     f1 = _wide(cust, "t1", gender=F.col("c_mktsegment"), **snap).unionByName(
         _wide(feed.where(F.col("event_type").isin(*T1_EVENTS)), "t1", gender=F.col("event_type"), **chg))
-    f2 = _wide(cust, "t2", name=F.col("c_name"), **snap)
+    name = F.concat_ws("#", "event_type", "pos")
+    f2 = _wide(cust, "t2", name=F.col("c_name"), **snap).unionByName(
+        _wide(feed.where(F.col("event_type").isin(*T2_EVENTS)), "t2", name=name, **chg))
     f3 = _wide(cust, "t3", score=F.col("c_acctbal"), **snap).unionByName(
         _wide(feed.where(F.col("event_type").isin(*T3_EVENTS)), "t3", score=F.col("value"), **chg))
     return {"t1": f1, "t2": f2, "t3": f3}
@@ -195,6 +198,11 @@ f1 as (select c_custkey id, c_mktsegment gender, 'r' op, TIMESTAMP '1970-01-01 0
        union all
        select user_id, event_type, case when event_type = 'error' then 'd' else 'u' end, ts, event_id
        from events where event_type in ('signup', 'view', 'error')),
+f2 as (select c_custkey id, c_name "name", 'r' op, TIMESTAMP '1970-01-01 00:00:00' ts, c_custkey pos
+       from customer
+       union all
+       select user_id, event_type || '#' || event_id, case when event_type = 'error' then 'd' else 'u' end, ts, event_id
+       from events where event_type in ('signup', 'click', 'error')),
 f3 as (select c_custkey id, c_acctbal score, 'r' op, TIMESTAMP '1970-01-01 00:00:00' ts, c_custkey pos
        from customer
        union all
@@ -204,7 +212,8 @@ s1 as (select id, gender from (select *, row_number() over (partition by id orde
                                from f1) z where k = 1 and op <> 'd'),
 s3 as (select id, score from (select *, row_number() over (partition by id order by ts desc, pos desc) k
                               from f3) z where k = 1 and op <> 'd'),
-s2 as (select c_custkey id, c_name name from customer),
+s2 as (select id, "name" from (select *, row_number() over (partition by id order by ts desc, pos desc) k
+                               from f2) z where k = 1 and op <> 'd'),
 j as (select s1.id, name, gender, score from s1 join s2 on s1.id = s2.id join s3 on s1.id = s3.id)"""
 
 STREAM_ORACLE_SQL: dict[str, str] = {

@@ -11,7 +11,7 @@ Every reader selects only the columns it needs so the scan is pruned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The change-feed encoding of the events stand-in.
@@ -56,8 +56,13 @@ def feed_cut(feed: DataFrame, share_num: int = 1, share_den: int = 2,
     `pos * den < max(pos) * num + num`, i.e. the first num/den of positions 0..max.
     Used to take the state "before" a change set; the max is a scalar subquery.
     """
+    return feed.where(before_cut(feed, share_num, share_den, pos_col))
+
+
+def before_cut(feed: DataFrame, share_num: int = 1, share_den: int = 2, pos_col: str = "pos") -> Column:
+    """Whether a change lies in the prefix that `feed_cut` takes."""
     top = feed.agg(F.max(pos_col)).scalar()
-    return feed.where(F.col(pos_col) * share_den < (F.lit(top) + 1) * share_num)
+    return F.col(pos_col) * share_den < (F.lit(top) + 1) * share_num
 
 
 def rank_input(spark: SparkSession, sf_dir: str) -> DataFrame:
