@@ -14,7 +14,7 @@ Where to start, by task:
 * keep tables current      tidemark.streaming.keyed.KeyedReplica (replication / upsert sink),
                            tidemark.streaming.topn.JoinTopN (join + top-N per group),
                            tidemark.streaming.jobs (ingest, replicate, maintain_topn)
-* keyed sinks              tidemark.sinks.keyed_table.KeyedTable, tidemark.sinks.jdbc.JdbcKeyedSink
+* keyed sinks              tidemark.sinks.change_log.ChangeLog, tidemark.sinks.jdbc.JdbcKeyedSink
 """
 
 __version__ = "0.1.0"
