@@ -147,6 +147,18 @@ def test_ngram_join_is_whole(spark, small, monkeypatch):
     assert got == want
 
 
+def test_ngram_join_one_body_many_tails(spark):
+    # Groups of one body, 160 shingles, and 20 own shingles each (similarity 0.8): all buckets of a body have the same members.
+    bodies, copies = 16, 100
+    rows = []
+    for b in range(bodies):
+        body = " ".join(f"b{b}w{i}" for i in range(164))
+        rows += [(b * copies + c, body + " " + " ".join(f"b{b}c{c}t{i}" for i in range(20))) for c in range(copies)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.ngram_join(df).collect()}
+    assert got == {d: (d // copies * copies, copies - 1) for d, _ in rows}
+
+
 def test_ngram_join_odd_rows(spark, odd):
     out = ngram_join.ngram_join(odd).collect()
     assert len(out) == len(ODD) and {r["class_id"] for r in out if r["doc_id"] in (1, 2, 3)} == {1, 2, 3}

@@ -13,7 +13,8 @@ then judged by its exact Jaccard similarity.
 Sets that share almost everything do not split: a bucket whose largest child
 keeps half of it, or that is still large at the last step, is compared in pairs
 of blocks instead, each block pair a task's group of bounded size. So no bucket
-is dropped or cut short. A pair that meets in several buckets is judged in the
+is dropped or cut short. Buckets with the same members still split each by its
+own path, or the runs would not be independent; such members are judged once. A pair that meets in several buckets is judged in the
 first of them only, and reported as numbers: each block pair yields the links
 of each set and the edges of a spanning forest, never all its pairs.
 
@@ -43,6 +44,7 @@ WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99999
 BRANCH = 2.0
 DEPTH = 3
 SMALL = 64  # sets that are compared without splitting
+TURNS = 4  # rounds in which buckets with the same members draw, all that are left in the last
 BLOCK = 1024  # sets in a block of a bucket that does not split
 _U = np.uint64
 _A, _B, _C = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xD6E8FEB86659FD93)
@@ -108,13 +110,17 @@ def _first_keys(docs: DataFrame, words: int, runs: int) -> DataFrame:
 
 
 def _sized(members: DataFrame, threshold: float) -> DataFrame:
-    """Buckets that hold a pair: (key, parent, m). Buckets with the same members count once."""
+    """Buckets that hold a pair: (key, m, x, y). Buckets with the same members have the same m, x and y."""
     size = members.groupBy("key").agg(
-        F.min("parent").alias("parent"), F.count(F.lit(1)).alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"),
+        F.count(F.lit(1)).alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"),
         F.expr("bit_xor(xxhash64(kid))").alias("x"), F.expr("bit_xor(xxhash64(kid, 1))").alias("y"))
-    size = size.where((F.col("m") > 1) & ((F.col("m") > 2) | (F.col("lo") >= F.lit(threshold) * F.col("hi"))))
-    return size.groupBy("m", "x", "y").agg(F.min(F.struct("key", "parent")).alias("k")).select(
-        F.col("k.key").alias("key"), F.col("k.parent").alias("parent"), "m")
+    return size.where((F.col("m") > 1) & ((F.col("m") > 2) | (F.col("lo") >= F.lit(threshold) * F.col("hi")))).select(
+        "key", "m", "x", "y")
+
+
+def _once(buckets: DataFrame) -> DataFrame:
+    """One of the buckets with the same members. Only for buckets that are judged: those that split draw each on their own."""
+    return buckets.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m", "x", "y")
 
 
 def _next_step(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -138,6 +144,16 @@ def _next_step(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return map_batches(texts.join(paths, "kid").select("kid", "text", "paths"), make, "key bigint, parent bigint, kid bigint, n int")
 
 
+def _split(hot: DataFrame, members: DataFrame, texts: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Members of the children of `hot`, and its rows with `split`: no child keeps more than half of the bucket."""
+    inside = members.join(hot.select("key"), "key", "left_semi")
+    children = write_scratch(_next_step(inside, texts, words), "join-members")
+    size = children.groupBy("parent", "key").agg(F.count(F.lit(1)).alias("m")).groupBy("parent").agg(F.max("m").alias("child"))
+    split = hot.join(size, hot["key"] == size["parent"], "left").select(
+        "key", "m", "x", "y", (F.coalesce("child", F.lit(0)) * 2 <= F.col("m")).alias("split"))
+    return children, write_scratch(split, "join-split")
+
+
 def _compare(group: list[tuple], threshold: float, words: int):
     """Links of one block pair: yields (kid, links) and forest edges (kid, other)."""
     key, kid, block = group[0][0], [g[4] for g in group], [g[3] for g in group]
@@ -259,22 +275,27 @@ def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
     for step in range(2, DEPTH + 1):
         if hot.isEmpty():
             break
-        inside = members.join(hot.select("key"), "key", "left_semi")
-        children = write_scratch(_next_step(inside, texts, words), "join-members")
-        size = children.groupBy("parent", "key").agg(F.count(F.lit(1)).alias("m")).groupBy("parent").agg(F.max("m").alias("child"))
-        split = hot.alias("h").join(size.alias("s"), F.col("h.key") == F.col("s.parent"), "left").select(
-            F.col("h.key").alias("key"), F.col("h.parent").alias("parent"), "m",
-            (F.coalesce("child", F.lit(0)) * 2 <= F.col("m")).alias("split"))
-        split = write_scratch(split, "join-split")
-        judged_buckets = judged_buckets.unionByName(split.where("not split").select("key", "parent", "m"))
-        children = children.join(split.where("split").select(F.col("key").alias("parent")), "parent", "left_semi").select(
+        # Buckets with the same members draw in turns. Once one of them does not split, its members are compared as a
+        # whole, and no other bucket of theirs can add a pair; if all split, each has drawn on its own in the end.
+        rest, drawn, split = hot, None, None
+        for turn in range(TURNS):
+            now = write_scratch(_once(rest) if turn < TURNS - 1 else rest, "join-turn")
+            more, done = _split(now, members, texts, words)
+            drawn, split = (more, done) if drawn is None else (drawn.unionByName(more), split.unionByName(done))
+            whole = _once(split.where("not split"))
+            rest = rest.join(now.select("key"), "key", "left_anti").join(whole.select("m", "x", "y"), ["m", "x", "y"], "left_anti").select("key", "m", "x", "y")
+            if turn < TURNS - 1 and rest.isEmpty():
+                break
+        judged_buckets = judged_buckets.unionByName(whole.select("key", "m", "x", "y"))
+        apart = split.where("split").join(whole.select("m", "x", "y"), ["m", "x", "y"], "left_anti")
+        members = drawn.join(apart.select(F.col("key").alias("parent")), "parent", "left_semi").select(
             "key", "parent", "kid", "n").distinct()
-        sized = write_scratch(_sized(children, threshold), "join-buckets")
-        members = children
+        sized = write_scratch(_sized(members, threshold), "join-buckets")
         judged_members = judged_members.unionByName(members.select(*judged_members.columns))
         small = F.lit(True) if step == DEPTH else F.col("m") <= SMALL
         judged_buckets = judged_buckets.unionByName(sized.where(small))
         hot = sized.where(~small)
+    judged_buckets = write_scratch(_once(judged_buckets), "join-judged")
     found = write_scratch(_judge(judged_members, judged_buckets, texts, threshold, words), "join-found")
     links = found.where("other is null").groupBy("kid").agg(F.sum("links").alias("n_links"))
     joined = components(found.where("other is not null").select(F.col("kid").alias("u"), F.col("other").alias("v")))
