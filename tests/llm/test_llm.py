@@ -246,6 +246,22 @@ def test_classifiers_odd_rows(spark, odd):
     assert language.predict(odd, language.train(none, toxicity.learnable(5, 0))).where("lang_pred = 'und'").count() == len(ODD)
 
 
+def test_language_learns_every_label(spark):
+    # 70 languages of own letters, the last with texts above MAX_CHARS only; ids of one language have many hashes.
+    def said(k, i):
+        return " ".join(chr(0x4E00 + 20 * k + (i + j) % 20) * 3 for j in range(30))
+
+    rows = [(k * 10 + i, said(k, i) if k < 69 else " ".join([said(k, i)] * 100), f"l{k:02}") for k in range(70) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sample = common.labelled_sample(docs, docs, "lang", common.F.lit(True), 4, language.MAX_CHARS).collect()
+    taken = Counter(r["label"] for r in sample)
+    assert taken == {f"l{k:02}": 4 if k < 69 else 3 for k in range(70)}
+    hashed = [r["doc_id"] for r in docs.where("lang = 'l05'").orderBy(common.F.xxhash64("doc_id"), "doc_id").limit(4).collect()]
+    assert {r["doc_id"] for r in sample if r["label"] == "l05"} == set(hashed)
+    got = language.predict(docs, language.train(docs, common.F.lit(True))).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {d: v for d, _, v in rows}
+
+
 def test_misspelling_shares_its_ngrams():
     clean = [f"a quiet day number {i} by the river" for i in range(40)]
     rude = [f"you are a horrible blockhead number {i}" for i in range(40)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -75,27 +75,41 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
                     per_class: int, max_chars: int) -> DataFrame:
     """A bounded, repeatable sample of labelled rows: (doc_id, text, label).
 
-    For each label value the `per_class` rows of smallest id hash among those
-    with a null-free id, text and label, `learn` true and at most `max_chars`
-    characters. A document labelled several times has its largest label. The
-    sample holds at most per_class x labels x max_chars characters.
+    For each label value, however many there are, the `per_class` rows of
+    smallest id hash among those with a null-free id, text and label, `learn`
+    true and at most `max_chars` characters. A label without such rows has its
+    shortest texts: one, and more up to per_class x max_chars characters. A
+    document labelled several times has its largest label. The sample holds at
+    most per_class x labels x max_chars characters, besides single longer texts.
     """
     marked = (labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_label"))
               .where(F.col("_id").isNotNull() & F.col("_label").isNotNull())
               .groupBy("_id").agg(F.max("_label").alias("_label")))
-    rows = (docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-            .where(F.col("_text").isNotNull() & (F.length("_text") <= max_chars)))
+    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).where(F.col("_text").isNotNull())
     near = (marked.where(learn).select("_id", "_label", F.xxhash64("_id").alias("_h")))
-    pool = near.join(rows.select("_id"), "_id", "left_semi")
-    values = [r[0] for r in marked.groupBy("_label").count().orderBy("_label").limit(64).collect()]
-    picked = None
-    for v in values:
-        part = pool.where(F.col("_label") == F.lit(v)).orderBy("_h", "_id").limit(per_class)
-        picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
-        picked = pool.limit(0)
-    # At most per_class rows for each label, and of two numbers each.
-    return (rows.join(F.broadcast(picked.select("_id", "_label")), "_id")
+    lengths = rows.groupBy("_id").agg(F.min(F.length("_text")).alias("_len"))
+    pool = write_scratch(near.join(lengths, "_id").withColumn("_part", F.shiftright("_h", 54)), "sample-pool")
+    usual = pool.where(F.col("_len") <= max_chars)
+    # Ranges of the hash are counted, and only rows of those up to the per_class-th row are ranked: no task has a whole label.
+    ahead = Window.partitionBy("_label").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = usual.groupBy("_label", "_part").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).where(F.col("_ahead") < per_class)
+    nth = F.row_number().over(Window.partitionBy("_label").orderBy("_h", "_id"))
+    picked = usual.join(parts.select("_label", "_part"), ["_label", "_part"], "left_semi").withColumn("_nth", nth).where(
+        F.col("_nth") <= per_class).select("_id", "_label", "_len")
+    # Labels with long texts only.
+    by_length = ("_len", "_h", "_id")
+    some = F.row_number().over(Window.partitionBy("_label", "_part").orderBy(*by_length))
+    nth = F.row_number().over(Window.partitionBy("_label").orderBy(*by_length))
+    upto = F.sum("_len").over(Window.partitionBy("_label").orderBy(*by_length).rowsBetween(Window.unboundedPreceding, 0))
+    most = F.least(F.lit(per_class), F.greatest(F.floor(F.lit(per_class) * F.lit(max_chars) / F.col("_least")), F.lit(1)))
+    least = pool.groupBy("_label").agg(F.min("_len").alias("_least")).where(F.col("_least") > max_chars)
+    longer = pool.join(least, "_label").withColumn("_nth", some).where(F.col("_nth") <= most)
+    longer = longer.withColumn("_nth", nth).withColumn("_upto", upto).where(
+        (F.col("_nth") == 1) | ((F.col("_nth") <= per_class) & (F.col("_upto") <= per_class * max_chars)))
+    picked = picked.unionByName(longer.select("_id", "_label", "_len"))
+    # At most per_class rows for each label, and of three numbers each.
+    return (rows.join(F.broadcast(picked), "_id").where(F.length("_text") <= F.greatest(F.col("_len"), F.lit(max_chars)))
             .dropDuplicates(["_id"]).orderBy("_id")
             .select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_label").alias("label")))
 
