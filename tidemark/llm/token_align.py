@@ -35,6 +35,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -45,7 +46,7 @@ from tidemark.llm.common import documents, map_batches, write_scratch
 
 TOKENIZERS = "/opt/tokenizers"  # on every node
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_UNITS = 1 << 20  # units of a chunk, and the documents that end it
+CHUNK_UNITS = 3 << 20  # units of a chunk; different ones and documents count more
 KEPT = 200_000  # different units that a task remembers
 LONGEST = 64  # characters of a unit that is remembered
 SHIFT = 24  # an id pair is a << SHIFT | b
@@ -76,6 +77,8 @@ class Aligner:
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         with open(file_a, encoding="utf-8") as f:
             split = json.load(f).get("pre_tokenizer") or {}
+        size = lambda parts: np.array([len(p) for p in parts], np.int64)
+        self.size_a, self.size_b = size(map(self.bytes_a.__getitem__, range(1 + max(self.bytes_a)))), size(self.bytes_b)
         first = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         self.by_unit = bool(first) and not any("▁" in p.lstrip("▁") for p in pieces)
 
@@ -100,55 +103,75 @@ class Aligner:
         return held[0][0] if len(held) == 1 and held[0][1] else " " + " ".join(p for p, _ in held)
 
     def align(self, units: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, groups, links as id pairs) of each unit; n_a is -1 where the tokens do not spell it."""
-        words = [u[1:] if u.startswith(" ") else u for u in units]
-        got_a = self.a.encode_batch([" " + w for w in words], add_special_tokens=False)
-        got_b = self.b.encode(words, return_type="offset_mapping", num_threads=1)
-        return [self._one(" " + w, ea.ids, ea.offsets, eb["ids"], eb["offsets"]) for w, ea, eb in zip(words, got_a, got_b)]
-
-    def _one(self, unit: str, a: list[int], spans_a, b: list[int], spans_b) -> tuple:
-        body = unit.encode()
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != body or b"".join(parts_b) != body:
-            return -1, 0, 0, "", np.empty(0, np.int64)
-        at = range(len(unit) + 1) if len(body) == len(unit) else _byte_offsets(unit)
-        ends_a, ends_b = _ends(parts_a, spans_a, at, 0), _ends(parts_b, spans_b, at, 1)
-        links, groups, i, j, ia, jb = [], [], 0, 0, 0, 0
-        while i < len(a):
-            links.append(a[i] << SHIFT | b[j])
-            x, y = ends_a[i], ends_b[j]
-            if x <= y:
-                i += 1
-            if y <= x:
-                j += 1
-            if x == y:
-                groups.append(f"{','.join(map(str, a[ia:i]))}|{','.join(map(str, b[jb:j]))}")
-                ia, jb = i, j
-        return len(a), len(b), len(groups), ";".join(groups), np.array(links, np.int64)
-
-
-def _byte_offsets(text: str) -> list[int]:
-    """The byte offset of each character, and of the end."""
-    size = np.array([len(c.encode()) for c in text])
-    return [0, *np.cumsum(size).tolist()]
-
-
-def _ends(parts: list[bytes], spans: list[tuple[int, int]], at, shift: int) -> list[int]:
-    """Byte offsets at which the tokens end.
-
-    `spans` are characters of the text, `shift` how many the unit has before it. A
-    span that is not empty and does not reach into the next one ends at a coarse
-    cut; the ends of other tokens are their decoded bytes behind the last one.
+        """(n_a, n_b, n_groups, groups, links as bytes of id pairs) of each unit; n_a is -1 where the tokens do not spell it.
+
+        The units are laid end to end, so that one pass of array operations aligns them all.
+        """
+        texts = [" " + (u[1:] if u.startswith(" ") else u) for u in units]
+        got_a = self.a.encode_batch(texts, add_special_tokens=False)
+        got_b = self.b.encode([t[1:] for t in texts], return_type="offset_mapping", num_threads=1)
+        ids_a, ids_b = [e.ids for e in got_a], [e["ids"] for e in got_b]
+        if not self._spelled(texts, ids_a, ids_b):
+            if len(units) == 1:
+                return [(-1, 0, 0, "", b"")]
+            half = len(units) // 2
+            return self.align(units[:half]) + self.align(units[half:])
+        body = np.frombuffer("".join(texts).encode(), np.uint8)
+        at = np.append(np.flatnonzero(body & 0xC0 != 0x80), len(body))  # byte offset of each character
+        first = np.cumsum([0, *map(len, texts)])
+        n_a, a, ends_a = _ends(ids_a, [e.offsets for e in got_a], self.size_a, at, first, 0)
+        n_b, b, ends_b = _ends(ids_b, [e["offsets"] for e in got_b], self.size_b, at, first, 1)
+        # A stretch between neighbouring ends lies in one token of A and one of B: that is a link.
+        ends = np.union1d(ends_a, ends_b)
+        links = a[np.searchsorted(ends_a, ends)] << SHIFT | b[np.searchsorted(ends_b, ends)]
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        upto = at[first[1:]]  # a unit's last byte is a cut
+        groups = self._groups(a, np.searchsorted(cuts, ends_a), b, np.searchsorted(cuts, ends_b), np.searchsorted(cuts, upto))
+        n_links = np.diff(np.searchsorted(ends, upto, "right"), prepend=0)
+        n_groups = np.diff(np.searchsorted(cuts, upto, "right"), prepend=0)
+        stops = np.cumsum(n_links).tolist()
+        data = links.tobytes()
+        return [(x, y, z, g, data[8 * (stop - n):8 * stop]) for x, y, z, g, n, stop in
+                zip(n_a, n_b, n_groups.tolist(), groups, n_links.tolist(), stops)]
+
+    def _spelled(self, texts: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> bool:
+        """Whether each text is the bytes of its tokens, in A and in B."""
+        want = [t.encode() for t in texts]
+        return all([b"".join(map(part.__getitem__, ids)) for ids in each] == want
+                   for part, each in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
+
+    def _groups(self, a, group_a, b, group_b, last) -> list[str]:
+        """`a1,a2|b1;a3|b2` of each unit; `last` is each unit's last group."""
+        group = np.concatenate((group_a, group_b))
+        side = np.repeat((0, 1), (len(a), len(b)))
+        order = np.argsort(2 * group + side, kind="stable")
+        group, side = group[order], side[order]
+        sign = np.full(len(order), 0)  # what follows the id: a comma, a bar between the sides, a semicolon, the unit's end
+        sign[:-1] = np.where(group[1:] != group[:-1], 2, side[1:] != side[:-1])
+        sign[np.searchsorted(group, last, "right") - 1] = 3
+        number = np.concatenate((a, b))[order]
+        text = "".join([x for pair in zip(map(str, number.tolist()), map(",|;\n".__getitem__, sign.tolist())) for x in pair])
+        return text.split("\n")[:-1]
+
+
+def _ends(ids: list[list[int]], spans: list, sizes: np.ndarray, at: np.ndarray, first: np.ndarray, shift: int):
+    """(tokens of each unit, ids, byte offsets at which the tokens end) over all units.
+
+    `spans` are characters of the units without their first `shift`. A span that is
+    not empty and does not reach into its unit's next one ends at a coarse cut; other
+    tokens end their decoded bytes behind the last cut, and those bytes have to add up.
     """
-    ends, end = [], 0
-    for k, (lo, hi) in enumerate(spans):
-        end += len(parts[k])
-        if hi > lo and (k + 1 == len(spans) or spans[k + 1][0] >= hi):
-            cut = at[hi + shift]
-            if cut != end:
-                raise ValueError(f"token {k} ends at byte {end}, its span at {cut}")
-        ends.append(end)
-    return ends
+    count = [len(x) for x in ids]
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(count))
+    lo, hi = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(flat)).reshape(-1, 2).T
+    base = np.repeat(first[:-1] + shift, count)
+    ends = np.cumsum(sizes[flat])
+    unit_end = np.zeros(len(flat), bool)
+    unit_end[np.cumsum(count) - 1] = True
+    coarse = (hi > lo) & (unit_end | np.append(lo[1:] >= hi[:-1], True))
+    if (at[(base + hi)[coarse]] != ends[coarse]).any():
+        raise ValueError("the tokens' spans and their bytes disagree")
+    return count, flat, ends
 
 
 CHUNK = ("chunk bigint, ids array<bigint>, n_units array<int>, units binary, n_a array<int>, n_b array<int>, "
@@ -212,9 +235,9 @@ class _Chunks:
             return None
         rows, none = self.rows, np.empty(0, np.int64)
         units = np.concatenate([none, *self.docs])
-        links = np.concatenate([none, *(r[4] for r in rows)])
+        links = np.frombuffer(b"".join([r[4] for r in rows]), np.int64)
         pairs, where = np.unique(links, return_inverse=True)
-        each = np.array([len(r[4]) for r in rows], np.int64)
+        each = np.array([len(r[4]) // 8 for r in rows], np.int64)
         held = np.bincount(units, minlength=len(rows)).astype(np.int64)
         pair_n = np.zeros(len(pairs), np.int64)
         np.add.at(pair_n, where, np.repeat(held, each))
