@@ -46,9 +46,10 @@ from tidemark.llm.common import documents, map_batches, write_scratch
 
 TOKENIZERS = "/opt/tokenizers"  # on every node
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_UNITS = 3 << 20  # units of a chunk; different ones and documents count more
-KEPT = 200_000  # different units that a task remembers
+CHUNK_UNITS = 1 << 21  # units of a chunk; different ones and documents count more
+KEPT = 150_000  # different units that a task remembers
 LONGEST = 64  # characters of a unit that is remembered
+TOGETHER = 1 << 18  # bytes of texts whose units are looked up together
 SHIFT = 24  # an id pair is a << SHIFT | b
 
 
@@ -82,14 +83,19 @@ class Aligner:
         first = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         self.by_unit = bool(first) and not any("▁" in p.lstrip("▁") for p in pieces)
 
+    def split(self, text: str) -> list[str]:
+        """The text between its spaces; these are its units if all of them are `free`."""
+        return text.split(" ") if self.by_unit else [text]
+
+    def free(self, part: str) -> bool:
+        """Whether a stretch between spaces may be encoded wherever it stands, beside others that may."""
+        return self.by_unit and bool(part) and part[0].isprintable() and part[-1].isprintable()
+
     def units(self, text: str) -> list[str]:
         """The text's units, each without its leading space if it may be encoded wherever it stands."""
-        parts = text.split(" ") if self.by_unit else [text]
-        free = [bool(p) and p[0].isprintable() and p[-1].isprintable() for p in parts]
-        if len(parts) > 1 and all(free):
-            return parts
         out, held = [], []
-        for part, ok in zip(parts, free):
+        for part in self.split(text):
+            ok = self.free(part)
             # Both sides of the space before a unit have to be printable.
             if held and ok and held[-1][1]:
                 out.append(self._unit(held))
@@ -105,40 +111,42 @@ class Aligner:
     def align(self, units: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, groups, links as bytes of id pairs) of each unit; n_a is -1 where the tokens do not spell it.
 
-        The units are laid end to end, so that one pass of array operations aligns them all.
+        Units that may stand anywhere are encoded as one text, as neither tokenizer
+        joins them; the others one by one. One pass of array operations aligns them all.
         """
-        texts = [" " + (u[1:] if u.startswith(" ") else u) for u in units]
-        got_a = self.a.encode_batch(texts, add_special_tokens=False)
-        got_b = self.b.encode([t[1:] for t in texts], return_type="offset_mapping", num_threads=1)
-        ids_a, ids_b = [e.ids for e in got_a], [e["ids"] for e in got_b]
-        if not self._spelled(texts, ids_a, ids_b):
+        texts = [u if u.startswith(" ") else " " + u for u in units]
+        whole = "".join(texts)
+        lengths = [len(t) for t in texts] if any(u.startswith(" ") for u in units) else [len(whole)]
+        first = np.cumsum([0, *lengths])  # the encoded texts' first characters
+        asked = [whole[lo:lo + n] for lo, n in zip(first.tolist(), lengths)]
+        got_a = self.a.encode_batch(asked, add_special_tokens=False)
+        ids_a, spans_a, spans_b = [e.ids for e in got_a], None, None
+        if whole.isascii():
+            # A token's span is its bytes.
+            ids_b = self.b.encode([t[1:] for t in asked], num_threads=1)
+        else:
+            got_b = self.b.encode([t[1:] for t in asked], return_type="offset_mapping", num_threads=1)
+            ids_b, spans_a, spans_b = [e["ids"] for e in got_b], [e.offsets for e in got_a], [e["offsets"] for e in got_b]
+        body = whole.encode()
+        if not all(b"".join(map(part.__getitem__, chain.from_iterable(ids))) == body for part, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
             if len(units) == 1:
                 return [(-1, 0, 0, "", b"")]
             half = len(units) // 2
             return self.align(units[:half]) + self.align(units[half:])
-        body = np.frombuffer("".join(texts).encode(), np.uint8)
+        body = np.frombuffer(body, np.uint8)
         at = np.append(np.flatnonzero(body & 0xC0 != 0x80), len(body))  # byte offset of each character
-        first = np.cumsum([0, *map(len, texts)])
-        n_a, a, ends_a = _ends(ids_a, [e.offsets for e in got_a], self.size_a, at, first, 0)
-        n_b, b, ends_b = _ends(ids_b, [e["offsets"] for e in got_b], self.size_b, at, first, 1)
+        a, ends_a = _ends(ids_a, spans_a, self.size_a, at, first, 0)
+        b, ends_b = _ends(ids_b, spans_b, self.size_b, at, first, 1)
         # A stretch between neighbouring ends lies in one token of A and one of B: that is a link.
-        ends = np.union1d(ends_a, ends_b)
-        links = a[np.searchsorted(ends_a, ends)] << SHIFT | b[np.searchsorted(ends_b, ends)]
+        stops = np.union1d(ends_a, ends_b)
+        links = a[np.searchsorted(ends_a, stops)] << SHIFT | b[np.searchsorted(ends_b, stops)]
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        upto = at[first[1:]]  # a unit's last byte is a cut
+        upto = at[np.cumsum(list(map(len, texts)))]  # a unit's last byte is a cut
         groups = self._groups(a, np.searchsorted(cuts, ends_a), b, np.searchsorted(cuts, ends_b), np.searchsorted(cuts, upto))
-        n_links = np.diff(np.searchsorted(ends, upto, "right"), prepend=0)
-        n_groups = np.diff(np.searchsorted(cuts, upto, "right"), prepend=0)
-        stops = np.cumsum(n_links).tolist()
-        data = links.tobytes()
-        return [(x, y, z, g, data[8 * (stop - n):8 * stop]) for x, y, z, g, n, stop in
-                zip(n_a, n_b, n_groups.tolist(), groups, n_links.tolist(), stops)]
-
-    def _spelled(self, texts: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> bool:
-        """Whether each text is the bytes of its tokens, in A and in B."""
-        want = [t.encode() for t in texts]
-        return all([b"".join(map(part.__getitem__, ids)) for ids in each] == want
-                   for part, each in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
+        n_a, n_b, n_groups, last = (np.searchsorted(x, upto, "right") for x in (ends_a, ends_b, cuts, stops))
+        data, last = links.tobytes(), (8 * last).tolist()
+        n_a, n_b, n_groups = (np.diff(x, prepend=0).tolist() for x in (n_a, n_b, n_groups))
+        return [(x, y, z, g, data[lo:hi]) for x, y, z, g, lo, hi in zip(n_a, n_b, n_groups, groups, [0, *last], last)]
 
     def _groups(self, a, group_a, b, group_b, last) -> list[str]:
         """`a1,a2|b1;a3|b2` of each unit; `last` is each unit's last group."""
@@ -155,23 +163,26 @@ class Aligner:
 
 
 def _ends(ids: list[list[int]], spans: list, sizes: np.ndarray, at: np.ndarray, first: np.ndarray, shift: int):
-    """(tokens of each unit, ids, byte offsets at which the tokens end) over all units.
+    """(ids, byte offsets at which the tokens end) over all encoded texts, laid end to end from characters `first` on.
 
-    `spans` are characters of the units without their first `shift`. A span that is
-    not empty and does not reach into its unit's next one ends at a coarse cut; other
+    `spans` are characters of each text without its first `shift`. A span that is not
+    empty and does not reach into its text's next one ends at a coarse cut; other
     tokens end their decoded bytes behind the last cut, and those bytes have to add up.
+    Without spans (texts of ASCII only) every token is cut by its bytes.
     """
     count = [len(x) for x in ids]
     flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(count))
+    if spans is None:
+        return flat, np.cumsum(sizes[flat])
     lo, hi = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(flat)).reshape(-1, 2).T
     base = np.repeat(first[:-1] + shift, count)
     ends = np.cumsum(sizes[flat])
-    unit_end = np.zeros(len(flat), bool)
-    unit_end[np.cumsum(count) - 1] = True
-    coarse = (hi > lo) & (unit_end | np.append(lo[1:] >= hi[:-1], True))
+    text_end = np.zeros(len(flat), bool)
+    text_end[np.cumsum(count) - 1] = True
+    coarse = (hi > lo) & (text_end | np.append(lo[1:] >= hi[:-1], True))
     if (at[(base + hi)[coarse]] != ends[coarse]).any():
         raise ValueError("the tokens' spans and their bytes disagree")
-    return count, flat, ends
+    return flat, ends
 
 
 CHUNK = ("chunk bigint, ids array<bigint>, n_units array<int>, units binary, n_a array<int>, n_b array<int>, "
@@ -199,28 +210,33 @@ class _Chunks:
         self.ids, self.docs, self.local, self.rows, self.size = [], [], {}, [], 0
         self.bad = False  # whether any unit of this chunk is not spelled by its tokens
 
-    def add(self, doc_id, text: str | None) -> None:
-        self.ids.append(doc_id)
-        if not text:
-            self.docs.append(np.empty(0, np.int64))
-            return
-        parts = self.aligner.units(text)
-        got = list(map(self.local.get, parts))
-        if None in got:
-            new = list(dict.fromkeys(p for p, g in zip(parts, got) if g is None))
-            self._learn(new)
-            got = list(map(self.local.get, parts))
-        at = np.array(got, np.int64)
-        if self.bad and any(self.rows[i][0] < 0 for i in set(got)):
-            at = at[:0]  # tokens that do not spell the text
-        self.docs.append(at)
-        self.size += len(at)
+    def add(self, ids: list, texts: list[str | None]) -> None:
+        split = [self.aligner.split(t) if t else [] for t in texts]
+        new = {p for parts in split for p in parts if p not in self.local}
+        fixed = {p for p in new if not self.aligner.free(p)}
+        if fixed:
+            for i, parts in enumerate(split):
+                if not fixed.isdisjoint(parts):
+                    split[i] = self.aligner.units(texts[i])
+            new = {p for parts in split for p in parts if p not in self.local}
+        self._learn(sorted(new))
+        for doc_id, parts in zip(ids, split):
+            at = np.fromiter(map(self.local.__getitem__, parts), np.int64, len(parts))
+            if self.bad and any(self.rows[i][0] < 0 for i in set(at.tolist())):
+                at = at[:0]  # tokens that do not spell the text
+            self.ids.append(doc_id)
+            self.docs.append(at.astype(np.uint32))
+            self.size += len(at)
 
     def _learn(self, new: list[str]) -> None:
         ask = [u for u in new if u not in self.memo]
         known = {}
-        for lo in range(0, len(ask), 1024):
-            known.update(zip(ask[lo:lo + 1024], self.aligner.align(ask[lo:lo + 1024])))
+        # Units of one kind together: those that may stand anywhere are encoded as one text.
+        ascii = [u for u in ask if u.isascii() and not u.startswith(" ")]
+        other = [u for u in ask if not u.isascii() and not u.startswith(" ")]
+        for part in (ascii, other, [u for u in ask if u.startswith(" ")]):
+            for lo in range(0, len(part), 4096):
+                known.update(zip(part[lo:lo + 4096], self.aligner.align(part[lo:lo + 4096])))
         for u in new:
             row = known.get(u) or self.memo[u]
             self.bad |= row[0] < 0
@@ -230,11 +246,15 @@ class _Chunks:
             self.memo = {}
         self.memo.update((u, r) for u, r in known.items() if len(u) <= LONGEST)
 
+    def full(self, most: int) -> bool:
+        """Documents and different units count too, so that no chunk holds any number of them."""
+        return self.size + 8 * len(self.ids) + 4 * len(self.rows) >= most
+
     def flush(self) -> dict | None:
         if not self.ids:
             return None
         rows, none = self.rows, np.empty(0, np.int64)
-        units = np.concatenate([none, *self.docs])
+        units = np.concatenate([none, *self.docs]).astype(np.int64)
         links = np.frombuffer(b"".join([r[4] for r in rows]), np.int64)
         pairs, where = np.unique(links, return_inverse=True)
         each = np.array([len(r[4]) // 8 for r in rows], np.int64)
@@ -262,6 +282,7 @@ def _aligner(file_a: str, file_b: str) -> Aligner:
 
 def _chunks(docs: DataFrame, file_a: str, file_b: str, chunk_units: int) -> DataFrame:
     import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     arrow = to_arrow_schema(StructType.fromDDL(CHUNK))
@@ -274,10 +295,14 @@ def _chunks(docs: DataFrame, file_a: str, file_b: str, chunk_units: int) -> Data
             return [] if out is None else [pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)]
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                chunks.add(doc_id, text.as_py())
-                # Documents without units count too, so that no chunk holds any number of them.
-                if chunks.size + 8 * len(chunks.ids) + 4 * len(chunks.rows) >= chunk_units:
+            ids, texts = (b.column(i) for i in (0, 1))
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            lo = 0
+            while lo < b.num_rows:
+                hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), TOGETHER)))
+                chunks.add(ids[lo:hi].to_pylist(), texts[lo:hi].to_pylist())
+                lo = hi
+                if chunks.full(chunk_units):
                     yield from row()
         yield from row()
 
