@@ -35,7 +35,18 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete tables of `write_scratch` that no later step reads; others are left alone."""
+    for df in tables:
+        path = getattr(df, "_scratch", None) if "_scratch" not in df.columns else None
+        if path:
+            p = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]],
