@@ -86,7 +86,7 @@ def _mix(x, salt):
 
 def draw(tokens: np.ndarray, path: int, branch: float = BRANCH) -> np.ndarray:
     """Buckets (as signed longs) of the paths that a set follows from `path`."""
-    salt = _U(path % (1 << 64))
+    salt = np.array([path % (1 << 64)], _U)  # arrays wrap without a warning
     least = min(branch / max(len(tokens), 1), 1.0)
     drawn = tokens[_mix(tokens, salt) <= _U(min(int(least * 2.0 ** 64), 2 ** 64 - 1))]
     return _mix(drawn * _B, _mix(salt, _C)).view(np.int64)
@@ -123,6 +123,22 @@ def _once(buckets: DataFrame) -> DataFrame:
     return buckets.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m", "x", "y")
 
 
+def _homes(buckets: DataFrame, members: DataFrame) -> DataFrame:
+    """(key, kid, home, m, far, n_far) for the members of `buckets`; `home` is the largest bucket of the set.
+
+    Pairs with the same home are judged there. So of a bucket that is home to none
+    of its sets, those that share the most common home (`far`, `n_far` of them)
+    need no comparison with each other, and a bucket that lies in another one goes.
+    """
+    held = members.select("key", "kid").join(buckets.select("key", "m"), "key")
+    home = held.groupBy("kid").agg(F.max(F.struct("m", "key"))["key"].alias("home"))
+    held = write_scratch(held.join(home, "kid"), "join-homes")
+    each = held.where("home <> key").groupBy("key", "home").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(
+        F.max_by("home", F.struct("k", "home")).alias("far"), F.max("k").alias("n_far"))
+    held = held.join(each, "key", "left").withColumn("n_far", F.coalesce("n_far", F.lit(0)))
+    return held.where("n_far < m")
+
+
 def _next_step(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Members (key, parent, kid, n) of the buckets that `members` (key, kid) split into."""
     paths = members.groupBy("kid").agg(F.collect_list("key").alias("paths"))  # a set is in few buckets
@@ -156,18 +172,20 @@ def _split(hot: DataFrame, members: DataFrame, texts: DataFrame, words: int) ->
 
 def _compare(group: list[tuple], threshold: float, words: int):
     """Links of one block pair: yields (kid, links) and forest edges (kid, other)."""
-    key, kid, block = group[0][0], [g[4] for g in group], [g[3] for g in group]
-    sets = [shingles(g[5], words) for g in group]
+    key, kid, block, home = group[0][0], [g[4] for g in group], [g[3] for g in group], np.array([g[5] for g in group])
+    sets = [shingles(g[6], words) for g in group]
     n = np.array([len(s) for s in sets])
     cross = group[0][1] != group[0][2]
     ok = np.minimum.outer(n, n) >= threshold * np.maximum.outer(n, n) - 1e-9
     ok &= np.arange(len(n))[:, None] < np.arange(len(n))[None, :]
     if cross:
         ok &= np.not_equal.outer(block, block)
-    # A pair is judged in the first bucket that both sets are compared in.
-    before = [np.array([k for k in g[6] if k < key], np.int64) for g in group]
-    if ok.any() and sum(map(len, before)):
-        ok &= _shared(before) == 0
+    # A pair with one home is judged there, another one in the first bucket that both sets are compared in.
+    same = np.equal.outer(home, home)
+    ok &= ~same | (home == key)[:, None]
+    before = [np.array([k for k in g[7] if k < key], np.int64) for g in group]
+    if (ok & ~same).any() and sum(map(len, before)):
+        ok &= same | (_shared(before) == 0)
     if not ok.any():
         return
     at = np.flatnonzero(ok.any(0) | ok.any(1))
@@ -213,14 +231,22 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _judge(members: DataFrame, buckets: DataFrame, texts: DataFrame, threshold: float, words: int) -> DataFrame:
-    """Brute force of all `buckets`: (kid, other, links) rows of `_compare`."""
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-    rows = members.select("key", "kid").join(buckets.select("key", blocks.alias("nb")), "key")
+    """Brute force of all `buckets`: (kid, other, links) rows of `_compare`.
+
+    A large bucket is cut into blocks, those of its far sets first; each other block
+    meets all blocks, and far blocks do not meet each other.
+    """
+    rows = write_scratch(_homes(buckets, members), "join-judged")
     active = rows.groupBy("kid").agg(F.array_sort(F.collect_list("key")).alias("active"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("kid", "key"), F.col("nb")).cast("int")).withColumn(
-        "with", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select("key", F.least("block", "with").alias("bi"), F.greatest("block", "with").alias("bj"), "block", "kid")
-    rows = rows.join(texts.join(active, "kid"), "kid").select("key", "bi", "bj", "block", "kid", "text", "active")
+    whole, far = F.col("m") <= BLOCK, F.col("home").eqNullSafe(F.col("far"))
+    blocks = lambda k: F.when(whole, F.lit(0)).otherwise(F.ceil(k / F.lit(BLOCK))).cast("int")
+    rows = rows.withColumns({"nf": blocks(F.col("n_far")), "no": F.when(whole, F.lit(1)).otherwise(blocks(F.col("m") - F.col("n_far")))})
+    spread = F.xxhash64("kid", "key")
+    rows = rows.withColumn("block", F.when(far & ~whole, F.pmod(spread, F.col("nf"))).otherwise(F.col("nf") + F.pmod(spread, F.col("no"))).cast("int"))
+    met = F.sequence(F.when(F.col("block") < F.col("nf"), F.col("nf")).otherwise(F.lit(0)), F.col("nf") + F.col("no") - 1)
+    rows = rows.withColumn("with", F.explode(met))
+    rows = rows.select("key", F.least("block", "with").alias("bi"), F.greatest("block", "with").alias("bj"), "block", "kid", "home")
+    rows = rows.join(texts.join(active, "kid"), "kid").select("key", "bi", "bj", "block", "kid", "home", "text", "active")
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Groups are bounded, so hashing them apart spreads even the buckets that do not split.
     rows = rows.repartition(4 * n, "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "kid")
@@ -295,7 +321,7 @@ def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
         small = F.lit(True) if step == DEPTH else F.col("m") <= SMALL
         judged_buckets = judged_buckets.unionByName(sized.where(small))
         hot = sized.where(~small)
-    judged_buckets = write_scratch(_once(judged_buckets), "join-judged")
+    judged_buckets = write_scratch(_once(judged_buckets), "join-once")
     found = write_scratch(_judge(judged_members, judged_buckets, texts, threshold, words), "join-found")
     links = found.where("other is null").groupBy("kid").agg(F.sum("links").alias("n_links"))
     joined = components(found.where("other is not null").select(F.col("kid").alias("u"), F.col("other").alias("v")))
