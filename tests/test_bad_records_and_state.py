@@ -1,4 +1,4 @@
-"""Faults found by review: bad records, state identity, exact parsing, one-pass merges."""
+"""Bad records never pass, state knows its stream and layout, merges read each side once."""
 
 import pytest
 from pyspark.errors import PySparkException
@@ -7,7 +7,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from tidemark.functions.lines import parse_lines
 from tidemark.operators.changelog import apply_changes, upsert_by_key
 from tidemark.sinks.jdbc import JdbcKeyedSink, marker_ddl, marker_statements
-from tidemark.sinks.keyed_table import KeyedTable
+from tidemark.sinks.change_log import ChangeLog
 from tidemark.sources.streams import read_changelog
 from tidemark.spec import GENDER_ROW
 from tidemark.streaming.jobs import ingest, run_until_done
@@ -82,10 +82,37 @@ def test_a_reset_checkpoint_is_refused(spark, scratch):
 
 def test_a_changed_layout_is_refused(spark, scratch):
     root, schema = scratch("layout"), StructType([StructField("id", LongType()), StructField("v", IntegerType())])
-    KeyedTable(spark, root, schema, "id", 4).initialize(spark.createDataFrame([(i, i) for i in range(20)], schema))
-    assert KeyedTable(spark, root, schema, "id", 4).read(-1).count() == 20
+    ChangeLog(spark, root, schema, "id", ("v",)).append(spark.createDataFrame([(i, i) for i in range(20)], schema), 0)
+    assert ChangeLog(spark, root, schema, "id", ("v",)).read().count() == 20
     with pytest.raises(ValueError, match="layout"):
-        KeyedTable(spark, root, schema, "id", 8).read(-1)
+        ChangeLog(spark, root, schema, "id", ("id",)).read()
+
+
+def test_a_claim_asks_as_much_after_many_batches(spark, scratch, monkeypatch):
+    """What a batch asks of the file system before it writes does not grow with the batches so far."""
+    schema = StructType([StructField("id", LongType()), StructField("v", IntegerType())])
+    log = ChangeLog(spark, scratch("claims"), schema, "id", ("v",))
+    calls = []
+    asked = ChangeLog._fs
+    monkeypatch.setattr(ChangeLog, "_fs", lambda self, path: calls.append(path) or asked(self, path))
+    log.append(spark.createDataFrame([(1, 1)], schema), 0)
+    seen = {}
+    for k in range(1, 201):
+        log._write_text(f"{log.path}/changes/batch={k}/_SUCCESS", "")
+        log._write_text(f"{log.path}/head.json", f'{{"batch": {k}}}')
+        if k in (1, 200):
+            calls.clear()
+            log.claim(k + 1, "query")
+            seen[k] = len(calls)
+    assert seen[200] <= seen[1] <= 4
+
+
+def test_replica_compacts_by_itself(spark, scratch):
+    rep = KeyedReplica(spark, scratch("auto"), NAME, "id", order=("pos",), order_types={"pos": LongType()}, buckets=2, compact_every=2)
+    for i in range(5):
+        rep.process(spark.createDataFrame([(i % 3, f"v{i}", "u", i)], "id long, name string, op string, pos long"), i)
+    assert rep.table._done("base", "upto") == [1, 3]
+    assert {tuple(r) for r in rep.current().collect()} == {(0, "v3"), (1, "v4"), (2, "v2")}
 
 
 def test_merges_read_each_side_once(spark, tmp_path):

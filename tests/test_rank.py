@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.rank import row_number_by_group, top_n_per_group
+from tidemark.operators.rank import row_number_by_group, selected, top_n_per_group
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +41,30 @@ def test_top_n_keeps_ties_deterministic(spark, skewed):
         scores = [s for _, _, s in rows]
         assert all((a is not None and (b is None or a >= b)) or (a is None and b is None)
                    for a, b in zip(scores, scores[1:]))
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("n", [1, 50, 400, 2500])
+def test_selection_equals_window(spark, skewed, n, descending):
+    want = top_n_per_group(skewed, "g", "score", n, descending=descending, method="window").collect()
+    got = top_n_per_group(skewed, "g", "score", n, descending=descending, method="select").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
+def test_selection_of_odd_values(spark):
+    values = [float("nan"), float("inf"), float("-inf"), None, 0.0, -0.0, 1e308, -1e308, 5e-324, 1.5]
+    rows = [(i, i % 2, values[i % len(values)]) for i in range(200)]
+    for kind in ("double", "float", "decimal(10,2)", "date", "timestamp", "string"):
+        df = spark.createDataFrame(rows, "id long, g int, x double")
+        df = df.withColumn("score", {"date": F.date_add(F.lit("2020-01-01"), (F.col("id") % 9).cast("int")),
+                                     "timestamp": F.timestamp_seconds(F.col("id") % 7),
+                                     "decimal(10,2)": (F.col("id") % 8).cast(kind)}.get(kind, F.col("x").cast(kind)))
+        for descending in (True, False):
+            want, got = (top_n_per_group(df, "g", "score", 33, descending=descending, method=m).collect() for m in ("window", "select"))
+            assert sorted(map(str, got)) == sorted(map(str, want)), (kind, descending)
+
+
+def test_selection_keeps_few_rows_beyond_n(spark):
+    df = spark.range(40_000).selectExpr("id", "if(id % 3 = 0, 'hot', 'g' || id % 5) g", "pmod(xxhash64(id), 1000003) / 7.0D score")
+    assert selected(df, "g", "score", 1500).count() <= 6 * 1500 + 40
+    assert top_n_per_group(df, "g", "score", 1500).count() == 6 * 1500  # beyond Catalyst's limit by default

@@ -1,69 +1,139 @@
-"""Incremental join + top-N equals batch recompute after every batch, with replays and crashes."""
+"""Streamed join and top-N equal a recompute after every batch, with restarts, replays and crashes."""
+
+import random
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from model import joined, random_changes, top_n
-from tidemark.operators.join import join_by_key
 from tidemark.operators.changelog import current_state
+from tidemark.operators.join import join_by_key
 from tidemark.operators.rank import top_n_per_group
-from tidemark.streaming.topn import JoinTopN, Side
+from tidemark.streaming.jobs import batch_seconds, run_until_done
+from tidemark.streaming.join import KeyedJoin, Side
+from tidemark.streaming.topn import Ranges, TopN, rank_key
 
 SCHEMA = StructType([StructField("side", StringType()), StructField("id", LongType()),
                      StructField("op", StringType()), StructField("gender", StringType()),
                      StructField("name", StringType()), StructField("score", DoubleType()),
                      StructField("ts", LongType()), StructField("pos", LongType())])
 SIDES = [Side("t1", ("gender",)), Side("t2", ("name",)), Side("t3", ("score",))]
-
-
-def _maintainer(spark, root, m):
-    return JoinTopN(spark, root, SIDES, SCHEMA, group="gender", order="score", n=2, buffer_size=m,
-                    buckets=4, group_buckets=2)
+ROW, TOP = ["id", "name", "gender", "score"], ["id", "name", "gender", "score", "rn"]
 
 
 def _rows(df, cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("seed,m", [(11, 2), (13, 8)])
-def test_incremental_equals_recompute(spark, scratch, seed, m):
-    changes = random_changes(seed, n=240, ids=30)
-    df = spark.createDataFrame(changes, SCHEMA)
-    mt = _maintainer(spark, scratch("topn"), m)
-    cuts = [0, 60, 61, 160, 240]
-    for k in range(len(cuts) - 1):
-        batch = df.where((F.col("pos") >= cuts[k]) & (F.col("pos") < cuts[k + 1]))
-        mt.process(batch, k)
-        seen = changes[:cuts[k + 1]]
-        assert _rows(mt.current(), ["id", "name", "gender", "score"]) == sorted(joined(seen))
-        assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(seen)), f"batch {k}"
-    # replay of the last batch: nothing changes
-    mt.process(df.where(F.col("pos") >= cuts[-2]), len(cuts) - 2)
-    assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes))
-
-
-@pytest.mark.parametrize("step", ["joined", "buffer"])
-def test_crash_between_steps_then_replay(spark, scratch, step):
+class Jobs:
+    """Both jobs over a feed folder that grows; each `run` starts them again from their checkpoints."""
+
+    def __init__(self, spark, root, shards=3, sink=None, size=4):
+        self.spark, self.root, self.n = spark, root, 0
+        self.join = KeyedJoin(spark, f"{root}/state", SIDES, SCHEMA)
+        self.top = TopN(spark, f"{root}/state", self.join.row_schema, n=2, shards=shards, external_sink=sink, size=size)
+
+    def feed(self, changes):
+        (self.spark.createDataFrame(changes, SCHEMA).coalesce(1).write.parquet(f"{self.root}/feed/part={self.n}"))
+        self.n += 1
+
+    def run_join(self):
+        stream = self.spark.readStream.schema(StructType([*SCHEMA.fields, StructField("part", LongType())]))
+        q = self.join.start([stream.parquet(f"{self.root}/feed").drop("part")], f"{self.root}/ck-join", partitions=2, available_now=True)
+        run_until_done(q)
+        return q
+
+    def run_top(self):
+        q = self.top.start(self.join.updates(), f"{self.root}/ck-top", partitions=2, available_now=True)
+        run_until_done(q)
+        return q
+
+    def check(self, seen):
+        assert _rows(self.join.current(), ROW) == sorted(joined(seen))
+        assert _rows(self.top.top(), TOP) == top_n(joined(seen))
+
+
+def test_incremental_equals_recompute(spark, scratch):
+    changes = random_changes(11, n=240, ids=30)
+    jobs, cuts = Jobs(spark, scratch("topn")), [0, 60, 61, 160, 240]
+    for lo, hi in zip(cuts, cuts[1:]):
+        jobs.feed(changes[lo:hi])
+        jobs.run_join()
+        assert batch_seconds(jobs.run_top())
+        jobs.check(changes[:hi])
+    shards = {r[0].split(":")[0] for r in jobs.top.table.read().where("size(best) > 0 and slot like '%:va'").select("slot").collect()}
+    assert len(shards) == 3  # one group, all shards
+
+
+def test_late_and_repeated_changes(spark, scratch):
+    """Batches in another order than the changes, and one of them twice, end in the same state."""
+    changes = random_changes(13, n=180, ids=20)
+    jobs = Jobs(spark, scratch("late"))
+    for lo, hi in [(120, 180), (0, 60), (60, 120), (0, 60)]:
+        jobs.feed(changes[lo:hi])
+    jobs.run_join()
+    jobs.run_top()
+    jobs.check(changes)
+
+
+@pytest.mark.parametrize("step", ["join", "top"])
+def test_crash_after_a_write_then_replay(spark, scratch, step):
     changes = random_changes(21, n=150, ids=20)
-    df = spark.createDataFrame(changes, SCHEMA)
-    mt = _maintainer(spark, scratch("topn_crash"), 3)
-    fired = []
+    jobs = Jobs(spark, scratch(f"crash_{step}"))
+    crashed = []
 
     def fault(at, k):
-        if at == step and k == 1 and not fired:
-            fired.append(k)
+        if k == 1 and not crashed:
+            crashed.append(k)
             raise RuntimeError("crash")
 
-    mt.fault = fault
-    batches = [df.where("pos < 50"), df.where("pos >= 50 and pos < 100"), df.where("pos >= 100")]
-    mt.process(batches[0], 0)
-    with pytest.raises(RuntimeError):
-        mt.process(batches[1], 1)
-    mt.process(batches[1], 1)       # the engine replays the uncommitted batch
-    mt.process(batches[2], 2)
-    assert fired
-    assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes))
+    (jobs.join if step == "join" else jobs.top).fault = fault
+    for lo, hi in [(0, 50), (50, 100), (100, 150)]:
+        jobs.feed(changes[lo:hi])
+        for run in (jobs.run_join, jobs.run_top):
+            try:
+                run()
+            except StreamingQueryException:
+                run()  # Spark replays the batch from its checkpoint
+    assert crashed
+    jobs.check(changes)
+
+
+def test_external_sink_receives_exact_changes(spark, scratch):
+    """Applying the per-batch diffs (upsert / delete by id) to an empty table gives the top-N table."""
+    changes = random_changes(41, n=200, ids=25)
+    applied = {}
+
+    def sink(diff, batch_id):
+        for r in diff.collect():          # test-only: the diff of a tiny fixture
+            if r.op == "d":
+                applied.pop(r.id, None)
+            else:
+                applied[r.id] = tuple(r[c] for c in TOP)
+
+    jobs = Jobs(spark, scratch("sink"), sink=sink)
+    for lo, hi in [(0, 70), (70, 140), (140, 200)]:
+        jobs.feed(changes[lo:hi])
+        jobs.run_join()
+        jobs.run_top()
+        assert sorted(applied.values()) == top_n(joined(changes[:hi]))
+
+
+def test_a_join_batch_writes_what_it_touches(spark, scratch):
+    root = scratch("bytes")
+    jobs = Jobs(spark, root)
+    jobs.feed([(s, i, "r", "a", "n", 1.0, 0, i) for i in range(20_000) for s in ("t1", "t2", "t3")])
+    jobs.feed([("t3", 7, "u", None, None, 2.0, 1, 1)])
+    jobs.run_join()
+    jobs.feed([("t3", 8, "u", None, None, 3.0, 1, 2)])
+    jobs.run_join()
+    size = [sum(p.stat().st_size for p in Path(f"{root}/state/joined/changes/batch={k}".removeprefix("file:")).glob("*.parquet")) for k in (0, 1)]
+    assert size[1] < size[0] / 50
+    got = {r["id"]: r["score"] for r in jobs.join.current().where("id in (7, 8, 9)").collect()}
+    assert got == {7: 2.0, 8: 3.0, 9: 1.0}
 
 
 def test_batch_operators_agree_with_model(spark):
@@ -73,55 +143,59 @@ def test_batch_operators_agree_with_model(spark):
     for side, col in [("t1", "gender"), ("t2", "name"), ("t3", "score")]:
         states.append(current_state(df.where(F.col("side") == side), "id", ("ts", "pos"), value_cols=[col]))
     j = join_by_key(*states).select("id", "name", "gender", "score")
-    assert _rows(j, ["id", "name", "gender", "score"]) == sorted(joined(changes))
+    assert _rows(j, ROW) == sorted(joined(changes))
     t = top_n_per_group(j, "gender", "score", 2)
-    assert _rows(t, ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes))
+    assert _rows(t, TOP) == top_n(joined(changes))
 
 
-def test_external_sink_receives_exact_changes(spark, scratch):
-    """Applying the per-batch diffs (upsert / delete by id) to an empty table gives the top-N table."""
-    changes = random_changes(41, n=200, ids=25)
-    df = spark.createDataFrame(changes, SCHEMA)
-    applied, seen_batches = {}, []
+class FakeMap:
+    """A map state that counts what is read."""
 
-    def sink(diff, batch_id):
-        seen_batches.append(batch_id)
-        for r in diff.collect():          # test-only: the diff of a tiny fixture
-            if r.op == "d":
-                applied.pop(r.id, None)
-            else:
-                applied[r.id] = (r.id, r.name, r.gender, r.score, r.rn)
+    def __init__(self):
+        self.held, self.reads = {}, 0
 
-    mt = JoinTopN(spark, scratch("topn_sink"), SIDES, SCHEMA, n=2, buffer_size=3, buckets=4,
-                  group_buckets=2, external_sink=sink)
-    for k, (lo, hi) in enumerate([(0, 70), (70, 140), (140, 200)]):
-        mt.process(df.where((F.col("pos") >= lo) & (F.col("pos") < hi)), k)
-    mt.process(df.where(F.col("pos") >= 140), 2)     # replay: the diff of a replay is empty or identical
-    assert sorted(applied.values()) == top_n(joined(changes))
-    assert seen_batches[:3] == [0, 1, 2]
+    def containsKey(self, key):
+        return key in self.held
 
+    def getValue(self, key):
+        self.reads += 1
+        return self.held.get(key)
 
-def test_bootstrap_then_incremental(spark, scratch):
-    """A snapshot loaded in one batch pass, then changes in micro-batches, equals the model."""
-    changes = random_changes(51, n=260, ids=30)
-    df = spark.createDataFrame(changes, SCHEMA)
-    mt = _maintainer(spark, scratch("topn_boot"), 3)
-    mt.bootstrap(df.where("pos < 120"))
-    assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes[:120]))
-    mt.process(df.where("pos >= 120 and pos < 200"), 0)
-    mt.process(df.where("pos >= 200"), 1)
-    assert _rows(mt.current(), ["id", "name", "gender", "score"]) == sorted(joined(changes))
-    assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes))
+    def updateValue(self, key, value):
+        self.held[key] = value
 
+    def removeKey(self, key):
+        del self.held[key]
 
-def test_vacuum_inside_the_batch_loop_keeps_results(spark, scratch):
-    changes = random_changes(61, n=200, ids=20)
-    df = spark.createDataFrame(changes, SCHEMA)
-    mt = JoinTopN(spark, scratch("topn_vac"), SIDES, SCHEMA, n=2, buffer_size=3, buckets=4, group_buckets=2,
-                  vacuum_every=2, retain=2)
-    cuts = [0, 40, 80, 120, 160, 200]
-    for k in range(5):
-        mt.process(df.where((F.col("pos") >= cuts[k]) & (F.col("pos") < cuts[k + 1])), k)
-    assert len(mt.joined.versions()) <= 3 and len(mt.buffer.versions()) <= 3
-    mt.process(df.where(F.col("pos") >= 160), 4)     # a replay after vacuum still finds "as of k-1"
-    assert _rows(mt.top(), ["id", "name", "gender", "score", "rn"]) == top_n(joined(changes))
+
+def test_ranges_follow_a_sorted_list():
+    rng, ranges, slices, model = random.Random(4), FakeMap(), FakeMap(), []
+    for _ in range(60):
+        held = Ranges(ranges, slices, 3)
+        for _ in range(rng.randrange(12)):
+            if model and rng.random() < 0.45:
+                held.remove("g", model.pop(rng.randrange(len(model))))
+            else:
+                entry = (rng.choice([None, float("inf"), -1.5, 2.0, rng.random(), rng.randrange(5)]), rng.randrange(1000))
+                if entry not in model:
+                    model.append(entry)
+                    held.add("g", entry)
+        held.flush()
+        held = Ranges(ranges, slices, 3)
+        assert held.best("g", 5) == sorted(model, key=rank_key)[:5]
+        assert held.best("none", 5) == []
+    assert rank_key((float("nan"), 1)) < rank_key((float("inf"), 0)) < rank_key((0, 0)) < rank_key((0, 1)) < rank_key((None, 0))
+
+
+def test_promotion_reads_the_next_slice_only():
+    ranges, slices = FakeMap(), FakeMap()
+    held = Ranges(ranges, slices, 32)
+    for i in range(20_000):
+        held.add("g", (i, i))
+    held.flush()
+    slices.reads = 0
+    held = Ranges(ranges, slices, 32)
+    for i in range(19_999, 19_899, -1):
+        held.remove("g", (i, i))
+    assert held.best("g", 3) == [(19_899, 19_899), (19_898, 19_898), (19_897, 19_897)]
+    assert slices.reads <= 8 < len(slices.held) / 20

@@ -12,8 +12,12 @@ Where to start, by task:
                            tidemark.operators.rank (row_number_by_group, top_n_per_group),
                            tidemark.operators.topn.top_n_delta
 * keep tables current      tidemark.streaming.keyed.KeyedReplica (replication / upsert sink),
-                           tidemark.streaming.topn.JoinTopN (join + top-N per group),
-                           tidemark.streaming.jobs (ingest, replicate, maintain_topn)
+                           tidemark.streaming.join.KeyedJoin (join), tidemark.streaming.topn.TopN
+                           (top-N per group), tidemark.streaming.kinds.row_kinds (changelog),
+                           tidemark.streaming.stop.StopAtBad (stop and resume),
+                           tidemark.streaming.jobs (ingest, replicate)
+* start and hand over      tidemark.sources.positions (committed offsets, start positions),
+                           tidemark.sources.handover (snapshot in chunks, then live changes)
 * keyed sinks              tidemark.sinks.change_log.ChangeLog, tidemark.sinks.jdbc.JdbcKeyedSink
 """
 

@@ -9,13 +9,16 @@ row back. A batch costs what it holds, whatever the size of the table. Taking
 the last change is idempotent and free of order: a replayed batch overwrites its
 own folder with the same rows, and rows that stand in both a base and a batch do
 no harm. A folder counts once Spark has marked it `_SUCCESS`, so a batch that
-broke off is not seen before its replay.
+broke off is not seen before its replay. `head.json` names the newest finished
+batch, so what a batch asks before it writes does not grow with their number.
 
-`compact` runs outside the stream (a scheduled job): one aggregation by key.
+`compact` is one aggregation by key; run it beside the stream or every so many
+batches, as readers look at every batch since the last base.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.changelog import last_per_key
-from .keyed_table import StateFolder
+from .state_folder import StateFolder
 
 _BATCH, _UPTO = "batch", "upto"
 
@@ -51,28 +54,45 @@ class ChangeLog(StateFolder):
                       if f.getName().startswith(f"{name}=") and fs.exists(jvm_path(f, "_SUCCESS")))
 
     def latest_version(self) -> int | None:
-        """The newest finished batch, or None."""
-        return max([*self._done("changes", _BATCH), *self._done("base", _UPTO)], default=None)
+        """The newest finished batch, or None. One small file, however many batches there are."""
+        text = self._read_text(f"{self.path}/head.json")
+        return json.loads(text)["batch"] if text else None
 
-    def append(self, changes: DataFrame, batch_id: int) -> None:
-        """Write one batch: its last change of each key. A replay writes the same folder again."""
+    def append(self, changes: DataFrame, batch_id: int, unique: bool = False) -> None:
+        """Write one batch: its last change of each key. A replay writes the same folder again.
+
+        `unique` says that the batch has one row a key, as the updates of a keyed aggregation do.
+        """
         self._check_layout()
-        last = last_per_key(changes, self.key, self.order, self.schema.fieldNames())
+        last = changes if unique else last_per_key(changes, self.key, self.order, self.schema.fieldNames())
         last.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/changes/{_BATCH}={batch_id}")
-
-    def read(self) -> DataFrame:
-        """The last change of each key, tombstones included."""
+        self._write_text(f"{self.path}/head.json", json.dumps({"batch": batch_id}))
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The rows that one batch wrote."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/changes/{_BATCH}={batch_id}")
+
+    def stream(self, files_per_batch: int | None = None) -> DataFrame:
+        """The batches as a stream, for jobs that follow this table; a replayed batch may come again."""
+        r = self.spark.readStream.schema(StructType([*self.schema.fields, StructField(_BATCH, LongType())]))
+        r = r.option("ignoreMissingFiles", "true")  # of a batch that broke off and was written again
+        if files_per_batch:
+            r = r.option("maxFilesPerTrigger", files_per_batch)
+        return r.parquet(f"{self.path}/changes")
+
+    def read(self, upto: int | None = None) -> DataFrame:
+        """The last change of each key, tombstones included; as of batch `upto` if it is given."""
         self._check_layout()
-        bases, batches = self._done("base", _UPTO), self._done("changes", _BATCH)
-        names, upto = self.schema.fieldNames(), bases[-1] if bases else None
+        bases, batches = ([x for x in self._done(*of) if upto is None or x <= upto] for of in (("base", _UPTO), ("changes", _BATCH)))
+        names, base = self.schema.fieldNames(), bases[-1] if bases else None
         rows = self.spark.createDataFrame([], self.schema)
         if bases:
-            rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/{_UPTO}={upto}")
-        if batches and (upto is None or batches[-1] > upto):
+            rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/{_UPTO}={base}")
+        if batches and (base is None or batches[-1] > base):
             # One read of the folder, cut to a range of batches by partition pruning.
             full = StructType([*self.schema.fields, StructField(_BATCH, LongType())])
             later = self.spark.read.schema(full).parquet(f"{self.path}/changes").where(F.col(_BATCH) <= batches[-1])
-            later = later if upto is None else later.where(F.col(_BATCH) > upto)
+            later = later if base is None else later.where(F.col(_BATCH) > base)
             rows = rows.unionByName(later.select(*names)) if bases else later.select(*names)
         return last_per_key(rows, self.key, self.order, names).select(*names)
 

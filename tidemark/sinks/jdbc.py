@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from ..operators.changelog import OP_DELETE, last_per_key
-from .keyed_table import stream_job
+from .state_folder import stream_job
 
 DIALECTS = ("ansi", "derby", "mysql")
 

@@ -31,9 +31,9 @@ def _trigger(writer, available_now: bool, interval: str):
 
 def start_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                         name: str | None = None, available_now: bool = False,
-                        interval: str = CHECKPOINT_INTERVAL) -> StreamingQuery:
-    """Run `fn(batch, batch_id)` per micro-batch (keyed sinks, multi-table state)."""
-    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+                        interval: str = CHECKPOINT_INTERVAL, mode: str = "append") -> StreamingQuery:
+    """Run `fn(batch, batch_id)` per micro-batch (keyed sinks; the updates of a query with state)."""
+    w = stream.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     return _trigger(w, available_now, interval).start()
@@ -166,10 +166,11 @@ def replicate(changes: DataFrame, replica, checkpoint: str, available_now: bool
     return start_foreach_batch(changes, replica.process, checkpoint, available_now=available_now)
 
 
-def maintain_topn(feeds: list[DataFrame], maintainer, checkpoint: str,
-                  available_now: bool = False) -> StreamingQuery:
-    """Join + top-N job: tagged changelog streams of all sides, unioned so one batch covers them all."""
-    stream = feeds[0]
-    for f in feeds[1:]:
-        stream = stream.unionByName(f)
-    return start_foreach_batch(stream, maintainer.process, checkpoint, available_now=available_now)
+def batch_seconds(query: StreamingQuery) -> list[float]:
+    """Seconds of each of the query's last batches that had input, as the query itself reports them."""
+    return [p["durationMs"]["triggerExecution"] / 1000 for p in map(_progress, query.recentProgress) if p["numInputRows"]]
+
+
+def _progress(p) -> dict:
+    import json
+    return json.loads(p.json) if hasattr(p, "json") and isinstance(p.json, str) else dict(p)

@@ -20,17 +20,20 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.changelog import OP_DELETE
 from ..sinks.change_log import ChangeLog
-from ..sinks.keyed_table import stream_job
+from ..sinks.state_folder import stream_job
 
 Fault = Callable[[str, int], None]
 
 
 class KeyedReplica:
-    """`buckets` is the number of parts, by key, that `compact` writes the table in."""
+    """`buckets` is the number of parts, by key, that `compact` writes the table in; it
+    runs after every `compact_every` batches, or where that is None when it is called.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str = "id",
                  order: Sequence[str] = ("ts", "pos"), op_col: str = "op", buckets: int = 64,
-                 order_types: dict | None = None):
+                 order_types: dict | None = None, compact_every: int | None = None):
+        self.compact_every = compact_every
         self.spark, self.key, self.order, self.op_col = spark, key, list(order), op_col
         self.columns = [f.name for f in schema.fields]
         types = {f.name: f.dataType for f in schema.fields}
@@ -53,9 +56,11 @@ class KeyedReplica:
         self.table.append(batch.select(*self.table.schema.fieldNames()), batch_id)
         if self.fault:
             self.fault("table", batch_id)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact()
 
     def compact(self) -> None:
-        """Fold the batches so far into one base; run it beside the stream, not in it."""
+        """Fold the batches so far into one base."""
         self.table.compact()
 
     @classmethod

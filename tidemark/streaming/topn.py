@@ -1,303 +1,240 @@
-"""Keyed join + top-N per group, kept up to date batch by batch.
-
-This is `insert into t4 select * from (select t1.id, name, gender, score,
-row_number() over (partition by gender order by score desc) rn from t1 join
-t2 on ... join t3 on ...) where rn <= 2` over three changelog tables, run as
-a Structured Streaming `foreachBatch`. Spark's own operators do not fit:
-stream-stream joins are append-only and ranking windows are refused on
-streams.
-
-State (all `KeyedTable`s under one folder, versioned by batch id):
-  joined  - one row per id: the latest change of each side, as a struct
-            (op, values..., ts, pos). Merging is last-writer-wins on (ts, pos)
-            and keeps deletes as tombstones, so it is idempotent and
-            order-free: replays and reordered batches end in the same state.
-  buffer  - per group, the exact best M rows (M >= N) of the group plus a
-            boundary key: every row of the group outside the buffer ranks
-            after the boundary. No boundary means the buffer is the whole group.
-  The top-N table itself is the buffer rows with a rank (`rn` <= N): one row
-  per id, stored with its group's buffer, so one write per batch serves both.
-
-Per batch k (reads "as of k-1", writes version k, so a replay is a no-op):
- 1. merge the batch into `joined` (only touched buckets are rewritten);
- 2. old/new views of the touched ids; affected groups = their old and new groups;
- 3. for each affected group: drop touched ids from the buffer, add touched
-    rows now in the group that rank at or before the boundary, keep the best
-    M (the M-th becomes the boundary when rows are cut);
- 4. a group whose buffer ends up with fewer than N rows while rows outside it
-    exist is rescanned: top M+1 of that group from `joined` (a distributed
-    top-k with WindowGroupLimit, not a group collected into one task);
- 5. the buffer write carries the new ranks of the touched groups; for an external
-    keyed sink (JDBC), hand it the diff of old and new top N by id over all
-    affected groups (a row that changes group is one upsert) with the batch id.
-Cost per batch: touched buckets + buffers of affected groups; the full
-joined table is read only for rescans.
+"""Top-N per group, kept current in sharded state.
+
+Input is a feed of keyed rows: each row is the newest image of its key (`live`
+false where the key is gone) with a version. Rows are dealt to shards by a hash
+of the key, so a key's old and new group are in the same shard, a key that moves
+needs no retraction, and a group of any size spreads over all shards.
+
+A shard keeps (`RankedShard`, one `transformWithState` operator):
+  rows    the newest image of each key
+  ranges  of each group: its keys' score ranges, best first, with their counts
+  slices  of each range: its (score, key) entries in order
+A change opens the slice that its score falls into, and no other. A group's best
+N come from its first ranges, whose counts say how many are needed: where the
+best rows go, the next ones are read from the following slice, never from the
+rest of the group. A slice that grows is cut in two; an empty one goes.
+
+A batch emits, for each group that a shard changed, the shard's best N. They are
+appended to a `ChangeLog` by (shard, group), and the top N of a group is the
+top N of its shards' best: at most N rows a shard, whatever the group's size.
+
+Order is the order column descending with nulls last, then the key ascending.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+import json
+import math
+from bisect import bisect_right, insort
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType)
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, NumericType, StringType, StructField, StructType)
 
-from ..operators.changelog import OP_DELETE, changelog_diff
-from ..sinks.keyed_table import KeyedTable, stream_job
+from ..operators.changelog import changelog_diff
+from ..operators.rank import top_n_per_group
+from ..sinks.change_log import ChangeLog
+from ..sinks.state_folder import stream_job
+from .jobs import CHECKPOINT_INTERVAL, start_foreach_batch
+from .state import keyed_state
 
 ChangeSink = Callable[[DataFrame, int], None]
-
-
-@dataclass(frozen=True)
-class Side:
-    """One input table of the join: its name and value columns (key is shared)."""
-    name: str
-    columns: tuple[str, ...]
-
-
-def ranks_at_or_before(a_score: Column, a_id: Column, b_score: Column, b_id: Column) -> Column:
-    """(a_score, a_id) comes no later than (b_score, b_id) in `score DESC NULLS LAST, id ASC`."""
-    return ((a_score.isNotNull() & b_score.isNull())
-            | (a_score.isNotNull() & b_score.isNotNull() & (a_score > b_score))
-            | (a_score.eqNullSafe(b_score) & (a_id <= b_id)))
-
-
-class JoinTopN:
-    """State and per-batch logic; use `process` as the foreachBatch function."""
-
-    def __init__(self, spark: SparkSession, root: str, sides: Sequence[Side], schema: StructType,
-                 group: str = "gender", order: str = "score", n: int = 2, buffer_size: int | None = None,
-                 key: str = "id", change_order: Sequence[str] = ("ts", "pos"), buckets: int = 64,
-                 group_buckets: int = 16, external_sink: ChangeSink | None = None,
-                 vacuum_every: int = 10, retain: int = 2):
-        self.spark, self.root, self.sides = spark, root.rstrip("/"), list(sides)
-        self.group, self.order, self.n, self.key = group, order, n, key
-        # A bigger buffer makes rescans (full scans of `joined`) rarer: a group is
-        # rescanned only after M-N+1 of its best rows left without replacement.
-        self.m = buffer_size or max(16, 8 * n)
-        if self.m < n:
-            raise ValueError("buffer_size must be >= n")
-        self.change_order = list(change_order)
-        self.external_sink = external_sink
-        self.fault: Callable[[str, int], None] | None = None  # test hook: crash between steps
-        self.vacuum_every, self.retain = vacuum_every, retain
-        self.types = {f.name: f.dataType for f in schema.fields}
-        self.value_cols = [c for s in self.sides for c in s.columns]
-        self.out_cols = [key, *[c for c in self.value_cols]]
-        order_fields = [StructField(c, self.types[c]) for c in self.change_order]
-        side_struct = {s.name: StructType([StructField("op", StringType()),
-                                           *[StructField(c, self.types[c]) for c in s.columns],
-                                           *order_fields]) for s in self.sides}
-        self.joined = KeyedTable(spark, f"{self.root}/joined", StructType(
-            [StructField(key, self.types[key]), *[StructField(s, t) for s, t in side_struct.items()]]),
-            key, buckets)
-        row_fields = [StructField(c, self.types[c]) for c in self.out_cols]
-        self.row_schema = StructType(row_fields)
-        gtype, otype, ktype = self.types[group], self.types[order], self.types[key]
-        # Buffer rows; `rn` is set on the group's best N rows, which form the top-N table.
-        self.buffer = KeyedTable(spark, f"{self.root}/buffer", StructType(
-            [StructField("_g", gtype), *row_fields, StructField("rn", LongType()),
-             StructField("_bon", BooleanType()), StructField("_bscore", otype),
-             StructField("_bid", ktype)]), "_g", group_buckets)
-
-    # ------------------------------------------------------------ views
-    def live_view(self, joined: DataFrame) -> DataFrame:
-        """Joined rows present on every side and not deleted: (key, values...)."""
-        alive = F.lit(True)
-        for s in self.sides:
-            alive = alive & F.col(s.name).isNotNull() & (F.col(f"{s.name}.op") != OP_DELETE)
-        cols = [F.col(f"{s.name}.{c}").alias(c) for s in self.sides for c in s.columns]
-        return joined.where(alive).select(self.key, *cols)
-
-    def current(self) -> DataFrame:
-        """The joined table (key, values...) as of the last committed batch."""
-        return self.live_view(self.joined.read(self.joined.latest_version()))
-
-    def top(self) -> DataFrame:
-        """The top-N table (key, values..., rn) as of the last committed batch."""
-        buf = self.buffer.read(self.buffer.latest_version())
-        return buf.where(F.col("rn").isNotNull()).select(*self.out_cols, "rn")
-
-    # ------------------------------------------------------------ bootstrap
-    def bootstrap(self, changes: DataFrame, version: int = -1) -> None:
-        """Build all state from a snapshot in one batch pass, as `version` (before batch 0).
-
-        `changes` has the tagged-change schema (side, key, op, values, order
-        columns), typically snapshot rows with op 'r'. Costs one aggregation by
-        key, one distributed top-(M+1) per group and two full writes, instead
-        of pushing the snapshot through micro-batches.
-        """
-        wide = self.to_wide(changes)
-        empty = self.spark.createDataFrame([], self.joined.schema)
-        self.joined.write(self.merge(empty, wide), version, range(self.joined.buckets), None)
-        live = self.live_view(self.joined.read(version))
-        g = self.group
-        w = Window.partitionBy(g).orderBy(*self._order())
-        top = self._limit_m(live.withColumn("_r", F.row_number().over(w)), g)
-        trimmed = F.col("_cnt") > self.m
-        buf = top.select(F.col(g).alias("_g"), *self.out_cols, self._rn(), trimmed.alias("_bon"),
-                         F.when(trimmed, F.col("_mth.s")).alias("_bscore"),
-                         F.when(trimmed, F.col("_mth.i")).alias("_bid"))
-        self.buffer.write(buf, version, range(self.buffer.buckets), None)
-
-    def _rn(self) -> Column:
-        """The rank column of a buffer row: its position for the best N, else NULL."""
-        return F.when(F.col("_r") <= self.n, F.col("_r").cast("long")).alias("rn")
-
-    # ------------------------------------------------------------ per batch
-    def to_wide(self, changes: DataFrame) -> DataFrame:
-        """Tagged changes (side, key, op, values..., ts, pos) -> one struct column per side."""
-        cols = []
-        for s in self.sides:
-            st = F.struct(F.col("op"), *[F.col(c) for c in s.columns], *[F.col(c) for c in self.change_order])
-            cols.append(F.when(F.col("side") == s.name, st).alias(s.name))
-        return changes.select(self.key, *cols)
-
-    def merge(self, old: DataFrame, wide: DataFrame) -> DataFrame:
-        """Last-writer-wins per key and side; deletes stay as tombstones."""
-        aggs = []
-        for s in self.sides:
-            when_present = F.when(F.col(s.name).isNotNull(),
-                                  F.struct(*[F.col(f"{s.name}.{c}") for c in self.change_order]))
-            aggs.append(F.max_by(F.col(s.name), when_present).alias(s.name))
-        return old.unionByName(wide).groupBy(self.key).agg(*aggs)
+SLICE = 256  # entries of a range; twice as many are cut in two
+
+
+def rank_key(entry) -> tuple:
+    """Sort key of (score, key): descending, NaN first as Spark has it, nulls last."""
+    score, key = entry
+    if score is None:
+        return 2, 0, key
+    return (0, 0, key) if isinstance(score, float) and math.isnan(score) else (1, -score, key)
+
+
+class Ranges:
+    """The ordered entries of a shard's groups, over two map states; changes are held until `flush`."""
+
+    def __init__(self, ranges, slices, size: int):
+        self._ranges, self._slices, self._size = ranges, slices, size
+        self._marks: dict[str, list] = {}  # group -> [[number, count, first entry], ..], best first
+        self._open: dict[tuple[str, int], list] = {}
+        self._changed: set = set()
+
+    def _of(self, group: str) -> list:
+        if group not in self._marks:
+            got = self._ranges.getValue((group,)) if self._ranges.containsKey((group,)) else None
+            self._marks[group] = json.loads(got[0]) if got else []
+        return self._marks[group]
+
+    def _slice(self, group: str, number: int) -> list:
+        at = (group, number)
+        if at not in self._open:
+            self._open[at] = [tuple(e) for e in json.loads(self._slices.getValue(at)[0])]
+        return self._open[at]
+
+    def _find(self, marks: list, entry) -> int:
+        return max(bisect_right(marks, rank_key(entry), key=lambda m: rank_key(m[2])) - 1, 0)
+
+    def add(self, group: str, entry) -> None:
+        marks = self._of(group)
+        if not marks:
+            marks.append([0, 0, entry])
+            self._open[group, 0] = []
+        i = self._find(marks, entry)
+        number = marks[i][0]
+        entries = self._slice(group, number)
+        insort(entries, entry, key=rank_key)
+        self._changed |= {group, (group, number)}
+        if len(entries) > 2 * self._size:
+            new = 1 + max(m[0] for m in marks)
+            half = len(entries) // 2
+            self._open[group, new], entries[half:] = entries[half:], []
+            marks.insert(i + 1, [new, len(self._open[group, new]), self._open[group, new][0]])
+            self._changed.add((group, new))
+        marks[i][1:] = [len(entries), entries[0]]
+
+    def remove(self, group: str, entry) -> None:
+        marks = self._of(group)
+        i = self._find(marks, entry)
+        number = marks[i][0]
+        entries = self._slice(group, number)
+        entries.remove(entry)
+        self._changed |= {group, (group, number)}
+        if entries:
+            marks[i][1:] = [len(entries), entries[0]]
+        else:
+            del marks[i]
+
+    def best(self, group: str, n: int) -> list:
+        """The first `n` entries; only slices that hold one of them are read."""
+        out: list = []
+        for number, _, _ in self._of(group):
+            if len(out) >= n:
+                break
+            out += self._slice(group, number)
+        return out[:n]
+
+    def flush(self) -> None:
+        for at in self._changed:
+            if isinstance(at, tuple):
+                if self._open[at]:
+                    self._slices.updateValue(at, (json.dumps(self._open[at]),))
+                elif self._slices.containsKey(at):
+                    self._slices.removeKey(at)
+            elif self._marks[at]:
+                self._ranges.updateValue((at,), (json.dumps(self._marks[at]),))
+            elif self._ranges.containsKey((at,)):
+                self._ranges.removeKey((at,))
+        self._changed = set()
+
+
+class RankedShard(StatefulProcessor):
+    """Keeps one shard's rows ranked by group; yields its best N of the groups that a batch changes."""
+
+    def __init__(self, schema: StructType, key: str, group: str, order: str, n: int, size: int = SLICE):
+        self.schema, self.key, self.group, self.order, self.n, self.size = schema, key, group, order, n, size
+        self.names = schema.fieldNames()
+
+    def _row(self, *values) -> Row:
+        return Row(**dict(zip(("_shard", "_name", "_g", "_r", *self.names), values)))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        image = StructType([StructField("ver", LongType()), StructField("live", BooleanType()), *self.schema.fields])
+        self.rows = handle.getMapState("rows", StructType([self.schema[self.key]]), image)
+        self.ranges = handle.getMapState("ranges", StructType([StructField("grp", StringType())]), StructType([StructField("marks", StringType())]))
+        self.slices = handle.getMapState("slices", StructType([StructField("grp", StringType()), StructField("number", LongType())]),
+                                         StructType([StructField("entries", StringType())]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        newest: dict = {}
+        for r in rows:
+            if r[self.key] not in newest or newest[r[self.key]]["ver"] < r["ver"]:
+                newest[r[self.key]] = r
+        held = Ranges(self.ranges, self.slices, self.size)
+        score, grp = 2 + self.names.index(self.order), 2 + self.names.index(self.group)
+        changed: dict[str, object] = {}
+        for ident, r in newest.items():
+            old = self.rows.getValue((ident,)) if self.rows.containsKey((ident,)) else None
+            if old is not None and old[0] >= r["ver"]:
+                continue  # replayed or late
+            if old is not None and old[1]:
+                held.remove(_name(old[grp]), (old[score], ident))
+                changed[_name(old[grp])] = old[grp]
+            if r["live"]:
+                held.add(_name(r[self.group]), (r[self.order], ident))
+                changed[_name(r[self.group])] = r[self.group]
+            self.rows.updateValue((ident,), (r["ver"], r["live"], *(r[c] for c in self.names)))
+        held.flush()
+        for name, group in changed.items():
+            best = held.best(name, self.n)
+            yield self._row(key[0], name, group, 0, *([None] * len(self.names)))  # also where nothing is left
+            for i, (_, ident) in enumerate(best, 1):
+                yield self._row(key[0], name, group, i, *self.rows.getValue((ident,))[2:])
+
+    def close(self) -> None:
+        pass
+
+
+def _name(group) -> str:
+    """A group's name in the state; null has its own."""
+    return "n" if group is None else f"v{group}"
+
+
+class TopN:
+    """`schema` are the rows' columns; the order column is a number."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, group: str = "gender", order: str = "score", n: int = 2,
+                 key: str = "id", shards: int = 64, external_sink: ChangeSink | None = None, size: int = SLICE):
+        if n < 1:
+            raise ValueError("n must be >= 1")
+        if not isinstance(schema[order].dataType, NumericType) or schema[order].dataType.typeName() == "decimal":
+            raise ValueError("the order column must be an integer or a floating-point number")
+        self.spark, self.schema, self.group, self.order, self.n, self.key = spark, schema, group, order, n, key
+        self.shards, self.external_sink, self.size = shards, external_sink, size
+        best = ArrayType(StructType([StructField("_r", IntegerType()), *schema.fields]))
+        self.table = ChangeLog(spark, f"{root.rstrip('/')}/best", StructType(
+            [StructField("slot", StringType()), StructField("best", best), StructField("ver", LongType())]), "slot", ("ver",))
+        self.fault: Callable[[str, int], None] | None = None  # test hook: crash after a step
+
+    def shard_best(self, updates: DataFrame) -> DataFrame:
+        """Each shard's best N of the groups that a batch of `updates` (row columns, live, ver) changes."""
+        out = StructType([StructField("_shard", IntegerType()), StructField("_name", StringType()),
+                          StructField("_g", self.schema[self.group].dataType), StructField("_r", IntegerType()), *self.schema.fields])
+        shard = F.pmod(F.xxhash64(self.key), F.lit(self.shards)).cast("int").alias("_shard")
+        rows = updates.where(F.col(self.key).isNotNull()).select(shard, *self.schema.fieldNames(), "live", "ver")
+        processor = RankedShard(self.schema, self.key, self.group, self.order, self.n, self.size)
+        return rows.groupBy("_shard").transformWithState(processor, out, "Update", "None")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """foreachBatch entry point: apply one micro-batch of tagged changes."""
-        k, prev = batch_id, batch_id - 1
-        for t in (self.joined, self.buffer):
-            t.claim(k, stream_job(self.spark))
-        base_j = self.joined.latest_version(prev)
-        base_b = self.buffer.latest_version(prev)
-        self._held: list[DataFrame] = []
-        wide = self._hold(self.to_wide(batch))
-        try:
-            self._process(wide, k, base_j, base_b)
-        finally:
-            # children before parents: un-caching a parent first re-plans its cached children
-            for df in reversed(self._held):
-                df.unpersist()
-            self._held = []
-        if self.vacuum_every and k > 0 and k % self.vacuum_every == 0:
-            for t in (self.joined, self.buffer):
-                t.vacuum(self.retain)
-
-    def _hold(self, df: DataFrame) -> DataFrame:
-        """Keep a batch-sized intermediate for the rest of this batch (recomputable if lost)."""
-        self._held.append(df.persist())
-        return df
-
-    def _process(self, wide: DataFrame, k: int, base_j, base_b) -> None:
-        touched = self.joined.buckets_of(wide, F.col(self.key))
-        if not touched:
-            self.joined.carry_forward(k, base_j)
-            self.buffer.carry_forward(k, base_b)
-            return
-        # 1. merge into joined
-        old_j = self.joined.read(base_j, touched)
-        self.joined.write(self.merge(old_j, wide), k, touched, base_j)
-        if self.fault:
-            self.fault("joined", k)
-        new_j = self.joined.read(k, touched)
-        # 2. views of touched ids; affected groups = their old and new groups
-        ids = self._hold(wide.select(self.key).distinct())
-        old_rows = self._hold(self.live_view(old_j).join(ids, self.key, "left_semi"))
-        new_rows = self._hold(self.live_view(new_j).join(ids, self.key, "left_semi"))
-        g = self.group
-        groups = self._hold(old_rows.select(F.col(g).alias("_g"))
-                            .union(new_rows.select(F.col(g).alias("_g"))).distinct())
-        gtouched = self.buffer.buckets_of(groups, F.col("_g"))
-        # every buffer row of those buckets; groups the batch does not touch pass through unchanged
-        buf_all = self.buffer.read(base_b, gtouched)
-        # 3. one pass per group (buffer update, rescan need, old and new top N)
-        u = self._hold(self._group_pass(buf_all, ids, new_rows))
-        rescan_groups = self._hold(u.where(F.col("_rescan")).select("_g").distinct())
-        kept = u.where(F.col("_cand") & (F.col("_r") <= self.m) & ~F.col("_rescan"))
-        new_buf = kept.select("_g", *self.out_cols, self._rn(), F.col("_nbon").alias("_bon"),
-                              F.col("_nbs").alias("_bscore"), F.col("_nbi").alias("_bid"))
-        new_top = kept.where(F.col("_r") <= self.n).select(*self.out_cols, F.col("_r").cast("long").alias("rn"))
-        old_top = u.where((F.col("_src") == "b") & (F.col("_or") <= self.n)) \
-            .select(*self.out_cols, F.col("_or").cast("long").alias("rn"))
-        # 4. groups left with fewer than n known rows while rows remain outside: rescan them
-        if not rescan_groups.isEmpty():
-            full = self.live_view(self.joined.read(k))
-            sub = full.join(rescan_groups, F.col(g).eqNullSafe(F.col("_g")), "left_semi")
-            wr = Window.partitionBy(g).orderBy(*self._order())
-            rescanned = self._hold(
-                self._limit_m(sub.withColumn("_r", F.row_number().over(wr)), g)
-                .select(F.col(g).alias("_g"), *self.out_cols, "_r", self._rn(),
-                        (F.col("_cnt") > self.m).alias("_bon"),
-                        F.when(F.col("_cnt") > self.m, F.col("_mth.s")).alias("_bscore"),
-                        F.when(F.col("_cnt") > self.m, F.col("_mth.i")).alias("_bid")))
-            new_buf = new_buf.unionByName(rescanned.drop("_r"))
-            new_top = new_top.unionByName(rescanned.where(F.col("_r") <= self.n)
-                                          .select(*self.out_cols, F.col("_r").cast("long").alias("rn")))
-        self.buffer.write(new_buf, k, gtouched, base_b)
+        """foreachBatch entry point: the shards' new lists; an external sink gets the changes of the top N."""
+        self.table.claim(batch_id, stream_job(self.spark))
+        row = F.struct("_r", *self.schema.fieldNames())
+        slots = batch.groupBy(F.concat_ws(":", "_shard", "_name").alias("slot")).agg(
+            F.array_sort(F.collect_list(F.when(F.col("_r") > 0, row))).alias("best"))  # at most N rows
+        self.table.append(slots.withColumn("ver", F.lit(batch_id).cast("bigint")), batch_id, unique=True)
         if self.fault:
-            self.fault("buffer", k)
-        # 5. the top-N table is the ranked buffer rows, written above
+            self.fault("best", batch_id)
         if self.external_sink is not None:
-            # what a keyed sink by id must apply: by id over all groups (a row changing group is one upsert)
-            self.external_sink(changelog_diff(old_top, new_top, key=self.key), k)
-
-    def _order(self) -> list[Column]:
-        return [F.col(self.order).desc_nulls_last(), F.col(self.key).asc_nulls_last()]
-
-    def _group_pass(self, buf_all: DataFrame, ids: DataFrame, new_rows: DataFrame) -> DataFrame:
-        """All rows that matter to each group, in one partitioning by group.
-
-        Rows: the group's buffer rows (`_src`='b', `_gone` when their id changed
-        in this batch) and the batch's rows now in the group (`_src`='n'), cut
-        to the best M+1 per group first (a WindowGroupLimit, so a group that
-        holds a third of the batch still ships at most M+1 rows per map task).
-        Every later window is partitioned by the group (or the group and a
-        flag), which the single exchange on the group already satisfies.
-        """
-        m, n = self.m, self.n
-        gone = ids.select(self.key, F.lit(True).alias("_gone"))
-        buf = (buf_all.join(gone, self.key, "left")
-               .select("_g", *self.out_cols, "_bon", "_bscore", "_bid",
-                       F.coalesce(F.col("_gone"), F.lit(False)).alias("_gone"), F.lit("b").alias("_src")))
-        wn = Window.partitionBy("_g").orderBy(*self._order())
-        new = (new_rows.withColumn("_g", F.col(self.group))
-               .withColumn("_r", F.row_number().over(wn)).where(F.col("_r") <= m + 1)
-               .select("_g", *self.out_cols, F.lit(None).cast("boolean").alias("_bon"),
-                       F.lit(None).cast(self.types[self.order]).alias("_bscore"),
-                       F.lit(None).cast(self.types[self.key]).alias("_bid"),
-                       F.lit(False).alias("_gone"), F.lit("n").alias("_src")))
-        wg = Window.partitionBy("_g")
-        is_buf = F.col("_src") == "b"
-        u = (buf.unionByName(new)
-             # the group's boundary, carried by each of its buffer rows (gone ones included)
-             .withColumn("_gbon", F.coalesce(F.max(F.when(is_buf, F.col("_bon"))).over(wg), F.lit(False)))
-             .withColumn("_gbs", F.max(F.when(is_buf, F.col("_bscore"))).over(wg))
-             .withColumn("_gbi", F.max(F.when(is_buf, F.col("_bid"))).over(wg)))
-        passes = ~F.col("_gbon") | ranks_at_or_before(F.col(self.order), F.col(self.key),
-                                                      F.col("_gbs"), F.col("_gbi"))
-        u = u.withColumn("_cand", F.when(is_buf, ~F.col("_gone")).otherwise(passes))
-        wc = Window.partitionBy("_g", "_cand").orderBy(*self._order())
-        wo = Window.partitionBy("_g", "_src").orderBy(*self._order())
-        u = (u.withColumn("_r", F.when(F.col("_cand"), F.row_number().over(wc)))
-              .withColumn("_or", F.when(is_buf, F.row_number().over(wo))))
-        mth = F.max_by(F.struct(F.col(self.order).alias("s"), F.col(self.key).alias("i")),
-                       F.when(F.col("_r") == m, F.lit(1)))
-        u = u.withColumn("_cnt", F.coalesce(F.max("_r").over(wg), F.lit(0))).withColumn("_mth", mth.over(wg))
-        trimmed = F.col("_cnt") > m
-        return (u.withColumn("_nbon", F.col("_gbon") | trimmed)
-                 .withColumn("_nbs", F.when(trimmed, F.col("_mth.s")).otherwise(F.col("_gbs")))
-                 .withColumn("_nbi", F.when(trimmed, F.col("_mth.i")).otherwise(F.col("_gbi")))
-                 .withColumn("_rescan", F.col("_nbon") & (F.least(F.col("_cnt"), F.lit(m)) < n)))
-
-    def _limit_m(self, numbered: DataFrame, group: str) -> DataFrame:
-        """Rows ranked 1..M of each group (`_r`), with `_cnt` = min(rows, M+1) and `_mth` = the M-th key.
-
-        The filter on the row number becomes a WindowGroupLimit; the group
-        aggregates are windows on the same partitioning (no extra shuffle).
-        """
-        top = numbered.where(F.col("_r") <= self.m + 1)
-        whole = Window.partitionBy(group)
-        mth = F.max_by(F.struct(F.col(self.order).alias("s"), F.col(self.key).alias("i")),
-                       F.when(F.col("_r") == self.m, F.lit(1)))
-        return (top.withColumn("_cnt", F.max("_r").over(whole)).withColumn("_mth", mth.over(whole))
-                   .where(F.col("_r") <= self.m))
+            name = F.expr("substring(slot, locate(':', slot) + 1)")
+            touched = self.table.batch(batch_id).select(name.alias("_name")).distinct()
+
+            def top(upto: int) -> DataFrame:
+                return self._top(self.table.read(upto).withColumn("_name", name).join(touched, "_name", "left_semi"))
+
+            # By key over all groups: a row that changes its group is one upsert.
+            self.external_sink(changelog_diff(top(batch_id - 1), top(batch_id), key=self.key), batch_id)
+
+    def start(self, updates: DataFrame, checkpoint: str, partitions: int | None = None, available_now: bool = False,
+              interval: str = CHECKPOINT_INTERVAL) -> StreamingQuery:
+        with keyed_state(self.spark, partitions):
+            return start_foreach_batch(self.shard_best(updates), self.process, checkpoint, available_now=available_now,
+                                       interval=interval, mode="update")
+
+    def _top(self, slots: DataFrame) -> DataFrame:
+        rows = slots.select(F.inline("best")).drop("_r")
+        return top_n_per_group(rows, self.group, self.order, self.n, self.key)
+
+    def top(self) -> DataFrame:
+        """The top-N table: row columns and `rn`."""
+        return self._top(self.table.read())

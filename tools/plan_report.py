@@ -29,27 +29,6 @@ def shape(plan: str) -> dict:
     }
 
 
-def group_pass_section(spark) -> list[str]:
-    """Shuffles of the streaming top-N buffer update, on a small changelog derived from events."""
-    from pyspark.sql import functions as F
-
-    from tidemark.plans.streams import FEED_SCHEMA, SIDES, join_feeds
-    from tidemark.session import scratch_path
-    from tidemark.streaming.topn import JoinTopN
-    feeds = join_feeds(spark, SF_DIR)
-    batch = feeds["t1"].unionByName(feeds["t2"]).unionByName(feeds["t3"])
-    mt = JoinTopN(spark, scratch_path(spark, "plan-report"), SIDES, FEED_SCHEMA, buckets=8, group_buckets=4)
-    mt.process(batch.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")), 0)
-    u = mt._group_pass(mt.buffer.read(0), batch.select("id").distinct(), mt.live_view(mt.joined.read(0)))
-    plan = u._jdf.queryExecution().executedPlan().toString()
-    keep = [ln.rstrip() for ln in plan.split("\n")
-            if re.search(r"Exchange|Window|Join|Scan", ln)]
-    return ["## Streaming top-N: the group pass of one batch", "",
-            "Operators that shuffle or window (join sides as planned with broadcasts disabled).",
-            "All windows run on the single exchange on `_g`; new rows are cut by a",
-            "WindowGroupLimit (Partial, then Final) before it.", "", "```", *keep, "```", ""]
-
-
 def main() -> None:
     from tidemark.plans.catalog import BATCH_QUERIES
     from tidemark.session import get_session
@@ -81,7 +60,6 @@ def main() -> None:
             "Each side is shuffled once on `id`; the second join reuses that partitioning (no further",
             "exchange), and the group limit keeps 2 rows per gender per task before the only other",
             "exchange, on `gender`.", "", "```", big.strip(), "```", ""]
-    out += group_pass_section(spark)
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out))
 
