@@ -31,6 +31,15 @@ def refine(near: np.ndarray, later: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
+def grams(data: np.ndarray) -> np.ndarray:
+    """The q-gram bucket at each offset of `data`, which is at least as long as one."""
+    at, width = _BYTE[data], 1
+    while width < GRAM:
+        at = refine(at[:-width], at[width:])
+        width *= 2
+    return at
+
+
 def names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(q-gram bucket, first and second name of the 100-byte string) at each offset.
 
@@ -40,11 +49,7 @@ def names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if n < STRING_BYTES:
         none = np.empty(0, np.uint64)
         return none, none, none
-    at, width = _BYTE[data], 1
-    while width < GRAM:
-        at = refine(at[:-width], at[width:])
-        width *= 2
-    gram = at
+    gram = grams(data)
     twice = refine(gram[:-GRAM], gram[GRAM:])
     rest = STRING_BYTES - 2 * GRAM
     return gram, refine(twice[:-rest], twice[rest:]), refine(twice[:-rest], twice[rest:], 1)
@@ -67,6 +72,28 @@ def owners(gram: np.ndarray, n_windows: int) -> np.ndarray:
     return (key[:n_windows] & _U((1 << int(bits)) - 1)).astype(np.int64)
 
 
+def _runs(gram: np.ndarray, ends: np.ndarray, n_windows: int):
+    """(owner of each string, text of each string, first string of each run, strings, whether they lie in one text)."""
+    own = owners(gram, n_windows)
+    starts = np.concatenate(([0], ends[:-1]))
+    text = np.repeat(np.arange(len(ends)), ends - starts)[:n_windows]
+    fits = np.arange(n_windows) + STRING_BYTES <= ends[text]
+    new = np.empty(n_windows, bool)
+    new[0] = True
+    new[1:] = (own[1:] != own[:-1]) | (text[1:] != text[:-1]) | (fits[1:] != fits[:-1])
+    first = np.flatnonzero(new)
+    return own, text, first, np.diff(np.append(first, n_windows)), fits[first]
+
+
+def run_buckets(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The buckets of the owners of all `runs`, without the names of the strings."""
+    if len(data) < STRING_BYTES:
+        return np.empty(0, np.int64)
+    gram = grams(data)
+    own, _, first, _, keep = _runs(gram, ends, len(data) - STRING_BYTES + 1)
+    return gram[own[first[keep]]].view(np.int64)
+
+
 def runs(data: np.ndarray, ends: np.ndarray):
     """Runs of neighbouring strings that share their owner.
 
@@ -78,17 +105,8 @@ def runs(data: np.ndarray, ends: np.ndarray):
     if not len(one):
         none = np.empty(0, np.int64)
         return (none,) * 7, one, two
-    own = owners(gram, len(one))
-    starts = np.concatenate(([0], ends[:-1]))
-    text = np.repeat(np.arange(len(ends)), ends - starts)[:len(one)]
-    fits = np.arange(len(one)) + STRING_BYTES <= ends[text]
-    new = np.empty(len(one), bool)
-    new[0] = True
-    new[1:] = (own[1:] != own[:-1]) | (text[1:] != text[:-1]) | (fits[1:] != fits[:-1])
-    first = np.flatnonzero(new)
-    count = np.diff(np.append(first, len(one)))
+    own, text, first, count, keep = _runs(gram, ends, len(one))
     a, b = np.add.reduceat(one * _C[0], first), np.add.reduceat(two ^ (two >> _U(7)), first)
-    keep = fits[first]
     first, count, a, b = first[keep], count[keep], a[keep], b[keep]
     return (text[first], first, count, own[first] - first, gram[own[first]].view(np.int64),
             a.view(np.int64), b.view(np.int64)), one, two

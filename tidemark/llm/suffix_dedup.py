@@ -38,10 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytenames import GRAM, PIECE, STRING_BYTES, names, refine, runs
+from tidemark.llm.bytenames import GRAM, PIECE, STRING_BYTES, names, refine, run_buckets, runs
 from tidemark.llm.common import documents, map_batches, write_scratch
 
 STRETCH = 8
@@ -89,8 +90,9 @@ def _buckets(texts: DataFrame) -> DataFrame:
     """The level 0 bucket of every run."""
     def make():
         def batch(b):
-            for _, _, _, _, g, _ in _owner_runs(b.column(0).to_pylist()):
-                yield {"g": g}
+            for group in _pieces(b.column(0).to_pylist()):
+                parts = [p for _, _, p in group]
+                yield {"g": run_buckets(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(p) for p in parts]))}
         return batch
 
     return map_batches(texts.select("body"), make, "g bigint")
@@ -214,21 +216,26 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return gone.unionByName(gone1).unionByName(gone2)
 
 
-def _removed(n: int, spans: list[dict]) -> list[tuple[int, int]]:
-    """Maximal removed runs of bytes, in order, from overlapping (at, len)."""
-    out: list[tuple[int, int]] = []
-    for at, length in sorted((s["at"], s["len"]) for s in spans):
-        end = min(at + length, n)
-        if out and at <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((at, end))
-    return out
+def _removed(n: int, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal removed runs of bytes, in order, from overlapping stretches."""
+    order = np.argsort(at)
+    at, end = at[order], np.minimum((at + length)[order], n)
+    upto = np.maximum.accumulate(end)
+    new = np.flatnonzero(np.append(True, at[1:] > upto[:-1])) if len(at) else np.empty(0, np.int64)
+    return at[new], upto[np.append(new[1:] - 1, len(at) - 1)] if len(at) else at
 
 
-def _kept(body: bytes, spans: list[dict]) -> bytes:
-    edges = [0, *(x for c in _removed(len(body), spans) for x in c), len(body)]
-    return b"".join(body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
+def _kept(body: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    edges = [0, *np.column_stack((starts, ends)).ravel().tolist(), len(body)]
+    return b"".join([body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)])
+
+
+def _spans(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+    """(at, len) of each row of a list of those, None for rows without."""
+    at, length = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in column.flatten().flatten())
+    upto = np.cumsum([0, *pc.fill_null(pc.list_value_length(column), 0).to_pylist()]).tolist()
+    for lo, hi in zip(upto, upto[1:]):
+        yield (at[lo:hi], length[lo:hi]) if hi > lo else None
 
 
 def dedup_spans(docs: DataFrame) -> DataFrame:
@@ -239,9 +246,10 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
     def make():
         def batch(b):
             out = {"doc_id": b.column(0), "body": b.column(1), "removed": [], "kept": []}
-            for body, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                out["kept"].append(_kept(body, w or []))
-                out["removed"].append([{"start": a, "end": e} for a, e in _removed(len(body), w or [])])
+            for body, w in zip(b.column(1).to_pylist(), _spans(b.column(2))):
+                cut = _removed(len(body), *w) if w else None
+                out["kept"].append(_kept(body, *cut) if cut else body)
+                out["removed"].append([{"start": a, "end": e} for a, e in zip(*(x.tolist() for x in cut))] if cut else [])
             yield out
         return batch
 
@@ -259,23 +267,25 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     stay as they are (null too); rows of whose text nothing is left go. An
     `n_chars` column follows the text.
     """
-    spans = repeated_spans(docs).groupBy(*PLACE).agg(F.collect_set(F.struct("at", "len")).alias("_w"))
-    spans = spans.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "_w")
+    spans = repeated_spans(docs).groupBy(*PLACE).agg(F.collect_set(F.struct("at", "len")).alias("w"))
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.withColumn("_i", F.coalesce(F.col("doc_id"), F.lit(LAST))).withColumn("_t", F.hash(body))
-    rows = rows.join(spans, (F.col("_i") == F.col("_id")) & (F.col("_t") == F.col("_tag")), "left").select(*docs.columns, "_w")
+    # The row is one column, so that its columns may have any name.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id"), F.lit(LAST)).alias("id"),
+                       F.hash(body).alias("tag"))
+    rows = rows.join(spans, PLACE, "left").select("row", "w")
 
     def run(batches):
         for b in batches:
-            at = b.schema.get_field_index("text")
-            texts, spans = b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()
+            row, spans = b.column(0), list(_spans(b.column(1)))
+            names, columns = [row.type.field(i).name for i in range(row.type.num_fields)], row.flatten()
+            texts = columns[names.index("text")].to_pylist()
             for i, w in enumerate(spans):
                 if w:
-                    texts[i] = _kept(texts[i].encode(), w).decode("utf-8", "ignore")
+                    body = texts[i].encode()
+                    texts[i] = _kept(body, *_removed(len(body), *w)).decode("utf-8", "ignore")
             left = [i for i, t in enumerate(texts) if t or not spans[i]]
-            out = {f.name: pa.array(texts, f.type) if f.name == "text" else b.column(i)
-                   for i, f in enumerate(b.schema) if f.name != "_w"}
-            yield pa.RecordBatch.from_arrays(list(out.values()), list(out)).take(pa.array(left, pa.int64()))
+            columns[names.index("text")] = pa.array(texts, row.type.field("text").type)
+            yield pa.RecordBatch.from_arrays(columns, names).take(pa.array(left, pa.int64()))
 
     cut = rows.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
