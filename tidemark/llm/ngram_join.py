@@ -343,13 +343,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without an id and rows without words stay, each apart. Of repeated rows
     with that id and text one stays.
     """
-    rows = docs.withColumn("_c", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    # The row is one column, so that its columns may have any name.
+    name = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), name.alias("c"))
     judged = ngram_join(docs).where("n_shingles > 0 and doc_id is not null").select(
-        F.col("doc_id").alias("_id"), (F.col("doc_id") == F.col("class_id")).alias("_first")).distinct()
-    rows = rows.join(judged, F.col("doc_id") == F.col("_id"), "left").where("coalesce(_first, true)")
-    repeated = F.when(F.col("_id").isNotNull(), F.struct("_id", "_c")).otherwise(
-        F.struct(F.xxhash64(F.monotonically_increasing_id()).alias("_id"), F.uuid().alias("_c")))
-    return rows.withColumn("_k", repeated).dropDuplicates(["_k"]).select(*docs.columns)
+        F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("class_id")).alias("first"), F.lit(True).alias("judged")).distinct()
+    rows = rows.join(judged, "id", "left").where("coalesce(first, true)")
+    apart = F.when(F.col("judged"), F.lit("")).otherwise(F.uuid())
+    return rows.withColumn("apart", apart).dropDuplicates(["id", "c", "apart"]).select("row.*")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
