@@ -38,6 +38,8 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +48,8 @@ from tidemark.llm.common import documents, map_batches, write_scratch
 
 TOKENIZERS = "/opt/tokenizers"  # on every node
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_UNITS = 1 << 21  # units of a chunk; different ones and documents count more
-KEPT = 150_000  # different units that a task remembers
+CHUNK_UNITS = 1 << 20  # units of a chunk; different ones and documents count more
+KEPT = 120_000  # different units that a task remembers
 LONGEST = 64  # characters of a unit that is remembered
 TOGETHER = 1 << 18  # bytes of texts whose units are looked up together
 SHIFT = 24  # an id pair is a << SHIFT | b
@@ -281,8 +283,6 @@ def _aligner(file_a: str, file_b: str) -> Aligner:
 
 
 def _chunks(docs: DataFrame, file_a: str, file_b: str, chunk_units: int) -> DataFrame:
-    import pyarrow as pa
-    import pyarrow.compute as pc
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     arrow = to_arrow_schema(StructType.fromDDL(CHUNK))
@@ -316,27 +316,28 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return upto[ends] - upto[ends - sizes]
 
 
-def _documents(chunk: dict, counts: list[dict]) -> Iterator[dict]:
+def _documents(chunk: dict[str, pa.Scalar]) -> Iterator[dict]:
     """The documents of one chunk; `counts` has (pair, n, best) for each of its pairs."""
-    as_array = lambda k: np.array(chunk[k], np.int64)
+    as_array = lambda k: chunk[k].values.to_numpy(zero_copy_only=False).astype(np.int64)
     pairs, each, n_units = as_array("pairs"), as_array("n_links"), as_array("n_units")
-    units = np.frombuffer(chunk["units"], _narrow_type(len(each))).astype(np.int64)
-    links = np.frombuffer(chunk["links"], _narrow_type(len(pairs))).astype(np.int64)
+    units = np.frombuffer(chunk["units"].as_py(), _narrow_type(len(each))).astype(np.int64)
+    links = np.frombuffer(chunk["links"].as_py(), _narrow_type(len(pairs))).astype(np.int64)
     n, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-    if counts:
-        at = np.searchsorted(pairs, [c["pair"] for c in counts])
-        n[at], best[at] = [c["n"] for c in counts], [c["best"] for c in counts]
+    if chunk["counts"].is_valid:
+        pair, sums, tops = (x.to_numpy() for x in chunk["counts"].values.flatten())
+        at = np.searchsorted(pairs, pair)
+        n[at], best[at] = sums, tops
     unit = {"n_a": as_array("n_a"), "n_b": as_array("n_b"), "n_groups": as_array("n_groups"), "n_links": each,
             "n_best": _sums(best[links], each), "count_sum": _sums(n[links], each)}
     doc = {k: _sums(v[units], n_units) for k, v in unit.items()}
-    groups, ends = np.array(chunk["groups"], object), np.cumsum(n_units)
+    groups, ends, ids = chunk["groups"].values.to_numpy(zero_copy_only=False), np.cumsum(n_units), chunk["ids"].values
     lo = size = 0
     texts = []
     for i, end in enumerate(ends):
         texts.append(";".join(groups[units[end - n_units[i]:end]]))
         size += len(texts[-1])
         if size > 1 << 23 or i + 1 == len(ends):
-            yield {"doc_id": chunk["ids"][lo:i + 1], **{k: v[lo:i + 1] for k, v in doc.items()}, "groups": texts}
+            yield {"doc_id": ids[lo:i + 1], **{k: v[lo:i + 1] for k, v in doc.items()}, "groups": texts}
             lo, size, texts = i + 1, 0, []
 
 
@@ -362,8 +363,7 @@ def align(docs: DataFrame, file_a: str = f"{TOKENIZERS}/{FILE_A}", file_b: str =
     def make():
         def batch(b):
             for i in range(b.num_rows):
-                row = {name: b.column(k)[i].as_py() for k, name in enumerate(b.schema.names)}
-                yield from _documents(row, row.pop("counts") or [])
+                yield from _documents({name: b.column(k)[i] for k, name in enumerate(b.schema.names)})
         return batch
 
     return map_batches(rows, make, ALIGNED)
