@@ -50,3 +50,13 @@ def test_current_state_uses_partial_aggregation(spark):
 def test_full_ranking_is_not_a_single_group_window(spark):
     plan = _plan(BATCH_QUERIES["row_number_by_group"](spark, SF_SMALL))
     assert "Window" not in plan.split("Scan ExistingRDD")[0]
+
+
+def test_lines_and_envelopes_are_parsed_once(spark):
+    """No predicate or projection repeats the parse of a row."""
+    plan = BATCH_QUERIES["cdc_parse_envelope"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+    for name in ("parse_id_int", "parse_id_text", "parse_rejects"):
+        plan = _plan(BATCH_QUERIES[name](spark, SF_SMALL))
+        assert plan.count("split(") == 1, name
+        assert plan.count("RLIKE") <= (2 if name == "parse_id_int" else 1), name

@@ -37,26 +37,35 @@ def strict_int(text: Column, type_name: str = "int") -> Column:
     return F.when(text.rlike(_INT_PATTERN), text.try_cast(type_name))
 
 
-def _field_reasons(fields: Column, schema: StructType) -> tuple[list[Column], Column]:
-    """Typed values per schema field, and the first reject reason (NULL if valid)."""
-    values, checks = [], []
-    n = F.size(fields)
+def _parsed(fields: Column, schema: StructType) -> list[Column]:
+    """The raw text of each field of the schema, and the typed value of the number fields."""
+    out = []
     for i, f in enumerate(schema.fields):
         raw = F.try_element_at(fields, F.lit(i + 1))
-        if i > 0:  # split always yields field 0; a null line fails its number parse
-            checks.append((~(n >= i + 1), MISSING_FIELD))
         if isinstance(f.dataType, _INT_TYPES):
-            v = strict_int(raw, f.dataType.simpleString())
-            checks.append((raw.isNull() | v.isNull(), BAD_INT))
+            out += [raw.isNotNull().alias(f"_has{i}"), strict_int(raw, f.dataType.simpleString()).alias(f"_v{i}")]
         elif isinstance(f.dataType, StringType):
-            v = raw
+            out += [raw.isNotNull().alias(f"_has{i}"), raw.alias(f"_v{i}")]
         else:
             raise TypeError(f"unsupported field type {f.dataType} for {f.name}")
-        values.append(v.cast(f.dataType).alias(f.name))
+    return out
+
+
+def _reason(schema: StructType, parsed: list[Column] | None = None) -> Column:
+    """The first reject reason of a line (NULL if valid), from the columns of `_parsed` or those already named."""
     reason = F.lit(None).cast("string")
-    for cond, why in reversed(checks):
-        reason = F.when(cond, F.lit(why)).otherwise(reason)
-    return values, reason
+    for i, f in reversed(list(enumerate(schema.fields))):
+        has, v = parsed[2 * i:2 * i + 2] if parsed else (F.col(f"_has{i}"), F.col(f"_v{i}"))
+        if isinstance(f.dataType, _INT_TYPES):
+            reason = F.when(v.isNull(), F.lit(BAD_INT)).otherwise(reason)
+        if i > 0:  # split always yields field 0; a null line fails its number parse
+            reason = F.when(~has, F.lit(MISSING_FIELD)).otherwise(reason)
+    return reason
+
+
+def _once(df: DataFrame, carried: list, columns: list[Column]) -> DataFrame:
+    """`df` with new columns that are evaluated once a row: nothing passes the generator and repeats them."""
+    return df.select(*carried, F.inline(F.array(F.struct(*columns))))
 
 
 def parse_lines(df: DataFrame, schema: StructType, value_col: str = "value",
@@ -73,13 +82,15 @@ def parse_lines(df: DataFrame, schema: StructType, value_col: str = "value",
     """
     if on_bad not in ("fail", "divert", "drop"):
         raise ValueError(f"on_bad must be fail, divert or drop, not {on_bad!r}")
-    value = F.col(value_col)
-    fields = split_fields(value, sep)
+    fields = split_fields(F.col("_value"), sep)
     if trim:
         fields = F.transform(fields, lambda x: F.trim(x))
-    values, reason = _field_reasons(fields, schema)
-    staged = df.select(*[F.col(c) for c in keep], value.alias("_value"),
-                       reason.alias("_reason"), *values)
+    kept = [F.col(c) for c in keep]
+    staged = df.select(*kept, F.col(value_col).alias("_value"))
+    staged = _once(staged, [*kept, "_value"], [fields.alias("_f")])
+    staged = _once(staged, [*kept, "_value"], _parsed(F.col("_f"), schema))
+    staged = staged.select(*kept, "_value", _reason(schema).alias("_reason"),
+                           *[F.col(f"_v{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
     out_cols = [*keep, *[f.name for f in schema.fields]]
     if on_bad == "fail":
         return fail_on(staged, "_reason", "_value").select(*out_cols)
@@ -104,7 +115,7 @@ def fail_on(df: DataFrame, reason: str, value: str) -> DataFrame:
 
 def reject_reason(value: Column, schema: StructType, sep: str = ",") -> Column:
     """The reject reason of one line as a column (NULL when the line is valid)."""
-    return _field_reasons(split_fields(value, sep), schema)[1]
+    return _reason(schema, _parsed(split_fields(value, sep), schema))
 
 
 def line_col(key: str | Column, value: str | Column, sep: str = ", ") -> Column:

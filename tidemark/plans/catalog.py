@@ -8,6 +8,7 @@ tables (or data Spark derives from them), built only from library functions.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,22 @@ from ..operators.changelog import apply_changes, changes_since, current_state, u
 from ..operators.join import join_by_key
 from ..operators.rank import row_number_by_group, top_n_per_group
 from ..operators.topn import top_n_delta
+from ..session import scratch_path
+from ..sinks.declared import declare
 from ..sources import tables as tb
 from ..sources.streams import read_changelog, to_envelope
 from ..spec import GENDER_ROW, SCORE_ROW, T4, align_to
 
 TOP_N = 2
 RESULT_COLUMNS = ["id", "name", "gender", "score", "rn"]
+TOP_SQL = f"""
+        select * from
+          (select t1.id, name, gender, score,
+                  cast(row_number() over (partition by gender
+                                          order by score desc nulls last, t1.id) as bigint) rn
+           from t1 join t2 on t1.id = t2.id
+                   join t3 on t1.id = t3.id) t
+        where rn <= {TOP_N}"""
 
 
 # ---------------------------------------------------------------- join + rank
@@ -45,14 +56,7 @@ def q_topn_join3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     tb.t1(spark, sf_dir).createOrReplaceTempView("t1")
     tb.t2(spark, sf_dir).createOrReplaceTempView("t2")
     tb.t3(spark, sf_dir).createOrReplaceTempView("t3")
-    return spark.sql(f"""
-        select * from
-          (select t1.id, name, gender, score,
-                  cast(row_number() over (partition by gender
-                                          order by score desc nulls last, t1.id) as bigint) rn
-           from t1 join t2 on t1.id = t2.id
-                   join t3 on t1.id = t3.id) t
-        where rn <= {TOP_N}""")
+    return spark.sql(TOP_SQL)
 
 
 def q_join3_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +77,20 @@ def q_insert_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_to(q_topn_join3(spark, sf_dir), T4.schema)
 
 
+def q_insert_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The insert as SQL text into a declared table, over rows that an earlier insert left; read back."""
+    q_topn_join3_sql(spark, sf_dir)  # the views t1, t2, t3
+    t4 = declare(spark, replace(T4, options={"root": scratch_path(spark, "t4")}))
+    spark.sql("insert into t4 select id, 'old', gender, 0, 0 from (" + TOP_SQL + ") where rn = 1")
+    spark.sql("insert into t4 " + TOP_SQL)
+    return t4.read()
+
+
+def q_topn_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top 1500 of each group: beyond Catalyst's group limit, by selection."""
+    return top_n_per_group(tb.rank_input(spark, sf_dir), "o_orderpriority", "o_totalprice", 1500, key="o_orderkey")
+
+
 def q_replicate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     t1 = tb.t1(spark, sf_dir)
     return t1.select(*t1.columns)
@@ -222,6 +240,8 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_number_by_group": q_row_number_by_group,
     "topn_per_group": q_topn_per_group,
     "insert_aligned": q_insert_aligned,
+    "insert_declared": q_insert_declared,
+    "topn_large": q_topn_large,
     "replicate_table": q_replicate_table,
     "gen_gender": q_gen_gender,
     "gen_name": q_gen_name,

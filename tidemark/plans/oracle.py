@@ -115,6 +115,14 @@ ORACLE_SQL: dict[str, str] = {
     "insert_aligned": f"""with {_STAND_INS}
         select cast(id as integer) id, name, gender, cast(trunc(score) as integer) score, rn
         from ({_TOPN}) r""",
+    "insert_declared": f"""with {_STAND_INS}
+        select cast(id as integer) id, name, gender, cast(trunc(score) as integer) score, rn
+        from ({_TOPN}) r""",
+    "topn_large": """
+        select * from (select o_orderkey, o_orderpriority, o_totalprice,
+                              cast(row_number() over (partition by o_orderpriority
+                                   order by o_totalprice desc nulls last, o_orderkey) as bigint) rn
+                       from orders) z where rn <= 1500""",
     "replicate_table": "select c_custkey id, c_mktsegment gender from customer",
     "gen_gender": f"select c_custkey id, {_GENDER} gender from customer",
     "gen_name": f"select c_custkey id, {_NAME} name from customer",

@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -96,9 +96,33 @@ class ChangeLog(StateFolder):
             rows = rows.unionByName(later.select(*names)) if bases else later.select(*names)
         return last_per_key(rows, self.key, self.order, names).select(*names)
 
-    def compact(self) -> int | None:
+    def mark(self) -> dict | None:
+        """The low-water position: no change at or before it comes any more (None: not set)."""
+        text = self._read_text(f"{self.path}/mark.json")
+        return json.loads(text) if text else None
+
+    def set_mark(self, position: dict) -> None:
+        """Set the low-water position (a number or text for each order column); it only rises."""
+        if sorted(position) != sorted(self.order):
+            raise ValueError(f"a position of {self.order} is needed")
+        held = self.mark()
+        if held is not None and tuple(position[c] for c in self.order) < tuple(held[c] for c in self.order):
+            raise ValueError(f"the low-water position is {held} already")
+        self._write_text(f"{self.path}/mark.json", json.dumps(position))
+
+    def beyond_mark(self, rows: DataFrame) -> DataFrame:
+        """Rows behind the low-water position; older ones cannot be told from deleted keys any more."""
+        held = self.mark()
+        if held is None:
+            return rows
+        at = F.struct(*[F.lit(held[c]).cast(self.schema[c].dataType).alias(c) for c in self.order])
+        return rows.where(F.struct(*[F.col(c) for c in self.order]) > at)
+
+    def compact(self, tombstone: Column | None = None) -> int | None:
         """Write the table as of the newest batch as a new base; returns that batch.
 
+        Rows that are `tombstone`s and not beyond the low-water position are left out.
+
         What only the bases before the previous one needed is deleted; the
         previous base and its batches stay for readers that began with them.
         """
@@ -106,7 +130,10 @@ class ChangeLog(StateFolder):
         if not batches or (bases and bases[-1] >= batches[-1]):
             return bases[-1] if bases else None
         upto = batches[-1]
-        self.read().repartition(self.parts, self.key).write.mode("overwrite").parquet(f"{self.path}/base/{_UPTO}={upto}")
+        rows = self.read()
+        if tombstone is not None and self.mark() is not None:
+            rows = rows.where(~tombstone).unionByName(self.beyond_mark(rows.where(tombstone)))
+        rows.repartition(self.parts, self.key).write.mode("overwrite").parquet(f"{self.path}/base/{_UPTO}={upto}")
         if bases:
             stale = [f"changes/{_BATCH}={b}" for b in batches if b <= bases[-1]] + [f"base/{_UPTO}={b}" for b in bases[:-1]]
             for name in stale:

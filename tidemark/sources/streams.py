@@ -94,8 +94,9 @@ def read_changelog(df: DataFrame, row_schema: StructType, value_col: str = "valu
     if on_bad not in ("fail", "divert", "drop"):
         raise ValueError(f"on_bad must be fail, divert or drop, not {on_bad!r}")
     schema = envelope_schema(row_schema).add(_CORRUPT, StringType(), True)
-    e = F.from_json(F.col(value_col), schema, {"columnNameOfCorruptRecord": _CORRUPT}).alias("e")
-    staged = df.select(*keep, F.col(value_col).alias("_value"), e)
+    e = F.from_json(F.col(value_col), schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    # Parsed once a row: no predicate or projection passes the generator and repeats the parse.
+    staged = df.select(*keep, F.col(value_col).alias("_value"), F.inline(F.array(F.struct(e.alias("e")))))
     known = F.col("e.op").isin("r", "c", "u") & F.col("e.after").isNotNull() | (
         (F.col("e.op") == OP_DELETE) & F.col("e.before").isNotNull())
     good = F.col(f"e.{_CORRUPT}").isNull() & F.coalesce(known, F.lit(False))

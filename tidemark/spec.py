@@ -57,18 +57,27 @@ T4 = TableSpec("t4", _schema(("id", IntegerType(), True), ("name", StringType(),
 T5 = TableSpec("t5", _schema(("id", IntegerType(), True), ("gender", StringType(), True)))
 
 
+def fitted(value: Column, source: DataType, target: DataType, name: str) -> Column:
+    """`value` as the target type; a value that does not fit fails the query, whatever the session's ANSI mode.
+
+    Numbers lose their fraction where the target has none, as an insert's cast does.
+    """
+    if source == target:
+        return value
+    cast = value.try_cast(target)
+    failed = F.raise_error(F.concat(F.lit(f"column {name}: "), value.cast("string"), F.lit(f" is no {target.simpleString()}")))
+    return F.when(value.isNotNull() & cast.isNull(), failed.cast(target)).otherwise(cast)
+
+
 def align_to(df: DataFrame, schema: StructType, by_position: bool = True) -> DataFrame:
     """Shape `df` like an `INSERT INTO target SELECT ...`.
 
     `by_position=True` is SQL insert semantics: the i-th input column feeds the
     i-th target column, whatever its name. `by_position=False` matches by name.
-    Each value is cast to the target type; the output carries target names.
+    Each value is cast to the target type (`fitted`); the output carries target names.
     """
-    if by_position:
-        if len(df.columns) != len(schema.fields):
-            raise ValueError(f"insert needs {len(schema.fields)} columns, got {len(df.columns)}")
-        cols: list[Column] = [F.col(f"`{src}`").cast(f.dataType).alias(f.name)
-                              for src, f in zip(df.columns, schema.fields)]
-    else:
-        cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
-    return df.select(*cols)
+    if by_position and len(df.columns) != len(schema.fields):
+        raise ValueError(f"insert needs {len(schema.fields)} columns, got {len(df.columns)}")
+    sources = df.columns if by_position else [f.name for f in schema.fields]
+    return df.select(*[fitted(F.col(f"`{src}`"), df.schema[src].dataType, f.dataType, f.name).alias(f.name)
+                       for src, f in zip(sources, schema.fields)])

@@ -10,6 +10,7 @@ Conventions (the reference's checkpoint settings, in Spark terms):
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..session import shared_root
 
 CHECKPOINT_INTERVAL = "2 seconds"
+FINISHED: deque = deque(maxlen=64)  # (query name, seconds of its batches) of the last queries that ended
 
 
 def checkpoint_location(spark: SparkSession, job: str) -> str:
@@ -74,6 +76,7 @@ def run_until_done(query: StreamingQuery) -> None:
     exc = query.exception()
     if exc is not None:
         raise exc
+    FINISHED.append((query.name, batch_seconds(query)))
 
 
 # ---------------------------------------------------------------- the four job shapes

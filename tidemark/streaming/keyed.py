@@ -12,7 +12,7 @@ after a crash) writes its own folder again: effectively-once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,15 +53,24 @@ class KeyedReplica:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch entry point. `batch` carries key, values, op and order columns."""
         self.table.claim(batch_id, stream_job(self.spark))
-        self.table.append(batch.select(*self.table.schema.fieldNames()), batch_id)
+        self.table.append(self.table.beyond_mark(batch.select(*self.table.schema.fieldNames())), batch_id)
         if self.fault:
             self.fault("table", batch_id)
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             self.compact()
 
     def compact(self) -> None:
-        """Fold the batches so far into one base."""
-        self.table.compact()
+        """Fold the batches so far into one base; deletes up to the low-water position are forgotten."""
+        self.table.compact(F.col(self.op_col) == OP_DELETE)
+
+    def retire(self, positions: Mapping[object, tuple]) -> None:
+        """Set the low-water position from the newest position (order values) of every partition of the feed.
+
+        Each partition is in order, so no change at or before the smallest of them is
+        still to come. Deletes up to there go with the next `compact`, and a change that
+        comes from before it all the same is left out: its key may have been deleted since.
+        """
+        self.table.set_mark(dict(zip(self.order, min(positions.values()))))
 
     @classmethod
     def for_spec(cls, spark: SparkSession, spec, root: str, order: Sequence[str] = ("ts", "pos"),
