@@ -14,9 +14,10 @@ is raised until no block exceeds `BLOCK_CHARS` characters (an item larger than
 that is a block with whatever shares it). Each block is a pass over the texts, so
 what is broadcast is bounded while the benchmark may grow.
 
+Items of fewer than `MIN_CHARS` characters are searched without edits, as whole words.
+
 Defined results: a null, empty or blank text holds no item; items that are null or
-shorter than `MIN_CHARS` characters after normalising are not looked for (too short
-to tell); repeated items are found each under its id, a null item_id as null; rows
+empty after normalising are not looked for; repeated items are found each under its id, a null item_id as null; rows
 with the same id are searched apart; an empty table gives no rows.
 """
 
@@ -31,7 +32,7 @@ from pyspark.sql.types import StructType
 from tidemark.llm.common import documents, map_batches, sf_table
 
 BUDGET = 0.06
-MIN_CHARS = 40
+MIN_CHARS = 40  # shorter items are searched exactly, as whole words
 BLOCK_CHARS = 8 << 20
 HIT = "item_id bigint, edits int, start int, end int"
 
@@ -40,6 +41,17 @@ def normalise(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
+def allowed(item: str, budget: float) -> int:
+    """Edits that an item may have: none for short ones, which a few edits make another text."""
+    return int(len(item) * budget) if len(item) >= MIN_CHARS else 0
+
+
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit goes on beyond the stretch's own."""
+    cut = lambda a, b: a.isalnum() and b.isalnum()
+    return not (start > 0 and cut(text[start - 1], text[start])) and not (end < len(text) and cut(text[end - 1], text[end]))
+
+
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
     """k + 1 stretches of the item that cover it: (offset, characters)."""
     edges = [i * len(item) // (k + 1) for i in range(k + 2)]
@@ -84,7 +96,7 @@ def finder(items: list[tuple[int | None, str]], budget: float):
     automaton, patterns = ahocorasick.Automaton(), [Pattern(t) for _, t in items]
     at: dict[str, list[tuple[int, int]]] = {}
     for i, (_, t) in enumerate(items):
-        for offset, piece in pieces(t, int(len(t) * budget)):
+        for offset, piece in pieces(t, allowed(t, budget)):
             at.setdefault(piece, []).append((i, offset))
     for piece, where in at.items():
         automaton.add_word(piece, (len(piece), where))
@@ -97,7 +109,9 @@ def finder(items: list[tuple[int | None, str]], budget: float):
         stretches: dict[int, list[list[int]]] = {}
         for end, (length, where) in automaton.iter(text):
             for i, offset in where:
-                k = int(len(items[i][1]) * budget)
+                k = allowed(items[i][1], budget)
+                if len(items[i][1]) < MIN_CHARS and not whole_words(text, end + 1 - length, end + 1):
+                    continue
                 a = end + 1 - length - offset - k
                 b = a + len(items[i][1]) + 2 * k
                 known = stretches.setdefault(i, [])
@@ -110,7 +124,7 @@ def finder(items: list[tuple[int | None, str]], budget: float):
                     known.append([a, b])
         out = []
         for i, known in stretches.items():
-            k = int(len(items[i][1]) * budget)
+            k = allowed(items[i][1], budget)
             best = None
             for a, b in known:
                 a = max(a, 0)
@@ -127,7 +141,7 @@ def finder(items: list[tuple[int | None, str]], budget: float):
 def blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFrame]:
     """The items to look for, in blocks of bounded size: (item_id, text)."""
     norm = F.trim(F.regexp_replace(F.lower(F.col("text")), r"\s+", " "))
-    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text")).where(F.length(norm) >= MIN_CHARS)
+    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text")).where(F.length(norm) > 0)
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     if not size:
         return []
@@ -149,7 +163,7 @@ def contaminated(docs: DataFrame, items: DataFrame, budget: float = BUDGET, bloc
     schema = StructType.fromDDL("doc_id bigint, " + HIT + ", text string")
     found = None
     for block in blocks(items, block_chars):
-        wanted = [(r["item_id"], t) for r in block.collect() if len(t := normalise(r["text"])) >= MIN_CHARS]
+        wanted = [(r["item_id"], t) for r in block.collect() if (t := normalise(r["text"]))]
         held = docs.sparkSession.sparkContext.broadcast(wanted)
 
         def make(held=held):
@@ -173,7 +187,7 @@ def contaminated(docs: DataFrame, items: DataFrame, budget: float = BUDGET, bloc
 def keep_clean(docs: DataFrame, items: DataFrame, budget: float = BUDGET, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of `docs`, all columns, whose text holds no item."""
     for block in blocks(items, block_chars):
-        wanted = [t for r in block.collect() if len(t := normalise(r["text"])) >= MIN_CHARS]
+        wanted = [t for r in block.collect() if (t := normalise(r["text"]))]
         held = docs.sparkSession.sparkContext.broadcast([(None, t) for t in wanted])
 
         def run(batches, held=held):

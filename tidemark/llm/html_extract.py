@@ -14,8 +14,8 @@ the article in usual markup, whose blocks are known to be article or not.
 
 Defined results: null or empty html, or html without an article, gives the empty
 text; broken and cut-off markup is closed where it ends; rows with the same id
-are extracted apart; an empty table gives no rows; with no page to learn from
-every block is kept. Only page_id, url and html are read.
+are extracted apart; an empty table gives no rows; with no page with text to learn
+from every block is kept. Pages of any length are learned from (`train`). Only page_id, url and html are read.
 """
 
 from __future__ import annotations
@@ -313,13 +313,24 @@ def fit(pages: list[str], layouts_each: int = 3, seed: int = 11) -> gbdt.Trees |
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, max_chars: int = MAX_CHARS) -> gbdt.Trees | None:
-    """Fit on a bounded sample: the pages of smallest hash among those of at most `max_chars` characters."""
-    rows = pages.select("html").where(F.col("html").isNotNull() & (F.length("html") <= max_chars))
+    """Fit on a bounded sample: the pages of smallest hash among those of at most `max_chars` characters.
+
+    Where all pages are longer, the shortest ones: one, and more up to `sample_pages` times `max_chars` characters.
+    """
+    every = pages.select("html").where(F.col("html").isNotNull())
+    rows = every.where(F.length("html") <= max_chars)
     least = rows.select(F.xxhash64("html").alias("h")).orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
-    if least is None:
+    if least is not None:
+        chosen = rows.where(F.xxhash64("html") <= least).orderBy(F.xxhash64("html")).limit(sample_pages).collect()
+        return fit([r["html"] for r in chosen])
+    sizes = every.select(F.length("html").alias("n"), F.xxhash64("html").alias("h")).distinct().orderBy("n", "h").limit(sample_pages).collect()
+    upto = np.cumsum([r["n"] for r in sizes]) <= sample_pages * max_chars
+    names = [(r["n"], r["h"]) for i, (r, fits) in enumerate(zip(sizes, upto)) if fits or i == 0]
+    if not names:
         return None
-    chosen = rows.where(F.xxhash64("html") <= least).orderBy(F.xxhash64("html")).limit(sample_pages).collect()
-    return fit([r["html"] for r in chosen])
+    chosen = every.where(F.length("html") <= names[-1][0]).select("html", F.length("html").alias("n"), F.xxhash64("html").alias("h"))
+    chosen = chosen.where(F.struct("n", "h") <= F.struct(F.lit(names[-1][0]).alias("n"), F.lit(names[-1][1]).alias("h")))
+    return fit([r["html"] for r in chosen.dropDuplicates(["n", "h"]).orderBy("n", "h").limit(len(names)).collect()])
 
 
 def extract_pages(pages: DataFrame, model: gbdt.Trees | None) -> DataFrame:

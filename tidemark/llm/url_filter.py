@@ -23,7 +23,7 @@ from collections import Counter
 from math import log2
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import gbdt
@@ -106,7 +106,12 @@ def train(labelled: DataFrame, every: DataFrame, max_rows: int = MAX_ROWS) -> tu
     known = parsed(labelled.select("url", "label").where("url is not null and label is not null"), F.col("url"))
     stats = statistics(parsed(every.select("url"), F.col("url")).withColumn("label", F.lit(None).cast("int")))
     stats[:, :, 1] = statistics(known)[:, :, 1]
-    rows = known.orderBy(F.xxhash64("url"), "url").limit(max_rows).collect()
+    # Ranges of the hash are counted first, so that no task sends rows that are not among the first of all.
+    part = F.shiftright(F.xxhash64("url"), 48)
+    ahead = F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1))  # 65,536 rows at most
+    parts = known.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).withColumn("ahead", F.coalesce(ahead, F.lit(0)))
+    last = parts.where(F.col("ahead") < max_rows).agg(F.max("p")).first()[0]
+    rows = known.where(part <= last).orderBy(F.xxhash64("url"), "url").limit(max_rows).collect() if last is not None else []
     x = np.array([features(r["url"], r["host"], r["path"], r["suffix"], r["segment"], stats) for r in rows], float)
     y = np.array([r["label"] for r in rows], float)
     if not len(rows):
