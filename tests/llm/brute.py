@@ -1,6 +1,7 @@
 """Plain Python versions that tests compare with."""
 
 from collections import defaultdict
+from functools import lru_cache
 
 from tidemark.llm.decontaminate import BUDGET, MIN_CHARS, normalise, whole_words
 
@@ -48,6 +49,11 @@ def brute_kept(rows, n=100):
     return out
 
 
+@lru_cache(maxsize=4)
+def _grams(text):
+    return {text[i:i + 4] for i in range(len(text) - 3)}
+
+
 def holds_item(text, item):
     """Whether the text holds the item within the budget, by a table of edit distances."""
     text, item = normalise(text), normalise(item)
@@ -57,9 +63,9 @@ def holds_item(text, item):
         return any(whole_words(text, i, i + len(item)) for i in range(len(text)) if text.startswith(item, i))
     k = int(len(item) * BUDGET)
     row = list(range(len(item) + 1))
-    # An edit changes two words at most (the space between them), so many missing words are too many edits.
-    words = set(text.split())
-    if sum(w not in words for w in item.split()) > 2 * k:
+    # An edit spoils four 4-grams of the item at most.
+    held = _grams(text)
+    if sum(item[i:i + 4] in held for i in range(len(item) - 3)) < len(item) - 3 - 4 * k:
         return False
     best = row[-1]
     for c in text:
