@@ -41,7 +41,7 @@ class _Images(StatefulProcessor):
         for r in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
             ident, at = r[self.key], tuple(r[c] for c in self.order)
             if ident not in held:
-                held[ident] = self.last.getValue((ident,)) if self.last.containsKey((ident,)) else None
+                held[ident] = self.last.getValue((ident,))  # None for a new key
             old = held[ident]
             if old is not None and tuple(old[1:1 + n]) >= at:
                 continue

@@ -63,7 +63,7 @@ class Ranges:
 
     def _of(self, group: str) -> list:
         if group not in self._marks:
-            got = self._ranges.getValue((group,)) if self._ranges.containsKey((group,)) else None
+            got = self._ranges.getValue((group,))
             self._marks[group] = json.loads(got[0]) if got else []
         return self._marks[group]
 
@@ -155,7 +155,7 @@ class RankedShard(StatefulProcessor):
         score, grp = 2 + self.names.index(self.order), 2 + self.names.index(self.group)
         changed: dict[str, object] = {}
         for ident, r in newest.items():
-            old = self.rows.getValue((ident,)) if self.rows.containsKey((ident,)) else None
+            old = self.rows.getValue((ident,))  # None for a new key
             if old is not None and old[0] >= r["ver"]:
                 continue  # replayed or late
             if old is not None and old[1]:
