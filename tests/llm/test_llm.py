@@ -68,6 +68,28 @@ def test_mix_meets_its_targets(spark):
         assert taken[s] == pytest.approx(t, abs=4 * mixing.BLOCK_WORDS)
 
 
+def test_mix_is_its_schedule(spark):
+    """Slots in golden-ratio order take their source's blocks in order; what they hold adds up to `taken`."""
+    docs = [(i, " ".join(f"w{j}" for j in range(i * 7 % 90)), [None, "a", "b"][i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(docs + [docs[5], (None, "x y", "a")], "doc_id bigint, text string, source string")
+    rows, mixed = mixing.mix(docs).collect(), mixing.mixed(docs).collect()
+    taken, want, ranks, held = Counter(), Counter(), {}, {}
+    for r in rows:
+        want[r["doc_id"]] += r["taken"]
+    for m in mixed:
+        taken[m["doc_id"]] += m["words"]
+        ranks.setdefault(m["source"], {}).setdefault(m["slot"], set()).add((m["rank"], m["block"]))
+        held[m["slot"]] = held.get(m["slot"], 0) + m["words"]
+    assert +taken == +want and sum(want.values()) > 0
+    sizes = {r["source"]: r["source_size"] for r in rows}
+    for source, slots in ranks.items():
+        blocks = -(-sizes[source] // mixing.BLOCK_WORDS)
+        for k, slot in enumerate(sorted(slots)):
+            assert slots[slot] == {(k, k % blocks)}
+            last = k % blocks == blocks - 1
+            assert held[slot] == (sizes[source] - (blocks - 1) * mixing.BLOCK_WORDS if last else mixing.BLOCK_WORDS)
+
+
 def test_mix_odd_rows(spark, odd):
     assert mixing.mix(odd).count() == len(ODD)
     assert mixing.mix(odd.limit(0)).count() == 0

@@ -4,17 +4,20 @@ The mix is a sequence of slots, each `block_words` words long. Slot n has the
 golden-ratio point frac(n * phi), which falls into one source's share of the
 cumulative targets; the slot's rank among its source's slots names the block it
 takes. A source's documents, in shuffled order, are one stream of words cut
-into blocks of equal size; ranks beyond the last block start the stream again.
-A document may be cut by a block, so each source is met to about a block.
+into blocks of equal size; ranks beyond the last block start the stream again,
+and stop after the second round. A document may be cut by a block, so each
+source is met to about a block.
 
-A source takes its blocks in order, so the ranks of its slots are 0, 1, .. and their
-count says all: rounds through the stream and a prefix. So slots are counted by
-source; no slot is written out, ranked by itself or joined to its block.
+`schedule` writes the slots out with their source, rank and block; `mixed` joins
+them to the stretches of the shuffled documents that their blocks hold, which is
+the mix itself; `mix` adds up what it takes of each document.
 
-Everything is DataFrame functions: one scan of the texts leaves four narrow columns
-(a written table); then sums by (source, piece of the shuffle), and a bucketed join of slots to shares.
-A source's order is by md5 of the id, so its rows are dealt over as many pieces
-as wanted by the leading digits, and no source sits in one task.
+Everything is DataFrame functions: one scan of the texts leaves narrow columns
+(a written table); slots meet their shares by a bucketed join and their blocks by
+an equi-join of (source, block). A slot's rank and a document's place are running
+sums within pieces (runs of slots; leading digits of the md5 of the id that
+orders a source's documents) behind the sums of the pieces before, so no source
+sits in one task.
 
 Defined results: a null text has size 0; null sources are one source, ranked
 last; a source without words has target 0 and is taken 0 times; rows with the
@@ -32,6 +35,8 @@ from tidemark.llm.common import WORD, documents, write_scratch
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 32
 PIECE_ROWS = 20_000
+PIECE_SLOTS = 1 << 16
+ROUNDS = 2  # times that a source's blocks may be taken
 # The golden-ratio sequence modulo 2^31 (odd multiplier nearest 2^31 * 0.618...).
 GOLDEN, PERIOD = 1327217885, 1 << 31
 CELLS = 1 << 12
@@ -73,59 +78,95 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, num: int = 3, den: int = 2
     return met.withColumn("hi", F.sum(share).over(upto)).withColumn("lo", F.col("hi") - share)
 
 
-def slot_counts(targets: DataFrame, n_words: int, block_words: int) -> DataFrame:
-    """Slots that each source gets: (rank, slots). `n_words` are all the shares' words."""
+def schedule(targets: DataFrame, n_words: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The slots of the mix in order: (slot, source_rank, rank, block).
+
+    `source_rank` is the source's `rank` in `targets`, `rank` the slot's among those of
+    its source (from 0), `block` the block of the source's stream that it takes.
+    `n_words` are all the shares' words. Slots beyond the last round are left out.
+    """
     spark = targets.sparkSession
     n_slots = -(-n_words // block_words)
     # Point in [0, n_words): the golden sequence scaled; cells make the interval join an equi-join.
-    point = F.floor(F.pmod(F.pmod(F.col("id"), F.lit(PERIOD)) * F.lit(GOLDEN), F.lit(PERIOD)).cast("double")
+    point = F.floor(F.pmod(F.pmod(F.col("slot"), F.lit(PERIOD)) * F.lit(GOLDEN), F.lit(PERIOD)).cast("double")
                     / F.lit(float(PERIOD)) * F.lit(float(n_words))).cast("long")
     cell = lambda p: F.floor(p.cast("double") / F.lit(float(max(n_words, 1))) * F.lit(float(CELLS))).cast("int")
-    slots = spark.range(n_slots).select(point.alias("p")).withColumn("cell", cell(F.col("p")))
-    # Most cells lie within one share: count slots by point's cell first where a cell has one source.
+    slots = spark.range(n_slots).withColumnRenamed("id", "slot").withColumn("p", point).withColumn("cell", cell(F.col("p")))
+    blocks = F.greatest(F.ceil(F.col("source_size") / F.lit(block_words)).cast("long"), F.lit(1)).alias("blocks")
     shares = targets.where(F.col("hi") > F.col("lo")).select(
-        "rank", "lo", "hi", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))).alias("cell"))
-    hit = slots.join(shares, "cell").where((F.col("p") >= F.col("lo")) & (F.col("p") < F.col("hi")))
-    return hit.groupBy("rank").agg(F.count(F.lit(1)).alias("slots"))
-
-
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Mix all documents; one row each: doc_id, source, size, source_size, target, start, taken.
-
-    `start` is the document's first word in its source's shuffled stream.
-    """
+        F.col("rank").alias("source_rank"), "lo", "hi", blocks, F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))).alias("cell"))
+    hit = slots.join(shares, "cell").where((F.col("p") >= F.col("lo")) & (F.col("p") < F.col("hi"))).select(
+        "slot", "source_rank", "blocks", F.floor(F.col("slot") / F.lit(PIECE_SLOTS)).alias("piece"))
+    # Rank: the slot's place within a run of slots, and the run's place within the source.
+    ahead = Window.partitionBy("source_rank").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    runs = hit.groupBy("source_rank", "piece").agg(F.count(F.lit(1)).alias("k")).select(
+        "source_rank", "piece", F.coalesce(F.sum("k").over(ahead), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("source_rank", "piece").orderBy("slot"))
+    ranked = hit.withColumn("nth", within).join(runs, ["source_rank", "piece"]).withColumn("rank", F.col("before") + F.col("nth") - 1)
+    return ranked.where(F.col("rank") < ROUNDS * F.col("blocks")).select("slot", "source_rank", "rank", (F.col("rank") % F.col("blocks")).alias("block"))
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights) -> tuple[DataFrame, DataFrame, int]:
+    """Documents with their place in their source's shuffled stream, the sources' targets, and the words of all shares."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     rows = rows.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    rows = write_scratch(rows, "mix-sizes")  # texts are read and counted once
+    rows = write_scratch(rows.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")  # texts are read and counted once
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    targets = source_targets(per_source.select("source", "source_size"), weights)
+    targets = write_scratch(source_targets(per_source.select("source", "source_size"), weights), "mix-targets")
     # Two numbers to the driver: words of the mix, and documents (for the number of pieces).
     n_words, n_docs = targets.agg(F.max("hi")).first()[0] or 0, per_source.agg(F.sum("n")).first()[0] or 0
     digits = max(1, len(f"{n_docs // PIECE_ROWS:x}"))
-    plan = targets.join(slot_counts(targets, n_words, block_words), "rank", "left").select(
-        "source", "source_size", "target", F.coalesce("slots", F.lit(0)).alias("slots"))
-    blocks = F.ceil(F.col("source_size") / F.lit(block_words)).cast("long")
-    plan = plan.withColumn("blocks", F.greatest(blocks, F.lit(1))).withColumn(
-        "slots", F.least(F.col("slots"), 2 * F.col("blocks"))).select(
-        "source", "source_size", "target",
-        F.floor(F.col("slots") / F.col("blocks")).cast("long").alias("rounds"),
-        F.least((F.col("slots") % F.col("blocks")) * block_words, F.col("source_size")).alias("prefix"))
 
     # Start of each document: its place within a piece, and the piece's place within the source.
     rows = rows.withColumn("piece", F.substring("h", 1, digits))
     pieces = rows.groupBy("source", "piece").agg(F.sum("size").alias("piece_size"))
     ahead = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("piece_start", F.coalesce(F.sum("piece_size").over(ahead), F.lit(0)))
-    pieces = pieces.alias("p").join(plan.alias("q"), F.expr("p.source <=> q.source")).select(
-        F.col("p.source").alias("s"), F.col("piece").alias("b"), "piece_start", "source_size", "target", "rounds", "prefix")
+    pieces = pieces.alias("p").join(targets.alias("q"), F.expr("p.source <=> q.source")).select(
+        F.col("p.source").alias("s"), F.col("piece").alias("b"), "piece_start", "source_size", "target", F.col("rank").alias("source_rank"))
     within = Window.partitionBy("source", "piece").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("upto", F.sum("size").over(within))
-    placed = rows.join(pieces, F.col("source").eqNullSafe(F.col("s")) & (F.col("piece") == F.col("b"))).withColumn(
-        "start", F.col("piece_start") + F.col("upto") - F.col("size"))
-    over = F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), F.col("prefix")) - F.col("start"))
-    return placed.select("doc_id", "source", "size", "source_size", "target", "start",
-                         (F.col("rounds") * F.col("size") + over).cast("long").alias("taken"))
+    placed = rows.join(pieces, F.col("source").eqNullSafe(F.col("s")) & (F.col("piece") == F.col("b"))).select(
+        "row", "doc_id", "source", "size", "source_size", "target", "source_rank",
+        (F.col("piece_start") + F.col("upto") - F.col("size")).alias("start"))
+    return write_scratch(placed, "mix-placed"), targets, n_words
+
+
+def _mixed(placed: DataFrame, targets: DataFrame, n_words: int, block_words: int) -> DataFrame:
+    """The schedule joined to what its blocks hold: (slot, source_rank, rank, block, row, doc_id, first, words)."""
+    first_block, last_block = (F.floor(c / F.lit(block_words)).cast("long") for c in (F.col("start"), F.col("start") + F.col("size") - 1))
+    held = placed.where(F.col("size") > 0).select(
+        "source_rank", "row", "doc_id", "start", "size", F.explode(F.sequence(first_block, last_block)).alias("block"))
+    lo = F.greatest(F.col("start"), F.col("block") * block_words)
+    hi = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
+    held = held.select("source_rank", "block", "row", "doc_id", (lo - F.col("start")).alias("first"), (hi - lo).alias("words"))
+    return schedule(targets, n_words, block_words).join(held, ["source_rank", "block"]).select(
+        "slot", "source_rank", "rank", "block", "row", "doc_id", "first", "words")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights=WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix: (slot, source, rank, block, doc_id, first, words), a row for each stretch of a document that a slot takes.
+
+    The stretch is the document's words `first` to `first + words - 1`, counted from 0; a slot's
+    stretches follow each other in the order of the source's stream.
+    """
+    placed, targets, n_words = _placed(docs, id_col, text_col, source_col, weights)
+    names = targets.select(F.col("rank").alias("source_rank"), "source")
+    return _mixed(placed, targets, n_words, block_words).join(names, "source_rank").select(
+        "slot", "source", "rank", "block", "doc_id", "first", "words")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights=WEIGHTS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Mix all documents; one row each: doc_id, source, size, source_size, target, start, taken.
+
+    `start` is the document's first word in its source's shuffled stream.
+    """
+    placed, targets, n_words = _placed(docs, id_col, text_col, source_col, weights)
+    taken = _mixed(placed, targets, n_words, block_words).groupBy("row").agg(F.sum("words").alias("taken"))
+    return placed.join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", "start",
+                                                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
