@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from model import joined, random_changes, top_n
 from tidemark.operators.changelog import current_state
@@ -168,6 +168,15 @@ class FakeMap:
         del self.held[key]
 
 
+def test_updates_reach_the_shards_in_blocks(spark, scratch):
+    job = TopN(spark, scratch("blocks"), StructType([SCHEMA[c] for c in ROW]), shards=3)
+    updates = StructType([*job.schema.fields, StructField("live", BooleanType()), StructField("ver", LongType())])
+    folder = scratch("updates")
+    spark.createDataFrame([(1, "a", "g", 1.0, True, 1)], "id long, name string, gender string, score double, live boolean, ver long").write.parquet(folder)
+    plan = job.shard_best(spark.readStream.schema(updates).parquet(folder))._jdf.queryExecution().analyzed().toString()
+    assert "block" in plan and "MapInArrow" in plan
+
+
 def test_ranges_follow_a_sorted_list():
     rng, ranges, slices, model = random.Random(4), FakeMap(), FakeMap(), []
     for _ in range(60):

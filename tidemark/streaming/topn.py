@@ -38,7 +38,7 @@ from ..operators.rank import top_n_per_group
 from ..sinks.change_log import ChangeLog
 from ..sinks.state_folder import stream_job
 from .jobs import CHECKPOINT_INTERVAL, start_foreach_batch
-from .state import keyed_state
+from .state import keyed_state, pack, read_blocks
 
 ChangeSink = Callable[[DataFrame, int], None]
 SLICE = 256  # entries of a range; twice as many are cut in two
@@ -148,23 +148,24 @@ class RankedShard(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         newest: dict = {}
-        for r in rows:
-            if r[self.key] not in newest or newest[r[self.key]]["ver"] < r["ver"]:
-                newest[r[self.key]] = r
+        score, grp, at = (2 + self.names.index(c) for c in (self.order, self.group, self.key))
+        given = read_blocks(rows)
+        for r in zip(*(given[c].to_pylist() for c in ("ver", "live", *self.names))):
+            if r[at] not in newest or newest[r[at]][0] < r[0]:
+                newest[r[at]] = r
         held = Ranges(self.ranges, self.slices, self.size)
-        score, grp = 2 + self.names.index(self.order), 2 + self.names.index(self.group)
         changed: dict[str, object] = {}
         for ident, r in newest.items():
             old = self.rows.getValue((ident,))  # None for a new key
-            if old is not None and old[0] >= r["ver"]:
+            if old is not None and old[0] >= r[0]:
                 continue  # replayed or late
             if old is not None and old[1]:
                 held.remove(_name(old[grp]), (old[score], ident))
                 changed[_name(old[grp])] = old[grp]
-            if r["live"]:
-                held.add(_name(r[self.group]), (r[self.order], ident))
-                changed[_name(r[self.group])] = r[self.group]
-            self.rows.updateValue((ident,), (r["ver"], r["live"], *(r[c] for c in self.names)))
+            if r[1]:
+                held.add(_name(r[grp]), (r[score], ident))
+                changed[_name(r[grp])] = r[grp]
+            self.rows.updateValue((ident,), r)
         held.flush()
         for name, group in changed.items():
             best = held.best(name, self.n)
@@ -201,10 +202,10 @@ class TopN:
         """Each shard's best N of the groups that a batch of `updates` (row columns, live, ver) changes."""
         out = StructType([StructField("_shard", IntegerType()), StructField("_name", StringType()),
                           StructField("_g", self.schema[self.group].dataType), StructField("_r", IntegerType()), *self.schema.fields])
-        shard = F.pmod(F.xxhash64(self.key), F.lit(self.shards)).cast("int").alias("_shard")
-        rows = updates.where(F.col(self.key).isNotNull()).select(shard, *self.schema.fieldNames(), "live", "ver")
+        shard = F.pmod(F.xxhash64(self.key), F.lit(self.shards))
+        rows = updates.where(F.col(self.key).isNotNull()).select(*self.schema.fieldNames(), "live", "ver")
         processor = RankedShard(self.schema, self.key, self.group, self.order, self.n, self.size)
-        return rows.groupBy("_shard").transformWithState(processor, out, "Update", "None")
+        return pack(rows, shard).groupBy("_shard").transformWithState(processor, out, "Update", "None")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch entry point: the shards' new lists; an external sink gets the changes of the top N."""
