@@ -83,6 +83,23 @@ def test_odd_texts(spark, chunk_units):
     assert ta.align(docs.limit(0)).count() == 0
 
 
+MARKED = [(1, "one, two. three; (four) five_six é, ñ! ó* × ×, don't, we'll. 's. it's\nNew, line.\nNext? ½, a½. a.b,c.\n d,\n\n e.'re x'.\nz"),
+          (2, "one two three four, four. four! four\nfour (four four) 漢字, 漢字. e\u0301, \u01c3, \u0250, 1, 2.5 \x00a, \x00, \x1f.\n"), (3, "▁a, b."), (4, "a.\x85b,\u2028c.\nd")]
+
+
+def test_words_with_marks_are_cut_once_more(spark):
+    aligner = ta.Aligner(f"{ta.TOKENIZERS}/{ta.FILE_A}", f"{ta.TOKENIZERS}/{ta.FILE_B}")
+    assert aligner.parts("four.\nNew,") == ["four", "\x00.", "\x00\nNew", "\x00,"] and aligner.parts("don't") == ["don't"]
+    docs = spark.createDataFrame(MARKED, "doc_id bigint, text string").coalesce(1)
+    got = [(*r[:7], hashlib.sha256(r[7].encode()).hexdigest() if r[7] else "") for r in ta.align(docs).collect()]
+    assert ordered(got) == ordered(brute(MARKED))
+    # Words that differ in the marks behind them only share their parts in a chunk.
+    words = [f"word{chr(97 + i)}{mark}" for i in range(20) for mark in ("", ",", ".", "!", "?", ";")]
+    chunk = ta._chunks(spark.createDataFrame([(1, " ".join(words))], "doc_id bigint, text string").coalesce(1),
+                       f"{ta.TOKENIZERS}/{ta.FILE_A}", f"{ta.TOKENIZERS}/{ta.FILE_B}", ta.CHUNK_UNITS).first()
+    assert len(chunk["n_a"]) == 25
+
+
 def test_byte_ends_between_coarse_cuts():
     # A unit of one character of three bytes over three tokens and two of one byte, then one of a single token.
     size, at, first = np.array([1, 2, 3]), np.array([0, 3, 4, 5, 8]), np.array([0, 3, 4])

@@ -13,12 +13,15 @@ proto's spans as `offset_mapping`; its `immutable_proto` form is gone.)
 A text is aligned in units: neither tokenizer has a token over a single space
 between two printable characters (A splits there before it merges, and no piece
 of B has a space behind another character; both are checked when the files are
-loaded, else a text is one unit). So a unit is a word in most texts, each
-different one is encoded once a task, and a text's tokens and groups are those
-of its units in order.
+loaded, else a text is one unit). Nor has any a token over a letter and a mark
+behind it, or over a line's end, so a word is cut there once more: `word`, `,`
+and a line's first word are parts of their own, and the different words of many
+texts have far fewer different parts. Each different part is encoded once a task
+(as long as it is remembered), and a text's tokens and groups are those of its
+parts in order.
 
 How often A's and B's ids are linked is counted over all documents. A task writes
-chunks of whole documents (their units, and the links of each different unit);
+chunks of whole documents (their parts, and the links of each different part);
 the counts of all id pairs are a Spark aggregation of the chunks' own counts and
 go back to the chunks by a join, as lists no longer than a chunk's own pairs.
 
@@ -34,6 +37,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -48,11 +52,15 @@ from tidemark.llm.common import documents, map_batches, write_scratch
 
 TOKENIZERS = "/opt/tokenizers"  # on every node
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_UNITS = 1 << 20  # units of a chunk; different ones and documents count more
-KEPT = 120_000  # different units that a task remembers
-LONGEST = 64  # characters of a unit that is remembered
+CHUNK_UNITS = 1 << 20  # words of a chunk; different words, their parts and documents count more
+KEPT = 80_000  # different parts that a task remembers, and as many older ones
+LONGEST = 64  # characters of a part that is remembered
 TOGETHER = 1 << 18  # bytes of texts whose units are looked up together
 SHIFT = 24  # an id pair is a << SHIFT | b
+BEHIND = "\x00"  # before a part that stands behind a letter or a mark; no unit begins with it
+_LETTER, _MARK = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-&(-/:-@\[-`{-~"  # an apostrophe joins letters in A
+_CUT = re.compile(f"(?<=[{_LETTER}])(?=[{_MARK}])|(?<=[{_LETTER}{_MARK}])(?=\n)")
+_CROSSED = re.compile(f"[{_LETTER}][{_MARK}]|\n")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -84,6 +92,7 @@ class Aligner:
         self.size_a, self.size_b = size(map(self.bytes_a.__getitem__, range(1 + max(self.bytes_a)))), size(self.bytes_b)
         first = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         self.by_unit = bool(first) and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.by_part = self.by_unit and not any(_CROSSED.search(p) for i, p in enumerate(pieces) if not (b.is_byte(i) or b.is_control(i) or b.is_unknown(i)))
 
     def split(self, text: str) -> list[str]:
         """The text between its spaces; these are its units if all of them are `free`."""
@@ -110,20 +119,34 @@ class Aligner:
     def _unit(held: list[tuple[str, bool]]) -> str:
         return held[0][0] if len(held) == 1 and held[0][1] else " " + " ".join(p for p, _ in held)
 
+    def parts(self, unit: str) -> list[str]:
+        """The stretches of a unit that no token of A or B crosses; those behind its first are marked."""
+        if not self.by_part or unit.isalpha() or unit.startswith(" "):
+            return [unit]
+        first, *rest = _CUT.split(unit)
+        return [first, *(BEHIND + p for p in rest)]
+
     def align(self, units: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, groups, links as bytes of id pairs) of each unit; n_a is -1 where the tokens do not spell it.
+        """(n_a, n_b, n_groups, groups, links as bytes of id pairs) of each unit or part; n_a is -1 where the tokens do not spell it.
 
         Units that may stand anywhere are encoded as one text, as neither tokenizer
         joins them; the others one by one. One pass of array operations aligns them all.
+        A part that stands behind a letter is encoded behind one.
         """
-        texts = [u if u.startswith(" ") else " " + u for u in units]
+        texts, wanted = [], []
+        for u in units:
+            if u.startswith(BEHIND):
+                texts.append(" x")
+            texts.append(u[1:] if u.startswith(BEHIND) else u if u.startswith(" ") else " " + u)
+            wanted.append(len(texts) - 1)
         whole = "".join(texts)
         lengths = [len(t) for t in texts] if any(u.startswith(" ") for u in units) else [len(whole)]
         first = np.cumsum([0, *lengths])  # the encoded texts' first characters
         asked = [whole[lo:lo + n] for lo, n in zip(first.tolist(), lengths)]
-        got_a = self.a.encode_batch(asked, add_special_tokens=False)
+        plain = whole.isascii()
+        got_a = (self.a.encode_batch_fast if plain else self.a.encode_batch)(asked, add_special_tokens=False)
         ids_a, spans_a, spans_b = [e.ids for e in got_a], None, None
-        if whole.isascii():
+        if plain:
             # A token's span is its bytes.
             ids_b = self.b.encode([t[1:] for t in asked], num_threads=1)
         else:
@@ -148,7 +171,8 @@ class Aligner:
         n_a, n_b, n_groups, last = (np.searchsorted(x, upto, "right") for x in (ends_a, ends_b, cuts, stops))
         data, last = links.tobytes(), (8 * last).tolist()
         n_a, n_b, n_groups = (np.diff(x, prepend=0).tolist() for x in (n_a, n_b, n_groups))
-        return [(x, y, z, g, data[lo:hi]) for x, y, z, g, lo, hi in zip(n_a, n_b, n_groups, groups, [0, *last], last)]
+        last = [0, *last]
+        return [(n_a[i], n_b[i], n_groups[i], groups[i], data[last[i]:last[i + 1]]) for i in wanted]
 
     def _groups(self, a, group_a, b, group_b, last) -> list[str]:
         """`a1,a2|b1;a3|b2` of each unit; `last` is each unit's last group."""
@@ -188,84 +212,119 @@ def _ends(ids: list[list[int]], spans: list, sizes: np.ndarray, at: np.ndarray,
 
 
 CHUNK = ("chunk bigint, ids array<bigint>, n_units array<int>, units binary, n_a array<int>, n_b array<int>, "
-         "n_groups array<int>, groups array<string>, n_links array<int>, links binary, pairs array<bigint>, pair_n array<bigint>")
+         "n_groups array<int>, groups binary, groups_size bigint, n_links array<int>, links binary, pairs array<bigint>, pair_n array<bigint>")
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string")
 
 
 def _narrow(x: np.ndarray, top: int) -> bytes:
-    return x.astype(_narrow_type(top)).tobytes()
+    return _packed(x.astype(_narrow_type(top)).tobytes())
 
 
 def _narrow_type(top: int):
     return np.uint16 if top <= 1 << 16 else np.uint32
 
 
+def _wide(data: bytes, n: int, top: int) -> np.ndarray:
+    kind = np.dtype(_narrow_type(top))
+    return np.frombuffer(_unpacked(data, n * kind.itemsize), kind).astype(np.int64)
+
+
+def _packed(data: bytes) -> bytes:
+    """A chunk is written, shuffled and read whole, so what it holds travels compressed."""
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, codec="zstd", asbytes=True)
+
+
 class _Chunks:
     """Collects documents of one task into chunk rows."""
 
     def __init__(self, aligner: Aligner):
-        self.aligner, self.memo = aligner, {}
+        self.aligner, self.memo, self.older = aligner, {}, {}
         self.number = TaskContext.get().partitionId() << 32
         self._clear()
 
     def _clear(self):
-        self.ids, self.docs, self.local, self.rows, self.size = [], [], {}, [], 0
-        self.bad = False  # whether any unit of this chunk is not spelled by its tokens
+        self.ids, self.docs, self.size = [], [], 0
+        self.words, self.parts, self.n_parts = {}, [], []  # a word's number, and the parts of all words, end to end
+        self.local, self.rows = {}, []
+        self.bad: set[int] = set()  # words of this chunk that their tokens do not spell
 
     def add(self, ids: list, texts: list[str | None]) -> None:
         split = [self.aligner.split(t) if t else [] for t in texts]
-        new = {p for parts in split for p in parts if p not in self.local}
+        new = {p for words in split for p in words if p not in self.words}
         fixed = {p for p in new if not self.aligner.free(p)}
         if fixed:
-            for i, parts in enumerate(split):
-                if not fixed.isdisjoint(parts):
+            for i, words in enumerate(split):
+                if not fixed.isdisjoint(words):
                     split[i] = self.aligner.units(texts[i])
-            new = {p for parts in split for p in parts if p not in self.local}
+            new = {p for words in split for p in words if p not in self.words}
         self._learn(sorted(new))
-        for doc_id, parts in zip(ids, split):
-            at = np.fromiter(map(self.local.__getitem__, parts), np.int64, len(parts))
-            if self.bad and any(self.rows[i][0] < 0 for i in set(at.tolist())):
+        for doc_id, words in zip(ids, split):
+            at = np.fromiter(map(self.words.__getitem__, words), np.uint32, len(words))
+            if self.bad and not self.bad.isdisjoint(at.tolist()):
                 at = at[:0]  # tokens that do not spell the text
             self.ids.append(doc_id)
-            self.docs.append(at.astype(np.uint32))
+            self.docs.append(at)
             self.size += len(at)
 
     def _learn(self, new: list[str]) -> None:
-        ask = [u for u in new if u not in self.memo]
-        known = {}
-        # Units of one kind together: those that may stand anywhere are encoded as one text.
-        ascii = [u for u in ask if u.isascii() and not u.startswith(" ")]
-        other = [u for u in ask if not u.isascii() and not u.startswith(" ")]
-        for part in (ascii, other, [u for u in ask if u.startswith(" ")]):
+        cut = [self.aligner.parts(u) for u in new]
+        parts = dict.fromkeys(p for u in cut for p in u if p not in self.local)
+        known, ask = {}, []
+        for p in parts:
+            row = self.memo.get(p) or self.older.get(p)
+            if row is None:
+                ask.append(p)
+            else:
+                known[p] = row
+        # Parts of one kind together: those that may stand anywhere are encoded as one text.
+        ascii = [p for p in ask if p.isascii() and not p.startswith(" ")]
+        other = [p for p in ask if not p.isascii() and not p.startswith(" ")]
+        for part in (ascii, other, [p for p in ask if p.startswith(" ")]):
             for lo in range(0, len(part), 4096):
                 known.update(zip(part[lo:lo + 4096], self.aligner.align(part[lo:lo + 4096])))
-        for u in new:
-            row = known.get(u) or self.memo[u]
-            self.bad |= row[0] < 0
-            self.local[u] = len(self.rows)
-            self.rows.append(row)
+        for p in parts:
+            self.local[p] = len(self.rows)
+            self.rows.append(known[p])
+        for u, own in zip(new, cut):
+            own = [self.local[p] for p in own]
+            if any(self.rows[i][0] < 0 for i in own):
+                self.bad.add(len(self.words))
+            self.words[u] = len(self.words)
+            self.parts += own
+            self.n_parts.append(len(own))
         if len(self.memo) > KEPT:
-            self.memo = {}
-        self.memo.update((u, r) for u, r in known.items() if len(u) <= LONGEST)
+            self.memo, self.older = {}, self.memo
+        self.memo.update((p, r) for p, r in known.items() if len(p) <= LONGEST)
 
     def full(self, most: int) -> bool:
-        """Documents and different units count too, so that no chunk holds any number of them."""
-        return self.size + 8 * len(self.ids) + 4 * len(self.rows) >= most
+        """Documents, different words and their parts count too, so that no chunk holds any number of them."""
+        return self.size + 8 * len(self.ids) + 2 * len(self.words) + 2 * len(self.rows) >= most
 
     def flush(self) -> dict | None:
         if not self.ids:
             return None
         rows, none = self.rows, np.empty(0, np.int64)
-        units = np.concatenate([none, *self.docs]).astype(np.int64)
+        words = np.concatenate([none, *self.docs]).astype(np.int64)
+        n_parts, n_words = np.array(self.n_parts, np.int64), np.array([len(d) for d in self.docs], np.int64)
+        each = n_parts[words]
+        n_units = _sums(each, n_words)
+        # A word's parts, one after another.
+        upto = np.cumsum(n_parts)
+        units = np.array(self.parts, np.int64)[np.repeat(upto[words] - np.cumsum(each), each) + np.arange(int(each.sum()))]
         links = np.frombuffer(b"".join([r[4] for r in rows]), np.int64)
         pairs, where = np.unique(links, return_inverse=True)
         each = np.array([len(r[4]) // 8 for r in rows], np.int64)
         held = np.bincount(units, minlength=len(rows)).astype(np.int64)
         pair_n = np.zeros(len(pairs), np.int64)
+        groups = "\n".join([r[3] for r in rows]).encode()
         np.add.at(pair_n, where, np.repeat(held, each))
-        out = {"chunk": [self.number], "ids": [self.ids], "n_units": [[len(d) for d in self.docs]],
+        out = {"chunk": [self.number], "ids": [self.ids], "n_units": [n_units],
                "units": [_narrow(units, len(rows))], "n_a": [[r[0] for r in rows]], "n_b": [[r[1] for r in rows]],
-               "n_groups": [[r[2] for r in rows]], "groups": [[r[3] for r in rows]], "n_links": [each],
+               "n_groups": [[r[2] for r in rows]], "groups": [_packed(groups)], "groups_size": [len(groups)], "n_links": [each],
                "links": [_narrow(where, len(pairs))], "pairs": [pairs], "pair_n": [pair_n]}
         self.number += 1
         self._clear()
@@ -320,8 +379,8 @@ def _documents(chunk: dict[str, pa.Scalar]) -> Iterator[dict]:
     """The documents of one chunk; `counts` has (pair, n, best) for each of its pairs."""
     as_array = lambda k: chunk[k].values.to_numpy(zero_copy_only=False).astype(np.int64)
     pairs, each, n_units = as_array("pairs"), as_array("n_links"), as_array("n_units")
-    units = np.frombuffer(chunk["units"].as_py(), _narrow_type(len(each))).astype(np.int64)
-    links = np.frombuffer(chunk["links"].as_py(), _narrow_type(len(pairs))).astype(np.int64)
+    units = _wide(chunk["units"].as_py(), int(n_units.sum()), len(each))
+    links = _wide(chunk["links"].as_py(), int(each.sum()), len(pairs))
     n, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
     if chunk["counts"].is_valid:
         pair, sums, tops = (x.to_numpy() for x in chunk["counts"].values.flatten())
@@ -330,7 +389,8 @@ def _documents(chunk: dict[str, pa.Scalar]) -> Iterator[dict]:
     unit = {"n_a": as_array("n_a"), "n_b": as_array("n_b"), "n_groups": as_array("n_groups"), "n_links": each,
             "n_best": _sums(best[links], each), "count_sum": _sums(n[links], each)}
     doc = {k: _sums(v[units], n_units) for k, v in unit.items()}
-    groups, ends, ids = chunk["groups"].values.to_numpy(zero_copy_only=False), np.cumsum(n_units), chunk["ids"].values
+    groups = np.array(_unpacked(chunk["groups"].as_py(), chunk["groups_size"].as_py()).decode().split("\n"), object)
+    ends, ids = np.cumsum(n_units), chunk["ids"].values
     lo = size = 0
     texts = []
     for i, end in enumerate(ends):
