@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 
 from oracle_compare import compare, duck
+from pyspark.sql import functions as F
+
 from tidemark.llm import (common, components, decontaminate, ftrl, gbdt, html_extract, language, mixing, ngram_join, quality,
                           quality_rules, suffix_dedup, toxicity, url_filter)
 from tidemark.llm.catalog import LLM_ORACLE_SQL, LLM_QUERIES
@@ -181,6 +183,17 @@ def test_ngram_join_one_body_many_tails(spark):
     assert got == {d: (d // copies * copies, copies - 1) for d, _ in rows}
 
 
+def test_ngram_join_gathers_what_hangs_together(spark, monkeypatch):
+    # A chain of five sets over four buckets, two buckets of a pair, and a chain that is longer than a block.
+    monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    rows = [(k, k + i) for k in range(10, 14) for i in (0, 1)] + [(30, 7), (30, 8), (31, 7), (31, 8)] + [(k, k + i) for k in range(50, 56) for i in (0, 1)]
+    members = spark.createDataFrame(rows, "key bigint, kid bigint")
+    gathered, apart = ngram_join._gathered(members.groupBy("key").agg(F.count("kid").alias("m")), members)
+    held = [(r["key"], r["kid"], r["m"]) for r in gathered.collect()]
+    assert sorted(held) == [(7, 7, 2), (7, 8, 2)] + [(10, k, 5) for k in range(10, 15)]
+    assert sorted(tuple(r) for r in apart.collect()) == sorted((k, x, 2) for k, x in rows if k >= 50)
+
+
 def test_ngram_join_odd_rows(spark, odd):
     out = ngram_join.ngram_join(odd).collect()
     assert len(out) == len(ODD) and {r["class_id"] for r in out if r["doc_id"] in (1, 2, 3)} == {1, 2, 3}

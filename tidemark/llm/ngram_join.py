@@ -14,7 +14,9 @@ Sets that share almost everything do not split: a bucket whose largest child
 keeps half of it, or that is still large at the last step, is compared in pairs
 of blocks instead, each block pair a task's group of bounded size. So no bucket
 is dropped or cut short. Buckets with the same members still split each by its
-own path, or the runs would not be independent; such members are judged once. A pair that meets in several buckets is judged in the
+own path, or the runs would not be independent; such members are judged once. Buckets
+that hang together by their members, up to a block of sets, are not split but
+compared as one, so that each set's text goes to one place. A pair that meets in several buckets is judged in the
 first of them only, and reported as numbers: each block pair yields the links
 of each set and the edges of a spanning forest, never all its pairs.
 
@@ -160,6 +162,24 @@ def _next_step(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return map_batches(texts.join(paths, "kid").select("kid", "text", "paths"), make, "key bigint, parent bigint, kid bigint, n int")
 
 
+def _gathered(buckets: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, kid, m) of buckets that hold what hangs together by `buckets`, up to `BLOCK` sets, and of those of `buckets` that are in none.
+
+    Sets of a group that meet in many different buckets are then compared once, in one place. What
+    hangs together in larger numbers stays in its buckets.
+    """
+    held = write_scratch(members.select("key", "kid").join(buckets.select("key", "m"), "key").distinct(), "join-held")
+    least = held.groupBy("key").agg(F.min("kid").alias("least"))
+    joined = components(held.join(least, "key").select(F.col("kid").alias("u"), F.col("least").alias("v")))
+    kids = held.select("kid").distinct().join(joined.withColumnRenamed("id", "kid"), "kid", "left").select(
+        "kid", F.coalesce("component", "kid").alias("key"))
+    size = kids.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    kids = write_scratch(kids.join(size, "key").select("key", "kid", "m"), "join-gathered")
+    # All members of a bucket hang together.
+    apart = held.join(kids.where(F.col("m") > BLOCK).select("kid"), "kid", "left_semi").select("key", "kid", "m")
+    return kids.where(F.col("m") <= BLOCK), write_scratch(apart, "join-apart")
+
+
 def _split(hot: DataFrame, members: DataFrame, texts: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     """Members of the children of `hot`, and its rows with `split`: no child keeps more than half of the bucket."""
     inside = members.join(hot.select("key"), "key", "left_semi")
@@ -293,11 +313,15 @@ def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
     # One text for each class that shares a bucket.
     wanted = members.select("kid").distinct().join(classes.select("kid", "c", "cid"), "kid")
     body = docs.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("c"), "text")
-    texts = body.join(wanted, "c").where(F.col("doc_id").eqNullSafe(F.col("cid"))).select("kid", "text")
-    texts = write_scratch(texts.dropDuplicates(["kid"]), "join-texts")
+    texts = body.join(wanted, "c").where(F.col("doc_id").eqNullSafe(F.col("cid"))).select("c", "kid", "text")
+    texts = write_scratch(texts.dropDuplicates(["c"]).select("kid", "text"), "join-texts")
 
+    # What hangs together in small numbers is compared as it is; only the rest draws on.
+    gathered, apart = _gathered(sized, members)
+    sized = sized.join(apart.select("key"), "key", "left_semi")
+    members = members.join(apart.select("key"), "key", "left_semi")
     judged_buckets, judged_members = sized.where(F.col("m") <= SMALL), members
-    hot = sized.where(F.col("m") > SMALL)
+    hot = write_scratch(sized.where(F.col("m") > SMALL), "join-buckets")
     for step in range(2, DEPTH + 1):
         if hot.isEmpty():
             break
@@ -313,15 +337,19 @@ def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
             if turn < TURNS - 1 and rest.isEmpty():
                 break
         judged_buckets = judged_buckets.unionByName(whole.select("key", "m", "x", "y"))
-        apart = split.where("split").join(whole.select("m", "x", "y"), ["m", "x", "y"], "left_anti")
-        members = drawn.join(apart.select(F.col("key").alias("parent")), "parent", "left_semi").select(
+        parted = split.where("split").join(whole.select("m", "x", "y"), ["m", "x", "y"], "left_anti")
+        members = drawn.join(parted.select(F.col("key").alias("parent")), "parent", "left_semi").select(
             "key", "parent", "kid", "n").distinct()
         sized = write_scratch(_sized(members, threshold), "join-buckets")
         judged_members = judged_members.unionByName(members.select(*judged_members.columns))
         small = F.lit(True) if step == DEPTH else F.col("m") <= SMALL
         judged_buckets = judged_buckets.unionByName(sized.where(small))
         hot = sized.where(~small)
-    judged_buckets = write_scratch(_once(judged_buckets), "join-once")
+    if not apart.isEmpty():
+        more, apart = _gathered(write_scratch(_once(judged_buckets), "join-once"), judged_members)
+        gathered = gathered.unionByName(more).unionByName(apart)
+    judged_members = write_scratch(gathered, "join-gathered")
+    judged_buckets = judged_members.select("key", "m").distinct()
     found = write_scratch(_judge(judged_members, judged_buckets, texts, threshold, words), "join-found")
     links = found.where("other is null").groupBy("kid").agg(F.sum("links").alias("n_links"))
     joined = components(found.where("other is not null").select(F.col("kid").alias("u"), F.col("other").alias("v")))
