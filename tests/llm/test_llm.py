@@ -194,6 +194,61 @@ def test_ngram_join_gathers_what_hangs_together(spark, monkeypatch):
     assert sorted(tuple(r) for r in apart.collect()) == sorted((k, x, 2) for k, x in rows if k >= 50)
 
 
+def test_ngram_join_splits_what_is_larger_than_small(spark, monkeypatch):
+    # Buckets of one body with the same members, as above, that are split or compared as a whole.
+    monkeypatch.setattr(ngram_join, "SMALL", 16)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rows = [(b * 40 + c, " ".join([f"b{b}w{i}" for i in range(164)] + [f"b{b}c{c}t{i}" for i in range(20)])) for b in range(4) for c in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.ngram_join(df).collect()}
+    assert got == {d: (d // 40 * 40, 39) for d, _ in rows}
+
+
+def test_ngram_join_sketches_lose_no_pair():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 40, 95, 97, 400, 3000):
+        for share in (0.8, 0.82, 0.9, 1.0):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            extra = rng.integers(0, 1 << 63, int(n * (1 - share) / share), dtype=np.uint64)
+            b = np.unique(np.concatenate([a, extra]))  # similarity `share` or a bit more
+            far = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            sets = [a, b, far]
+            got = ngram_join.candidates(np.array([len(x) for x in sets]), [ngram_join.sketch(x) for x in sets], 0.8)
+            assert got[:2].all()
+            assert n < 40 or not got[2]
+            # Pairs of one block are not asked for.
+            sizes, bits = np.array([len(a), len(b)]), [ngram_join.sketch(a), ngram_join.sketch(b)]
+            assert not ngram_join.candidates(sizes, bits, 0.8, np.array([1, 1])).any()
+            assert ngram_join.candidates(sizes, bits, 0.8, np.array([0, 1])).all()
+
+
+def test_ngram_join_ships_no_text_for_chance_meetings(spark, monkeypatch):
+    # 60 texts share a passage of 60 words of 160 and nothing else: they meet in buckets, but no text is compared. Two are near copies.
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(d, passage + " " + " ".join(f"d{d}w{i}" for i in range(100))) for d in range(60)]
+    rows.append((60, rows[7][1] + " more words"))
+    asked = []
+    texts = ngram_join._texts
+    monkeypatch.setattr(ngram_join, "_texts", lambda docs, wanted: asked.append(sorted(r["cid"] for r in wanted.collect())) or texts(docs, wanted))
+    out = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in out.collect()} == {d: (7, 1) if d in (7, 60) else (d, 0) for d in range(61)}
+    assert asked == [[7, 60]]
+
+
+def test_ngram_join_leaves_one_scratch_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+    df = spark.createDataFrame([(d, " ".join(f"w{i}" for i in range(d % 3, 40))) for d in range(30)], "doc_id bigint, text string")
+    out = ngram_join.ngram_join(df)
+    assert [x.name.rsplit("-", 1)[0] for x in tmp_path.iterdir()] == ["join-result"] and out.count() == 30
+    with common.scratch_scope() as keep:
+        a, b = (common.write_scratch(spark.range(3), name) for name in "ab")
+        with common.scratch_scope() as inner:
+            c, d = inner(common.write_scratch(spark.range(4), "c")), common.write_scratch(spark.range(4), "d")
+        assert not os.path.exists(d._scratch) and c.count() == 4
+        keep(b)
+    assert not os.path.exists(a._scratch) and not os.path.exists(c._scratch) and b.count() == 3
+
+
 def test_ngram_join_odd_rows(spark, odd):
     out = ngram_join.ngram_join(odd).collect()
     assert len(out) == len(ODD) and {r["class_id"] for r in out if r["doc_id"] in (1, 2, 3)} == {1, 2, 3}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import write_scratch
+from tidemark.llm.common import drop_scratch, write_scratch
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -33,4 +33,5 @@ def components(edges: DataFrame) -> DataFrame:
         if before == tuple(mark):
             return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
         before = tuple(mark)
-        e = write_scratch(_small_star(_large_star(e)), "components")
+        last, e = e, write_scratch(_small_star(_large_star(e)), "components")
+        drop_scratch(last)
