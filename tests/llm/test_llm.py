@@ -427,6 +427,15 @@ def test_html_choice_is_consistent(page_model):
     assert all(kept[x.parent.at] for x, k in zip(nodes, kept) if k and x.parent is not None)
 
 
+def test_pipeline_near_copies_leave_no_working_tables(spark, tmp_path, monkeypatch):
+    # A group of near copies; the stages behind have the disk for themselves.
+    import corpus_pipeline
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+    docs = spark.createDataFrame([(d, " ".join([f"w{i}" for i in range(90)] + [f"d{d}"])) for d in range(20)], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.ngram_jaccard_stage(spark, docs, SF).collect()] == [0]
+    assert [x.name.rsplit("-", 1)[0] for x in tmp_path.iterdir()] == ["join-result"]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     docs = common.documents(spark, SF)
