@@ -100,6 +100,26 @@ def test_words_with_marks_are_cut_once_more(spark):
     assert len(chunk["n_a"]) == 25
 
 
+def test_chunks_cross_as_small_rows(spark):
+    # 32,000 different words in one chunk: none of its rows is as large as the chunk, and pieces in any order give the documents.
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join("".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (4000, 7)))) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    chunks = ta._chunks(docs, f"{ta.TOKENIZERS}/{ta.FILE_A}", f"{ta.TOKENIZERS}/{ta.FILE_B}", ta.CHUNK_UNITS).collect()
+    size = lambda row: sum(len(v) * (1 if isinstance(v, (bytes, bytearray)) else 8) for v in row if hasattr(v, "__len__"))
+    assert len({r["chunk"] for r in chunks}) == 1 and len(chunks) > 1
+    assert max(map(size, chunks)) < 1 << 18 < sum(map(size, chunks))
+    got = [(*r[:7], hashlib.sha256(r[7].encode()).hexdigest()) for r in ta.align(docs).collect()]
+    assert ordered(got) == ordered(brute(rows))
+
+
+@pytest.mark.parametrize("top", [0, 1, 256, 257, 1 << 16, (1 << 16) + 1, (1 << 24) + 1])
+def test_numbers_cross_as_byte_planes(top):
+    x = np.array([top - 1, 0, top // 2, top - 1] if top else [], np.uint32)
+    planes = ta._planes(x, top)
+    assert len(planes) == len(x) * max(1, -(-(top - 1).bit_length() // 8)) and ta._numbers(planes, len(x)).tolist() == x.tolist()
+
+
 def test_byte_ends_between_coarse_cuts():
     # A unit of one character of three bytes over three tokens and two of one byte, then one of a single token.
     size, at, first = np.array([1, 2, 3]), np.array([0, 3, 4, 5, 8]), np.array([0, 3, 4])

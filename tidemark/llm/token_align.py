@@ -25,6 +25,11 @@ chunks of whole documents (their parts, and the links of each different part);
 the counts of all id pairs are a Spark aggregation of the chunks' own counts and
 go back to the chunks by a join, as lists no longer than a chunk's own pairs.
 
+A chunk crosses compressed and cut into pieces, rows far smaller than the JVM's
+regions for large arrays, and is put together again where its counts are: one
+chunk at a time, however many fall to a task. What a task has freed goes back to
+the machine when it ends, so that idle Python workers hold little beside the JVM.
+
 Defined results: null and empty texts, and texts whose tokens do not spell a space
 and the text in A or in B (B reads U+2581 as a space, so texts that hold it), have
 no tokens: numbers are 0 and `groups` is ''. Rows with a null id and repeated rows
@@ -35,6 +40,7 @@ one chunk; a text without single spaces is one unit.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
@@ -48,11 +54,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, map_batches, write_scratch
+from tidemark.llm.common import documents, write_scratch
 
 TOKENIZERS = "/opt/tokenizers"  # on every node
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_UNITS = 1 << 20  # words of a chunk; different words, their parts and documents count more
+CHUNK_UNITS = 1 << 19  # words of a chunk; different words, their parts and documents count more
+PIECE = 1 << 17  # bytes of a row of a chunk
+BLOCK = 8 << 20  # bytes of chunks that a writer holds, and a reader reads at a time, once 100 rows are there
 KEPT = 80_000  # different parts that a task remembers, and as many older ones
 LONGEST = 64  # characters of a part that is remembered
 TOGETHER = 1 << 18  # bytes of texts whose units are looked up together
@@ -86,8 +94,7 @@ class Aligner:
         self.b = b = sentencepiece.SentencePieceProcessor(model_file=file_b)
         pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        with open(file_a, encoding="utf-8") as f:
-            split = json.load(f).get("pre_tokenizer") or {}
+        split = json.loads(self.a.pre_tokenizer.__getstate__()) if self.a.pre_tokenizer else {}  # the file's own words for it
         size = lambda parts: np.array([len(p) for p in parts], np.int64)
         self.size_a, self.size_b = size(map(self.bytes_a.__getitem__, range(1 + max(self.bytes_a)))), size(self.bytes_b)
         first = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
@@ -211,31 +218,49 @@ def _ends(ids: list[list[int]], spans: list, sizes: np.ndarray, at: np.ndarray,
     return flat, ends
 
 
-CHUNK = ("chunk bigint, ids array<bigint>, n_units array<int>, units binary, n_a array<int>, n_b array<int>, "
-         "n_groups array<int>, groups binary, groups_size bigint, n_links array<int>, links binary, pairs array<bigint>, pair_n array<bigint>")
+CHUNK = "chunk bigint, piece int, n_a array<int>, data binary, pairs array<bigint>, pair_n array<bigint>"
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string")
 
 
-def _narrow(x: np.ndarray, top: int) -> bytes:
-    return _packed(x.astype(_narrow_type(top)).tobytes())
+def _narrow(x: np.ndarray, top: int) -> np.ndarray:
+    return x.astype(np.uint16 if top <= 1 << 16 else np.uint32)
+
 
+def _planes(x: np.ndarray, top: int) -> bytes:
+    """All lowest bytes, then all next ones, as many as numbers below `top` have: high bytes compress well by themselves."""
+    width = max(1, (max(top - 1, 0).bit_length() + 7) // 8)
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T.tobytes()
 
-def _narrow_type(top: int):
-    return np.uint16 if top <= 1 << 16 else np.uint32
 
+def _numbers(planes: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 4), np.uint8)
+    if n:
+        at = np.frombuffer(planes, np.uint8).reshape(-1, n)
+        out[:, :len(at)] = at.T
+    return out.reshape(-1).view("<u4")
 
-def _wide(data: bytes, n: int, top: int) -> np.ndarray:
-    kind = np.dtype(_narrow_type(top))
-    return np.frombuffer(_unpacked(data, n * kind.itemsize), kind).astype(np.int64)
 
+def _pieces(columns: dict[str, pa.Array]) -> list[bytes]:
+    """Columns, each one row, as a compressed Arrow stream cut into pieces: a chunk is written, shuffled and read whole."""
+    sink, batch = pa.BufferOutputStream(), pa.RecordBatch.from_pydict(columns)
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3), use_threads=False)) as out:
+        out.write_batch(batch)
+    data = sink.getvalue().to_pybytes()
+    return [data[lo:lo + PIECE] for lo in range(0, len(data), PIECE)]
 
-def _packed(data: bytes) -> bytes:
-    """A chunk is written, shuffled and read whole, so what it holds travels compressed."""
-    return pa.compress(data, codec="zstd", asbytes=True)
 
+def _columns(pieces: list[bytes]) -> dict[str, pa.Scalar]:
+    with pa.ipc.open_stream(pa.py_buffer(b"".join(pieces)), options=pa.ipc.IpcReadOptions(use_threads=False)) as data:
+        batch = data.read_next_batch()
+    return {name: batch.column(k)[0] for k, name in enumerate(batch.schema.names)}
 
-def _unpacked(data: bytes, size: int) -> bytes:
-    return pa.decompress(data, size, codec="zstd", asbytes=True)
+
+def _give_back() -> None:
+    """Freed memory of this Python worker goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 class _Chunks:
@@ -305,27 +330,38 @@ class _Chunks:
         return self.size + 8 * len(self.ids) + 2 * len(self.words) + 2 * len(self.rows) >= most
 
     def flush(self) -> dict | None:
+        """The chunk's rows: pieces of its columns, and an even share each of its parts' `n_a` and of its pairs."""
         if not self.ids:
             return None
-        rows, none = self.rows, np.empty(0, np.int64)
-        words = np.concatenate([none, *self.docs]).astype(np.int64)
-        n_parts, n_words = np.array(self.n_parts, np.int64), np.array([len(d) for d in self.docs], np.int64)
+        words = np.concatenate([np.empty(0, np.uint32), *self.docs])
+        n_parts, n_words = np.array(self.n_parts, np.int32), np.array([len(d) for d in self.docs], np.int64)
         each = n_parts[words]
         n_units = _sums(each, n_words)
         # A word's parts, one after another.
-        upto = np.cumsum(n_parts)
-        units = np.array(self.parts, np.int64)[np.repeat(upto[words] - np.cumsum(each), each) + np.arange(int(each.sum()))]
+        at = np.repeat((np.cumsum(n_parts)[words] - np.cumsum(each)).astype(np.int32), each)
+        at += np.arange(len(at), dtype=np.int32)
+        units = np.array(self.parts, np.uint32)[at]
+        del words, each, at
+        # The more often a part stands in the chunk, the smaller its number.
+        held = np.bincount(units, minlength=len(self.rows))
+        order = np.argsort(-held, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        rows, held, units = [self.rows[i] for i in order.tolist()], held[order], rank[units]
         links = np.frombuffer(b"".join([r[4] for r in rows]), np.int64)
         pairs, where = np.unique(links, return_inverse=True)
-        each = np.array([len(r[4]) // 8 for r in rows], np.int64)
-        held = np.bincount(units, minlength=len(rows)).astype(np.int64)
+        n_links = np.array([len(r[4]) // 8 for r in rows], np.int32)
         pair_n = np.zeros(len(pairs), np.int64)
-        groups = "\n".join([r[3] for r in rows]).encode()
-        np.add.at(pair_n, where, np.repeat(held, each))
-        out = {"chunk": [self.number], "ids": [self.ids], "n_units": [n_units],
-               "units": [_narrow(units, len(rows))], "n_a": [[r[0] for r in rows]], "n_b": [[r[1] for r in rows]],
-               "n_groups": [[r[2] for r in rows]], "groups": [_packed(groups)], "groups_size": [len(groups)], "n_links": [each],
-               "links": [_narrow(where, len(pairs))], "pairs": [pairs], "pair_n": [pair_n]}
+        np.add.at(pair_n, where, np.repeat(held, n_links))
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+        field = lambda k: np.array([r[k] for r in rows], np.int32)
+        pieces = _pieces({
+            "ids": one(pa.array(self.ids, pa.int64())), "n_units": one(n_units), "units": pa.array([_planes(units, len(rows))]), "n_b": one(field(1)),
+            "n_groups": one(field(2)), "groups": one(pa.array([r[3] for r in rows], pa.string())), "n_links": one(n_links),
+            "links": one(_narrow(where, len(pairs))), "pairs": one(pairs)})
+        n = len(pieces)
+        out = {"chunk": [self.number] * n, "piece": range(n), "data": pieces} | {
+            k: np.array_split(x, n) for k, x in (("n_a", field(0)), ("pairs", pairs), ("pair_n", pair_n))}
         self.number += 1
         self._clear()
         return out
@@ -346,24 +382,31 @@ def _chunks(docs: DataFrame, file_a: str, file_b: str, chunk_units: int) -> Data
     from pyspark.sql.types import StructType
     arrow = to_arrow_schema(StructType.fromDDL(CHUNK))
 
-    def run(batches):
+    def chunk_rows(batches):
         chunks = _Chunks(_aligner(file_a, file_b))
 
-        def row():
+        def rows():
             out = chunks.flush()
             return [] if out is None else [pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)]
 
         for b in batches:
             ids, texts = (b.column(i) for i in (0, 1))
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            n, sizes = b.num_rows, pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
             lo = 0
-            while lo < b.num_rows:
+            while lo < n:
                 hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), TOGETHER)))
                 chunks.add(ids[lo:hi].to_pylist(), texts[lo:hi].to_pylist())
                 lo = hi
                 if chunks.full(chunk_units):
-                    yield from row()
-        yield from row()
+                    yield from rows()
+            del b, ids, texts  # before the next are read
+        yield from rows()
+
+    def run(batches):
+        try:
+            yield from chunk_rows(batches)
+        finally:
+            _give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, CHUNK)
 
@@ -375,21 +418,20 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return upto[ends] - upto[ends - sizes]
 
 
-def _documents(chunk: dict[str, pa.Scalar]) -> Iterator[dict]:
-    """The documents of one chunk; `counts` has (pair, n, best) for each of its pairs."""
-    as_array = lambda k: chunk[k].values.to_numpy(zero_copy_only=False).astype(np.int64)
-    pairs, each, n_units = as_array("pairs"), as_array("n_links"), as_array("n_units")
-    units = _wide(chunk["units"].as_py(), int(n_units.sum()), len(each))
-    links = _wide(chunk["links"].as_py(), int(each.sum()), len(pairs))
+def _documents(chunk: dict[str, pa.Scalar], n_a: np.ndarray, counts: list[pa.StructArray]) -> Iterator[dict]:
+    """The documents of one chunk; `n_a` is of its parts, `counts` has (pair, n, best) for each of its pairs."""
+    as_array = lambda k: chunk[k].values.to_numpy(zero_copy_only=False)
+    pairs, each, n_units, links = map(as_array, ("pairs", "n_links", "n_units", "links"))
+    units = _numbers(chunk["units"].as_py(), int(n_units.sum()))
     n, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-    if chunk["counts"].is_valid:
-        pair, sums, tops = (x.to_numpy() for x in chunk["counts"].values.flatten())
+    for found in counts:
+        pair, sums, tops = (x.to_numpy() for x in found.flatten())
         at = np.searchsorted(pairs, pair)
         n[at], best[at] = sums, tops
-    unit = {"n_a": as_array("n_a"), "n_b": as_array("n_b"), "n_groups": as_array("n_groups"), "n_links": each,
+    unit = {"n_a": n_a, "n_b": as_array("n_b"), "n_groups": as_array("n_groups"), "n_links": each,
             "n_best": _sums(best[links], each), "count_sum": _sums(n[links], each)}
     doc = {k: _sums(v[units], n_units) for k, v in unit.items()}
-    groups = np.array(_unpacked(chunk["groups"].as_py(), chunk["groups_size"].as_py()).decode().split("\n"), object)
+    groups = chunk["groups"].values.to_numpy(zero_copy_only=False)
     ends, ids = np.cumsum(n_units), chunk["ids"].values
     lo = size = 0
     texts = []
@@ -401,6 +443,28 @@ def _documents(chunk: dict[str, pa.Scalar]) -> Iterator[dict]:
             lo, size, texts = i + 1, 0, []
 
 
+def _put_together(rows: DataFrame) -> DataFrame:
+    """The documents of all chunks, from their pieces and the counts of their pairs."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    arrow = to_arrow_schema(StructType.fromDDL(ALIGNED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, counts = {}, []
+        for b in batches:
+            for number, n_a, data, found in zip(*(b.column(k) for k in ("piece", "n_a", "data", "counts"))):
+                if data.is_valid:
+                    pieces[number.as_py()] = n_a.values.to_numpy(), data.as_py()
+                elif found.is_valid:
+                    counts.append(found.values)
+        n_a, data = zip(*(pieces[k] for k in sorted(pieces)))
+        del pieces
+        for out in _documents(_columns(data), np.concatenate(n_a), counts):
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+
+    return rows.groupBy("chunk").applyInArrow(run, ALIGNED)
+
+
 def align(docs: DataFrame, file_a: str = f"{TOKENIZERS}/{FILE_A}", file_b: str = f"{TOKENIZERS}/{FILE_B}",
           chunk_units: int = CHUNK_UNITS) -> DataFrame:
     """One row a document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups.
@@ -409,7 +473,7 @@ def align(docs: DataFrame, file_a: str = f"{TOKENIZERS}/{FILE_A}", file_b: str =
     the links whose corpus-wide count is the highest of their B id, count_sum adds
     up the links' counts. The files' paths hold on every node.
     """
-    chunks = write_scratch(_chunks(docs, file_a, file_b, chunk_units), "align-chunks")
+    chunks = write_scratch(_chunks(docs, file_a, file_b, chunk_units), "align-chunks", **{"parquet.block.size": BLOCK})
     own = chunks.select("chunk", F.explode(F.arrays_zip("pairs", "pair_n")).alias("x")).select("chunk", F.col("x.pairs").alias("pair"), "x.pair_n")
     counts = own.groupBy("pair").agg(F.sum("pair_n").alias("n"))
     counts = write_scratch(counts, "align-counts")
@@ -418,15 +482,7 @@ def align(docs: DataFrame, file_a: str = f"{TOKENIZERS}/{FILE_A}", file_b: str =
         "pair", "n", (F.col("n") == F.col("top")).cast("int").alias("best"))
     back = own.select("chunk", "pair").join(counts, "pair").groupBy("chunk").agg(
         F.collect_list(F.struct("pair", "n", "best")).alias("counts"))  # as many as the chunk's own pairs
-    rows = chunks.drop("pair_n").join(back, "chunk", "left")
-
-    def make():
-        def batch(b):
-            for i in range(b.num_rows):
-                yield from _documents({name: b.column(k)[i] for k, name in enumerate(b.schema.names)})
-        return batch
-
-    return map_batches(rows, make, ALIGNED)
+    return _put_together(chunks.select("chunk", "piece", "n_a", "data").unionByName(back, allowMissingColumns=True))
 
 
 def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
