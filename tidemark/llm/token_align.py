@@ -387,6 +387,7 @@ def _chunks(docs: DataFrame, file_a: str, file_b: str, chunk_units: int) -> Data
 
         def rows():
             out = chunks.flush()
+            _give_back()
             return [] if out is None else [pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)]
 
         for b in batches:
